@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from foehn.operators.dedup import keep_first
-from foehn.operators.rejects import REASON, split_rejects
+from foehn.operators.rejects import REASON, split_rejects, stage
 from foehn.operators.upsert import merge_counts, merge_upsert
 from foehn.plans import analogue as A
 from foehn.plans import analytics, gold, quality, silver
@@ -67,7 +67,7 @@ def _silver(spark, d):
 def _typed_lines(spark, d, tier=None):
     lines = A.raw_csv_lines(spark, d, tier)
     raw = csv.parse_lines(lines, "line", MEASUREMENT_CSV_FIELDS, keep=["file_name"])
-    return csv.typed_measurements(raw, loaded_at=A.CSV_LOADED_AT)
+    return stage(csv.typed_measurements(raw, loaded_at=A.CSV_LOADED_AT))
 
 
 # --- queries ---------------------------------------------------------------------

@@ -24,27 +24,24 @@ def null_tokens(col: Column | str, tokens=NULL_TOKENS) -> Column:
 
 def try_decimal(col: Column | str, type_: str = "decimal(38,10)") -> Column:
     """Tolerant numeric cast: unparsable text becomes NULL, extra decimals
-    round half-up, overflow becomes NULL."""
-    return null_tokens(col).try_cast(type_)
+    round half-up, overflow becomes NULL.  The null tokens never parse as
+    numbers, so they need no separate test here."""
+    return F.trim(_c(col)).try_cast(type_)
 
 
 def parse_timestamp(col: Column | str, fmt: str = TIMESTAMP_FORMAT) -> Column:
     """Tolerant ``dd.MM.yyyy HH:mm`` parse to TIMESTAMP_NTZ: NULL when the
     text does not parse.  Independent of the session time zone."""
-    t = null_tokens(col)
+    t = F.trim(_c(col))
     if fmt != TIMESTAMP_FORMAT:
         return F.to_timestamp_ntz(t, F.lit(fmt))
-    parts = F.regexp_extract_all(t, F.lit(r"(\d+)"), 1)
+    # day.month.year hour:minute -> five numbers; anything else -> NULL
+    p = F.split(t, r"[.: ]")
     shape_ok = t.rlike(r"^\d{1,2}\.\d{1,2}\.\d{4} \d{1,2}:\d{2}$")
     return F.when(
         shape_ok,
         F.try_make_timestamp_ntz(
-            parts[2].cast("int"),
-            parts[1].cast("int"),
-            parts[0].cast("int"),
-            parts[3].cast("int"),
-            parts[4].cast("int"),
-            F.lit(0).cast("decimal(16,6)"),
+            p[2].cast("int"), p[1].cast("int"), p[0].cast("int"), p[3].cast("int"), p[4].cast("int"), F.lit(0)
         ),
     )
 

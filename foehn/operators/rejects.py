@@ -35,3 +35,14 @@ def fail_on_rejects(df_with_reason: DataFrame) -> DataFrame:
     r = F.col(REASON)
     guard = F.when(r.isNotNull(), F.raise_error(F.concat(F.lit("rejected row: "), r)))
     return df_with_reason.filter(guard.isNull()).drop(REASON)
+
+
+def stage(df: DataFrame) -> DataFrame:
+    """K6: materialise a parsed batch once (reliable checkpoint in the
+    session's checkpoint folder), so the good rows and the rejects are both
+    read from the staged copy instead of parsing the input twice; the
+    lineage is cut, so a lost executor re-reads the staged files."""
+    from ..session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -180,10 +180,12 @@ def _two(c: Column) -> Column:
 
 
 def _ts_text(ts: Column) -> Column:
-    """``dd.MM.yyyy HH:mm`` built from calendar parts (time-zone free)."""
+    """``dd.MM.yyyy HH:mm`` of ``ts`` floored to 10 minutes, built from
+    calendar parts (time-zone free)."""
+    m = F.minute(ts)
     return F.concat(
         _two(F.dayofmonth(ts)), F.lit("."), _two(F.month(ts)), F.lit("."), F.year(ts).cast("string"),
-        F.lit(" "), _two(F.hour(ts)), F.lit(":"), _two(F.minute(ts)),
+        F.lit(" "), _two(F.hour(ts)), F.lit(":"), _two(m - m % 10),
     )
 
 
@@ -214,7 +216,7 @@ def raw_csv_lines(spark: SparkSession, sf_dir: str, tier: str | None = None) ->
     ts_txt = (
         F.when(eid % 89 == 0, F.lit("31.02.2024 x"))
         .when(eid % 83 == 0, F.lit(""))
-        .otherwise(_ts_text(floor_minutes("ts", 10)))
+        .otherwise(_ts_text(F.col("ts")))
     )
     temp = txt("tre200s0")
     temp = (

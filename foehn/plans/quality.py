@@ -67,7 +67,7 @@ def tier_overlap(tagged_union: DataFrame, keys: Sequence[str] = KEY_COLUMNS) ->
         .agg(tiers.alias("__tiers"))
         .select(
             *keys,
-            F.size("__tiers").alias("tier_count"),
+            F.size("__tiers").cast("long").alias("tier_count"),
             F.array_join("__tiers", ", ").alias("tiers_present"),
         )
         .filter(F_("tier_count") > 1)

@@ -440,8 +440,8 @@ merged AS (
 """
 ORACLE["upsert_recent"] = _UPSERT_CTES + f"SELECT {', '.join(_LI_COLS)} FROM merged"
 ORACLE["upsert_stats"] = _UPSERT_CTES + """
-SELECT count_if(act = 'inserted') AS rows_inserted, count_if(act = 'updated') AS rows_updated,
-  count_if(act = 'unchanged') AS rows_unchanged, COUNT(*) AS rows_total FROM merged"""
+SELECT CAST(count_if(act = 'inserted') AS BIGINT) AS rows_inserted, CAST(count_if(act = 'updated') AS BIGINT) AS rows_updated,
+  CAST(count_if(act = 'unchanged') AS BIGINT) AS rows_unchanged, COUNT(*) AS rows_total FROM merged"""
 ORACLE["source_dedup"] = _UPSERT_CTES + f"SELECT {', '.join(_LI_COLS)} FROM s"
 
 # --- files, ledger, catalogue ------------------------------------------------------
