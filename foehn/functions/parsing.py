@@ -48,7 +48,7 @@ def parse_timestamp(col: Column | str, fmt: str = TIMESTAMP_FORMAT) -> Column:
 
 def parse_date(col: Column | str, fmt: str = DATE_FORMAT) -> Column:
     """Tolerant date parse: bad text becomes NULL."""
-    return F.try_to_date(null_tokens(col), F.lit(fmt))
+    return F.try_to_date(null_tokens(col), fmt)
 
 
 def bad_value(raw: Column, parsed: Column) -> Column:
