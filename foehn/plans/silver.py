@@ -46,11 +46,20 @@ def restrict_dates(tiers: dict[str, DataFrame], dates: Iterable[dt.date]) -> dic
     return {t: df.filter(cond) for t, df in tiers.items()}
 
 
+def restrict_to_days(tiers: dict[str, DataFrame], days: DataFrame, day_col: str = PARTITION_COLUMN) -> dict[str, DataFrame]:
+    """Keep only rows whose day is in the ``days`` frame (semi join; the day
+    list never passes through the driver)."""
+    d = days.select(F.col(day_col).alias("__day")).distinct()
+    return {
+        t: df.join(d, F.to_date("reference_timestamp") == F.col("__day"), "left_semi") for t, df in tiers.items()
+    }
+
+
 def refresh_silver(
     spark: SparkSession,
     tiers: dict[str, DataFrame],
     out_path: str,
-    touched_dates: Iterable[dt.date] | None = None,
+    touched_dates: Iterable[dt.date] | DataFrame | None = None,
 ) -> None:
     """K8/K9: materialise silver as Parquet partitioned by day.
 
@@ -60,7 +69,9 @@ def refresh_silver(
     and sorted by station and time inside each file, which keeps the
     per-file min/max statistics tight for station and time predicates.
     """
-    if touched_dates is not None:
+    if isinstance(touched_dates, DataFrame):
+        tiers = restrict_to_days(tiers, touched_dates)
+    elif touched_dates is not None:
         tiers = restrict_dates(tiers, touched_dates)
     silver = silver_measurements(tiers).withColumn(PARTITION_COLUMN, F.to_date("reference_timestamp"))
     out = silver.hint("rebalance", PARTITION_COLUMN).sortWithinPartitions(
