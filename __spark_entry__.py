@@ -19,7 +19,7 @@ from foehn.operators.upsert import merge_counts, merge_upsert
 from foehn.plans import analogue as A
 from foehn.plans import analytics, gold, quality, silver
 from foehn.sources import catalogue, csv, inventory
-from foehn.schema import MEASUREMENT_CSV_FIELDS
+from foehn.schema import MEASUREMENT_CSV_FIELDS, STATION_CSV_FIELDS
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -237,6 +237,30 @@ def q_replace_now(spark, d):
     return portable(good)
 
 
+def _typed_station_lines(spark, d):
+    raw = csv.parse_lines(A.station_csv_lines(spark, d), "line", STATION_CSV_FIELDS, keep=["file_name"])
+    return stage(csv.typed_stations(raw, loaded_at=A.STATIONS_LOADED_AT))
+
+
+def q_station_csv_parse(spark, d):
+    good, _ = split_rejects(_typed_station_lines(spark, d))
+    return portable(good)
+
+
+def q_station_csv_rejects(spark, d):
+    _, bad = split_rejects(_typed_station_lines(spark, d))
+    return bad.select("station_abbr", REASON)
+
+
+def q_silver_station_series(spark, d):
+    return portable(analytics.silver_station_series(_silver(spark, d), _stations(spark, d), A.AS_OF, CANTON, days=7))
+
+
+def q_sample_rows(spark, d):
+    """An unordered sample of 100 bronze rows (which rows is undefined)."""
+    return portable(quality.sample(_tiers(spark, d)["historical"], 100))
+
+
 def q_upsert_recent(spark, d):
     target, source = A.upsert_pair(spark, d)
     return merge_upsert(target, source, A.UPSERT_KEYS, A.upsert_order(), with_action=False)
@@ -313,6 +337,10 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "csv_typed_parse": q_csv_typed_parse,
     "csv_rejects": q_csv_rejects,
     "replace_now": q_replace_now,
+    "station_csv_parse": q_station_csv_parse,
+    "station_csv_rejects": q_station_csv_rejects,
+    "silver_station_series": q_silver_station_series,
+    "sample_rows": q_sample_rows,
     "upsert_recent": q_upsert_recent,
     "upsert_stats": q_upsert_stats,
     "source_dedup": q_source_dedup,

@@ -304,3 +304,49 @@ def catalogue_pages(tiers: dict[str, DataFrame]) -> DataFrame:
     )
     page = F.struct(F.array(feature).alias("features"), F.array().cast("array<struct<rel:string>>").alias("links"))
     return per_station.select(F.to_json(page).alias("json"))
+
+
+def _date_text(d: Column) -> Column:
+    return F.concat(_two(F.dayofmonth(d)), F.lit("."), _two(F.month(d)), F.lit("."), F.year(d).cast("string"))
+
+
+def station_csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every customer as one 24-field station CSV line (``line``).  Rules by
+    ``c_custkey``: %7 impossible date (NULL, kept), %11 empty latitude,
+    negative balance '-' latitude (both NULL -> Incomplete), %13 height 'abc'
+    (NULL, kept), %19 name of 201 characters and %23 canton of 15 characters
+    (both rejected)."""
+    c = table(spark, sf_dir, "customer")
+    n = table(spark, sf_dir, "nation")
+    j = c.join(n, c["c_nationkey"] == n["n_nationkey"], "inner")
+    key = F.col("c_custkey")
+    ks = key.cast("string")
+    region = F.col("n_regionkey").cast("string")
+    elev = F.col("c_acctbal").cast("decimal(10,2)")
+    since = F.date_add(F.lit(dt.date(1980, 1, 1)), (key % 10000).cast("int"))
+    expo = F.concat(F.lit("exposition-"), region)
+    seg = F.col("c_mktsegment")
+
+    def url(lang: str) -> Column:
+        return F.concat(F.lit("https://stations.example/"), ks, F.lit("/" + lang))
+
+    fields = [
+        ks,
+        F.when(key % 19 == 0, F.repeat(F.lit("x"), 201)).otherwise(F.col("c_name")),
+        F.when(key % 23 == 0, F.lit("CANTON_TOO_LONG")).otherwise(F.col("n_name")),
+        F.concat(F.lit("0-20000-0-"), ks),
+        seg, seg, seg, seg,
+        F.concat(F.lit("owner-"), region),
+        F.when(key % 7 == 0, F.lit("31.02.1990")).otherwise(_date_text(since)),
+        F.when(key % 13 == 0, F.lit("abc")).otherwise(elev.cast("string")),
+        (elev + F.lit(2)).cast("decimal(10,2)").cast("string"),
+        (F.lit(2600000) + key).cast("string"),
+        (F.lit(1200000) + F.col("c_nationkey") * 1000).cast("string"),
+        F.when(key % 11 == 0, F.lit(""))
+        .when(F.col("c_acctbal") >= 0, (F.lit(45) + F.col("n_regionkey")).cast("string"))
+        .otherwise(F.lit("-")),
+        (F.lit(6) + F.col("n_regionkey")).cast("string"),
+        expo, expo, expo, expo,
+        url("de"), url("fr"), url("it"), url("en"),
+    ]
+    return j.select(F.concat_ws(";", *fields).alias("line"), F.lit(STATION_FILE).alias("file_name"))

@@ -55,6 +55,26 @@ def canton_series(fact: DataFrame, dim: DataFrame, as_of: dt.date | None, canton
     ).orderBy(F_("measurement_timestamp").desc(), F_("station_name").asc())
 
 
+def silver_station_series(
+    silver_df: DataFrame, stations: DataFrame, as_of: dt.date | None, canton: str, days: int = 7
+) -> DataFrame:
+    """J1 + F9 + O2: silver measurements joined with the station view for
+    one canton over the last ``days`` days, newest first."""
+    since = F.date_sub(F.lit(as_of) if as_of is not None else F.current_date(), days)
+    m = silver_df.filter(F_("reference_timestamp") >= since.cast("timestamp_ntz"))
+    s = stations.filter(F_("station_canton") == canton).select(
+        "station_abbr", "station_name", "station_canton", "station_height_masl"
+    )
+    return (
+        join_dimension(m, s, on="station_abbr")
+        .select(
+            "station_name", "station_canton", "station_height_masl", "reference_timestamp",
+            F_("tre200s0").alias("temperature_2m"),
+        )
+        .orderBy(F_("reference_timestamp").desc(), F_("station_name").asc())
+    )
+
+
 def daily_station(fact: DataFrame, as_of: dt.date | None, days: int = 30) -> DataFrame:
     """A12."""
     t = F_("temperature_2m")

@@ -153,3 +153,8 @@ def orphan_measurements(fact: DataFrame, dim: DataFrame) -> DataFrame:
     return orphans(fact, dim, "station_key", "station_key").select(
         "station_key", "measurement_timestamp", "source_tier"
     )
+
+
+def sample(df: DataFrame, n: int = 100) -> DataFrame:
+    """Any ``n`` rows (LIMIT without order; which rows is undefined)."""
+    return df.limit(n)

@@ -481,3 +481,42 @@ SELECT station_id, data_tier, asset_name, href FROM tiered
 WHERE data_tier = 'historical'
    OR (data_tier IN ('now', 'recent') AND asset_pos = (
         SELECT MIN(t2.asset_pos) FROM tiered t2 WHERE t2.station_id = tiered.station_id AND t2.data_tier = tiered.data_tier))"""
+
+
+# --- station CSV parse -------------------------------------------------------------
+
+_SKEY = "c_custkey"
+_S_REJECT = (f"CASE WHEN {_SKEY} % 19 = 0 THEN 'station_name_too_long' "
+             f"WHEN {_SKEY} % 23 = 0 THEN 'station_canton_too_long' END")
+ORACLE["station_csv_parse"] = f"""
+SELECT CAST(c_custkey AS VARCHAR) AS station_abbr, c_name AS station_name, n_name AS station_canton,
+  '0-20000-0-' || CAST(c_custkey AS VARCHAR) AS station_wigos_id,
+  c_mktsegment AS station_type_de, c_mktsegment AS station_type_fr, c_mktsegment AS station_type_it,
+  c_mktsegment AS station_type_en, 'owner-' || CAST(n_regionkey AS VARCHAR) AS station_dataowner,
+  CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE DATE '1980-01-01' + CAST(c_custkey % 10000 AS INTEGER) END AS station_data_since,
+  CASE WHEN c_custkey % 13 = 0 THEN NULL ELSE {dbl('CAST(c_acctbal AS DECIMAL(10,2))')} END AS station_height_masl,
+  {dbl('CAST(CAST(c_acctbal AS DECIMAL(10,2)) + 2 AS DECIMAL(10,2))')} AS station_height_barometer_masl,
+  {dbl('2600000 + c_custkey')} AS station_coordinates_lv95_east,
+  {dbl('1200000 + c_nationkey * 1000')} AS station_coordinates_lv95_north,
+  CASE WHEN c_custkey % 11 = 0 OR c_acctbal < 0 THEN NULL ELSE {dbl('45 + n_regionkey')} END AS station_coordinates_wgs84_lat,
+  {dbl('6 + n_regionkey')} AS station_coordinates_wgs84_lon,
+  'exposition-' || CAST(n_regionkey AS VARCHAR) AS station_exposition_de,
+  'exposition-' || CAST(n_regionkey AS VARCHAR) AS station_exposition_fr,
+  'exposition-' || CAST(n_regionkey AS VARCHAR) AS station_exposition_it,
+  'exposition-' || CAST(n_regionkey AS VARCHAR) AS station_exposition_en,
+  'https://stations.example/' || CAST(c_custkey AS VARCHAR) || '/de' AS station_url_de,
+  'https://stations.example/' || CAST(c_custkey AS VARCHAR) || '/fr' AS station_url_fr,
+  'https://stations.example/' || CAST(c_custkey AS VARCHAR) || '/it' AS station_url_it,
+  'https://stations.example/' || CAST(c_custkey AS VARCHAR) || '/en' AS station_url_en,
+  'ogd-smn_meta_stations.csv' AS file_name, TIMESTAMP '2024-01-28 02:00:00' AS loaded_at
+FROM customer JOIN nation ON c_nationkey = n_nationkey
+WHERE {_S_REJECT} IS NULL"""
+ORACLE["station_csv_rejects"] = f"""
+SELECT CAST(c_custkey AS VARCHAR) AS station_abbr, {_S_REJECT} AS reject_reason
+FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE {_S_REJECT} IS NOT NULL"""
+
+ORACLE["silver_station_series"] = with_(*SILVER, STATIONS_CTE) + f"""
+SELECT s.station_name, s.station_canton, {dbl('s.station_height_masl')} AS station_height_masl,
+  m.reference_timestamp, {dbl('m.tre200s0')} AS temperature_2m
+FROM silver m JOIN stations s ON m.station_abbr = s.station_abbr
+WHERE m.reference_timestamp >= {days_back(7)} AND s.station_canton = 'NATION_3'"""
