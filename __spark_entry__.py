@@ -261,6 +261,39 @@ def q_sample_rows(spark, d):
     return portable(quality.sample(_tiers(spark, d)["historical"], 100))
 
 
+def q_stream_live_keys(spark, d):
+    """T5 on a stream: the live tier read as a file stream from the events
+    table, de-duplicated within a 1-day watermark, written by an
+    availableNow trigger to a Parquet sink in the checkpoint folder."""
+    from foehn.session import scratch_path
+    from foehn.streaming.ingest import dedup_within_watermark, run_available_now
+
+    schema = A.table(spark, d, "events").schema
+    events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(d)
+    live = dedup_within_watermark(A.bronze_tier(events, "now"))
+    out, ck = scratch_path(spark, "live-out"), scratch_path(spark, "live-ck")
+    run_available_now(live, out, ck)
+    return spark.read.parquet(out).select("station_abbr", "reference_timestamp")
+
+
+def q_canton_daily_sql(spark, d):
+    """A14 through the SQL API over the layer views (same plan as the
+    DataFrame version: the views expand into dedup + scans)."""
+    from foehn.plans.views import register_views
+
+    register_views(spark, _tiers(spark, d), A.bronze_stations(spark, d), prefix="q_")
+    return spark.sql(f"""
+        SELECT d.station_canton, f.measurement_date,
+               COUNT(DISTINCT f.station_key) AS active_stations,
+               CAST(ROUND(AVG(f.temperature_2m), 6) AS DOUBLE) AS avg_temperature,
+               CAST(SUM(f.precipitation_total_mm) AS DOUBLE) AS total_precipitation,
+               CAST(MAX(f.wind_gust_peak_ms) AS DOUBLE) AS max_wind_gust
+        FROM q_gold_fact f JOIN q_gold_dim_stations d ON f.station_key = d.station_key
+        WHERE f.measurement_date >= DATE '{A.AS_OF.isoformat()}' - INTERVAL 30 DAYS
+        GROUP BY d.station_canton, f.measurement_date
+        ORDER BY d.station_canton, f.measurement_date""")
+
+
 def q_upsert_recent(spark, d):
     target, source = A.upsert_pair(spark, d)
     return merge_upsert(target, source, A.UPSERT_KEYS, A.upsert_order(), with_action=False)
@@ -341,6 +374,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "station_csv_rejects": q_station_csv_rejects,
     "silver_station_series": q_silver_station_series,
     "sample_rows": q_sample_rows,
+    "stream_live_keys": q_stream_live_keys,
+    "canton_daily_sql": q_canton_daily_sql,
     "upsert_recent": q_upsert_recent,
     "upsert_stats": q_upsert_stats,
     "source_dedup": q_source_dedup,

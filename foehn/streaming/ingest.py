@@ -90,17 +90,41 @@ def start_recent_ingest(
                   trigger or {"availableNow": True})
 
 
-def live_view(spark: SparkSession, landing_root: str, watermark: str = "1 day", loaded_at=None) -> DataFrame:
-    """T5: streaming live rows, one per key within the watermark."""
-    good, _ = split_rejects(stream_tier(spark, landing_root, "now", loaded_at))
-    ts = F.col("reference_timestamp")
+def dedup_within_watermark(
+    df: DataFrame, keys=KEY_COLUMNS, ts_col: str = "reference_timestamp", watermark: str = "1 day"
+) -> DataFrame:
+    """One row per key among rows whose time lies within ``watermark`` of the
+    newest time seen; state older than the watermark is dropped, so the
+    state store stays bounded.  (Which duplicate survives is the first to
+    arrive; the de-duplication by tier priority is the batch silver job.)"""
+    ts = F.col(ts_col)
     # watermarks need a zoned TIMESTAMP; reference times are UTC wall-clock
     event_time = F.make_timestamp(
         F.year(ts), F.month(ts), F.dayofmonth(ts), F.hour(ts), F.minute(ts), F.second(ts), F.lit("UTC")
     )
     return (
-        good.withColumn("event_time", event_time)
-        .withWatermark("event_time", watermark)
-        .dropDuplicatesWithinWatermark(KEY_COLUMNS)
-        .drop("event_time")
+        df.withColumn("__event_time", event_time)
+        .withWatermark("__event_time", watermark)
+        .dropDuplicatesWithinWatermark(list(keys))
+        .drop("__event_time")
+    )
+
+
+def live_view(spark: SparkSession, landing_root: str, watermark: str = "1 day", loaded_at=None) -> DataFrame:
+    """T5: streaming live rows, one per key within the watermark."""
+    good, _ = split_rejects(stream_tier(spark, landing_root, "now", loaded_at))
+    return dedup_within_watermark(good, watermark=watermark)
+
+
+def run_available_now(df: DataFrame, out_path: str, checkpoint: str) -> None:
+    """Process everything available into a Parquet sink and stop (the file
+    sink commits exactly once per batch through its log)."""
+    q = (
+        df.writeStream.format("parquet")
+        .option("path", out_path)
+        .option("checkpointLocation", checkpoint)
+        .outputMode("append")
+        .trigger(availableNow=True)
+        .start()
     )
+    q.awaitTermination()

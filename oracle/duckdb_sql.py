@@ -520,3 +520,6 @@ SELECT s.station_name, s.station_canton, {dbl('s.station_height_masl')} AS stati
   m.reference_timestamp, {dbl('m.tre200s0')} AS temperature_2m
 FROM silver m JOIN stations s ON m.station_abbr = s.station_abbr
 WHERE m.reference_timestamp >= {days_back(7)} AND s.station_canton = 'NATION_3'"""
+
+ORACLE["stream_live_keys"] = with_(BRONZE[2]) + "SELECT DISTINCT station_abbr, reference_timestamp FROM b_now"
+ORACLE["canton_daily_sql"] = ORACLE["canton_daily"]
