@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 def list_files(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
     """path, size and modification time of every file under ``root``
-    matching ``glob``.  The content column is pruned, so files are not read."""
+    matching ``glob``, ordered by path (R4).  The content column is pruned,
+    so files are not read."""
     return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
@@ -20,6 +21,7 @@ def list_files(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
             F.col("length").alias("size"),
             F.col("modificationTime").alias("last_modified"),
         )
+        .orderBy("file_path")
     )
 
 
