@@ -294,6 +294,19 @@ def q_canton_daily_sql(spark, d):
         ORDER BY d.station_canton, f.measurement_date""")
 
 
+def q_canton_daily_materialized(spark, d):
+    """A14 over materialised silver: the refresh job writes silver
+    partitioned by day (K8/K9) into the checkpoint folder, and the report
+    reads it back, so the day filter prunes partitions instead of
+    recomputing the de-duplication."""
+    from foehn.session import scratch_path
+
+    path = scratch_path(spark, "silver")
+    silver.refresh_silver(spark, _tiers(spark, d), path)
+    fact = gold.fact_standard_from_silver(silver.read_silver(spark, path, with_partition=True))
+    return portable(analytics.canton_daily(fact, _dim(spark, d), A.AS_OF, days=30))
+
+
 def q_upsert_recent(spark, d):
     target, source = A.upsert_pair(spark, d)
     return merge_upsert(target, source, A.UPSERT_KEYS, A.upsert_order(), with_action=False)
@@ -376,6 +389,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sample_rows": q_sample_rows,
     "stream_live_keys": q_stream_live_keys,
     "canton_daily_sql": q_canton_daily_sql,
+    "canton_daily_materialized": q_canton_daily_materialized,
     "upsert_recent": q_upsert_recent,
     "upsert_stats": q_upsert_stats,
     "source_dedup": q_source_dedup,

@@ -17,8 +17,11 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .joins import bounded_rows
 from .upsert import ACTION, merge_upsert
 
+MAX_TOUCHED_PARTITIONS = 10_000
+
 _VERSION = re.compile(r"^v(\d{6})$")
 
 
@@ -138,6 +141,30 @@ def upsert(
     return {k: int(v) for k, v in obs.get.items()}
 
 
+def touched_partitions(spark: SparkSession, root: str, source: DataFrame, partition_col: str) -> DataFrame:
+    """Rows of the partitions that ``source`` touches.
+
+    A batch touches few days: after checking that the set of partition
+    values is bounded, the values become a partition filter (``IN``), so
+    only the touched partitions are listed and read.  Above the bound a
+    semi join on the partition column gives the same rows."""
+    fs, p = _fs(spark, root)
+    if not fs.exists(p):
+        return spark.createDataFrame([], source.schema)
+    target = spark.read.parquet(root)
+    touched = source.select(partition_col).distinct()
+    if bounded_rows(touched, MAX_TOUCHED_PARTITIONS):
+        # partition values only: a bounded list of days, not table data
+        values = [r[0] for r in touched.collect()]
+        cond = F.col(partition_col).isin(*[v for v in values if v is not None])
+        if any(v is None for v in values):
+            cond = cond | F.col(partition_col).isNull()
+        out = target.filter(cond)
+    else:
+        out = target.join(touched, partition_col, "left_semi")
+    return out.select(*source.columns)
+
+
 def upsert_partitions(
     source: DataFrame,
     root: str,
@@ -156,14 +183,7 @@ def upsert_partitions(
 
     spark = source.sparkSession
     ensure_checkpoint_dir(spark)
-    fs, p = _fs(spark, root)
-    if fs.exists(p):
-        target = spark.read.parquet(root)
-        touched = source.select(partition_col).distinct()
-        target = target.join(touched, partition_col, "left_semi")
-        target = target.select(*source.columns)
-    else:
-        target = spark.createDataFrame([], source.schema)
+    target = touched_partitions(spark, root, source, partition_col)
     merged = merge_upsert(target, source, keys, order)
     obs = Observation("upsert_partitions")
     a = F.col(ACTION)

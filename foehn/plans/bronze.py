@@ -90,17 +90,15 @@ def _run(spark, procedure, tier, ledger_root, body: Callable[[dict], None]) -> D
     return _ledger_row(spark, stats, ledger_root)
 
 
-def _typed_batch(spark, landing_root, tier, loaded_at, stats, only_files: DataFrame | None = None):
+def _typed_batch(spark, landing_root, tier, loaded_at, stats, paths: list[str] | None = None):
     spec = TIER_SPECS[tier]
-    files = list_files(spark, landing_root, spec.glob)
-    stats["files_found"] = files.count()
+    if paths is None:
+        stats["files_found"] = list_files(spark, landing_root, spec.glob).count()
     raw = csv_src.read_raw_csv(
         spark, landing_root, spec.glob,
         csv_src.MEASUREMENT_CSV_FIELDS if tier != "stations" else csv_src.STATION_CSV_FIELDS,
-        encoding=spec.encoding,
+        encoding=spec.encoding, paths=paths,
     )
-    if only_files is not None:
-        raw = raw.join(only_files, "file_name", "left_semi")
     typed = csv_src.typed_stations(raw, loaded_at) if tier == "stations" else csv_src.typed_measurements(raw, loaded_at)
     return typed
 
@@ -175,18 +173,23 @@ def load_historical(spark, landing_root, table_root, loaded_at=None, ledger_root
     the ledger are skipped, new rows are appended by day."""
 
     def body(stats):
-        done = read_ledger(spark, ledger_root) if ledger_root else None
-        only = None
-        if done is not None:
-            loaded = done.filter((F.col("data_tier") == "historical") & (F.col("status") == "SUCCESS")).select(
-                F.explode("file_names").alias("file_name")
-            )
-            spec = TIER_SPECS["historical"]
-            landed = csv_src.read_raw_csv(spark, landing_root, spec.glob, csv_src.MEASUREMENT_CSV_FIELDS).select(
-                "file_name"
-            ).distinct()
-            only = not_yet_loaded(landed, loaded)
-        typed, obs = _observe_counts(_typed_batch(spark, landing_root, "historical", loaded_at, stats, only), "hist")
+        spec = TIER_SPECS["historical"]
+        # file listing only (no content read); the loaded set comes from the ledger
+        landed = list_files(spark, landing_root, spec.glob).select(
+            "file_path", csv_src.relative_path(F.col("file_path"), landing_root).alias("file_name")
+        )
+        stats["files_found"] = landed.count()
+        if ledger_root:
+            loaded = read_ledger(spark, ledger_root).filter(
+                (F.col("data_tier") == "historical") & (F.col("status") == "SUCCESS")
+            ).select(F.explode("file_names").alias("file_name"))
+            landed = not_yet_loaded(landed, loaded)
+        # file paths are listing metadata (the driver lists them for any scan)
+        paths = [r["file_path"] for r in landed.select("file_path").collect()]
+        if not paths:
+            stats.update(rows_parsed=0, rows_rejected=0, file_names=[], files_loaded=0, rows_loaded=0)
+            return
+        typed, obs = _observe_counts(_typed_batch(spark, landing_root, "historical", loaded_at, stats, paths), "hist")
         rows = tables.append(with_partition(fail_on_rejects(typed)), table_root, [PARTITION_COLUMN])
         m = obs.get
         stats.update(rows_parsed=m["rows_parsed"], rows_rejected=m["rows_rejected"], file_names=m["file_names"])

@@ -15,12 +15,17 @@ ALL_TIERS = ("historical", "recent", "now")
 
 def fact_from_silver(silver: DataFrame) -> DataFrame:
     """39 columns - key, timestamp, 5 time parts, 29 measures, tier,
-    2 audit columns."""
+    2 audit columns.  On materialised silver the stored day partition
+    column is used as ``measurement_date`` (same value), so day filters
+    prune partitions."""
     ts = F.col("reference_timestamp")
+    parts = time_parts(ts)
+    if "measurement_date" in silver.columns:
+        parts[0] = F.col("measurement_date").alias("measurement_date")
     return silver.select(
         F.col("station_abbr").alias("station_key"),
         ts.alias("measurement_timestamp"),
-        *time_parts(ts),
+        *parts,
         *[F.col(code).alias(name) for code, name in MEASURES],
         F.col("data_tier").alias("source_tier"),
         F.col("file_name").alias("source_file"),

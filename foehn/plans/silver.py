@@ -85,8 +85,11 @@ def refresh_silver(
     )
 
 
-def read_silver(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).select(*SILVER_COLUMNS)
+def read_silver(spark: SparkSession, path: str, with_partition: bool = False) -> DataFrame:
+    """Materialised silver.  With ``with_partition`` the day column is kept,
+    so day filters on the fact become partition filters."""
+    cols = SILVER_COLUMNS + ([PARTITION_COLUMN] if with_partition else [])
+    return spark.read.parquet(path).select(*cols)
 
 
 def station_view(bronze_stations: DataFrame) -> DataFrame:

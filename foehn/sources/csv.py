@@ -44,11 +44,15 @@ def _uri(path: str) -> str:
     return "file:" + os.path.abspath(path).rstrip("/")
 
 
+def relative_path(path: Column, root: str) -> Column:
+    """``path`` (a full file URI) relative to the landing root."""
+    prefix = _uri(root) + "/"
+    return F.when(path.startswith(prefix), F.substring(path, len(prefix) + 1, 1 << 30)).otherwise(path)
+
+
 def relative_file_name(root: str) -> Column:
     """Source path relative to the landing root (``bas/x_t_now.csv``)."""
-    prefix = _uri(root) + "/"
-    p = F.col("_metadata.file_path")
-    return F.when(p.startswith(prefix), F.expr(f"substring(_metadata.file_path, {len(prefix) + 1})")).otherwise(p)
+    return relative_path(F.col("_metadata.file_path"), root)
 
 
 def read_raw_csv(
@@ -57,13 +61,18 @@ def read_raw_csv(
     glob: str,
     n_fields: int,
     encoding: str = "UTF-8",
+    paths: list[str] | None = None,
 ) -> DataFrame:
-    """Recursive scan of ``root`` for files matching ``glob``;
-    columns ``c1..cN`` plus ``file_name``."""
+    """Recursive scan of ``root`` for files matching ``glob``
+    (or exactly ``paths``, files under ``root``); columns ``c1..cN`` plus
+    ``file_name``."""
     reader = spark.read.schema(raw_schema(n_fields)).options(**CSV_OPTIONS)
-    reader = reader.option("encoding", encoding).option("recursiveFileLookup", "true")
-    reader = reader.option("pathGlobFilter", glob)
-    df = reader.csv(root)
+    reader = reader.option("encoding", encoding)
+    if paths is None:
+        reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
+        df = reader.csv(root)
+    else:
+        df = reader.csv(paths)
     return df.select(*[F.col(f"c{i}") for i in range(1, n_fields + 1)], relative_file_name(root).alias("file_name"))
 
 

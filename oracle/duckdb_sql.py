@@ -523,3 +523,4 @@ WHERE m.reference_timestamp >= {days_back(7)} AND s.station_canton = 'NATION_3'"
 
 ORACLE["stream_live_keys"] = with_(BRONZE[2]) + "SELECT DISTINCT station_abbr, reference_timestamp FROM b_now"
 ORACLE["canton_daily_sql"] = ORACLE["canton_daily"]
+ORACLE["canton_daily_materialized"] = ORACLE["canton_daily"]

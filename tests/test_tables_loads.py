@@ -72,3 +72,15 @@ def test_load_procedures(spark, tmp_path):
     empty = bronze.load_now(spark, str(land), str(tmp_path / "now"), ledger_root=ledger).collect()[0]
     assert empty["status"] == "FAILED"
     assert tables.read_table(spark, str(tmp_path / "now")).count() == 1
+
+
+def test_touched_partitions_prune_at_run_time(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    root = str(tmp_path / "p")
+    spark.range(100).withColumn("d", (F.col("id") % 10).cast("int")).write.partitionBy("d").parquet(root)
+    src = spark.createDataFrame([(1, 3), (2, 4)], "id long, d int")
+    t = tables.touched_partitions(spark, root, src, "d")
+    assert sorted({r["d"] for r in t.collect()}) == [3, 4]
+    p = t._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [d#" in p and " IN (3,4)" in p
