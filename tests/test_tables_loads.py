@@ -84,3 +84,25 @@ def test_touched_partitions_prune_at_run_time(spark, tmp_path):
     assert sorted({r["d"] for r in t.collect()}) == [3, 4]
     p = t._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [d#" in p and " IN (3,4)" in p
+
+
+def test_refresh_all_end_to_end(spark, tmp_path):
+    from foehn.plans import analytics, refresh
+
+    land, wh = tmp_path / "land", str(tmp_path / "wh")
+    write_file(land / "bas" / "ogd-smn_bas_t_historical_2020-2029.csv", HEADER + "BAS;01.01.2024 00:00;1\n")
+    write_file(land / "bas" / "ogd-smn_bas_t_recent.csv",
+               HEADER + "BAS;01.01.2024 00:00;2\nBAS;01.01.2024 00:10;3\n")
+    write_file(land / "bas" / "ogd-smn_bas_t_now.csv", HEADER + "BAS;01.01.2024 00:10;9\nBAS;01.01.2024 00:20;4\n")
+    st = ";".join(f"c{i}" for i in range(1, 25)) + "\n" + ";".join(
+        ["BAS", "Basel", "BS", "w", "t", "t", "t", "t", "o", "01.01.1900", "316", "316", "1", "2", "47.5", "7.5"]
+        + ["e"] * 4 + ["u"] * 4) + "\n"
+    write_file(land / "ogd-smn_meta_stations.csv", st, encoding="latin-1")
+    runs = refresh.refresh_all(spark, str(land), wh).collect()
+    assert [r["status"] for r in runs] == ["SUCCESS"] * 4
+    std, rt, dim = refresh.gold_views(spark, wh)
+    tiers = {r["measurement_timestamp"].minute: r["source_tier"] for r in rt.collect()}
+    assert tiers == {0: "historical", 10: "recent", 20: "now"}
+    assert std.count() == 2
+    daily = analytics.canton_daily(std, dim, dt.date(2024, 1, 2)).collect()
+    assert [(r["station_canton"], r["active_stations"], r["avg_temperature"]) for r in daily] == [("BS", 1, 2.0)]
