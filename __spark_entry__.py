@@ -212,6 +212,18 @@ def q_canton_series(spark, d):
     return portable(analytics.canton_series(_fact_rt(spark, d), _dim(spark, d), A.AS_OF, CANTON, days=7))
 
 
+def q_monthly_station_realtime(spark, d):
+    return portable(analytics.monthly_station(_fact_rt(spark, d), _dim(spark, d), A.AS_OF.year))
+
+
+def q_extremes_30d_realtime(spark, d):
+    return portable(analytics.extremes(_fact_rt(spark, d), _dim(spark, d), A.AS_OF, days=30))
+
+
+def q_series_24h_realtime(spark, d):
+    return portable(analytics.station_series_hours(_fact_rt(spark, d), _dim(spark, d), A.AS_OF_TS, SERIES_STATIONS, 24))
+
+
 def q_last_hour(spark, d):
     return portable(analytics.last_hours(_fact_rt(spark, d), A.AS_OF_TS, hours=1))
 
@@ -379,6 +391,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "series_in_list": q_series_in_list,
     "canton_series": q_canton_series,
     "last_hour": q_last_hour,
+    "monthly_station_realtime": q_monthly_station_realtime,
+    "extremes_30d_realtime": q_extremes_30d_realtime,
+    "series_24h_realtime": q_series_24h_realtime,
     "orphan_measurements": q_orphan_measurements,
     "csv_typed_parse": q_csv_typed_parse,
     "csv_rejects": q_csv_rejects,

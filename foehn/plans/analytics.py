@@ -45,6 +45,18 @@ def last_hours(fact: DataFrame, as_of_ts: dt.datetime | None, hours: int = 1) ->
     )
 
 
+def station_series_hours(
+    fact: DataFrame, dim: DataFrame, as_of_ts: dt.datetime | None, stations: Sequence[str], hours: int = 24
+) -> DataFrame:
+    """F4 + F2 + J2: the last ``hours`` hours of the listed stations."""
+    f = fact.filter(within_hours("measurement_timestamp", as_of_ts, hours)).filter(F_("station_key").isin(*stations))
+    j = _join(f, dim, ["station_name"])
+    return j.orderBy("station_key", "measurement_timestamp").select(
+        "station_name", "measurement_timestamp", "temperature_2m", "relative_humidity_pct",
+        "precipitation_total_mm", "wind_speed_mean_ms",
+    )
+
+
 def canton_series(fact: DataFrame, dim: DataFrame, as_of: dt.date | None, canton: str, days: int = 30) -> DataFrame:
     """F1 + J2 + O2: enriched rows of one canton, newest first."""
     d = dim.filter(F_("station_canton") == canton)

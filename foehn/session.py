@@ -51,25 +51,40 @@ def build_session(
     return spark
 
 
+def _context(spark: SparkSession):
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - no classic context (e.g. Spark Connect)
+        return None
+
+
 def checkpoint_root(spark: SparkSession) -> str | None:
     """The shared folder the cluster names for checkpoints, if any."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    return spark.conf.get("spark.checkpoint.dir", None) or None
+    sc = _context(spark)
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    try:
+        return spark.conf.get("spark.checkpoint.dir", None) or None
+    except Exception:  # noqa: BLE001
+        return None
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the checkpoint folder; only when none is configured (local runs,
-    tests) a fresh scratch folder is created and set."""
+    """Return the checkpoint folder.  Only when the session names none
+    (local runs, tests) a fresh scratch folder is created and set."""
     root = checkpoint_root(spark)
     if root is None:
         root = tempfile.mkdtemp(prefix="foehn-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(root)
-    return spark.sparkContext.getCheckpointDir() or root
+        try:
+            spark.conf.set("spark.checkpoint.dir", root)
+        except Exception:  # noqa: BLE001 - static in some deployments
+            pass
+    sc = _context(spark)
+    if sc is not None:
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(root)
+        return sc.getCheckpointDir() or root
+    return root
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

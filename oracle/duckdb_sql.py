@@ -524,3 +524,12 @@ WHERE m.reference_timestamp >= {days_back(7)} AND s.station_canton = 'NATION_3'"
 ORACLE["stream_live_keys"] = with_(BRONZE[2]) + "SELECT DISTINCT station_abbr, reference_timestamp FROM b_now"
 ORACLE["canton_daily_sql"] = ORACLE["canton_daily"]
 ORACLE["canton_daily_materialized"] = ORACLE["canton_daily"]
+
+ORACLE["monthly_station_realtime"] = ORACLE["monthly_station"].replace(with_(*FACT, *DIM), with_(*FACT_RT, *DIM), 1)
+ORACLE["extremes_30d_realtime"] = ORACLE["extremes_30d"].replace(with_(*FACT, *DIM), with_(*FACT_RT, *DIM), 1)
+ORACLE["series_24h_realtime"] = with_(*FACT_RT, *DIM) + f"""
+SELECT d.station_name, f.measurement_timestamp, {dbl('f.temperature_2m')} AS temperature_2m,
+  {dbl('f.relative_humidity_pct')} AS relative_humidity_pct,
+  {dbl('f.precipitation_total_mm')} AS precipitation_total_mm, {dbl('f.wind_speed_mean_ms')} AS wind_speed_mean_ms
+FROM fact f JOIN dim d ON f.station_key = d.station_key
+WHERE f.measurement_timestamp >= TIMESTAMP '{AS_OF_TS}' - INTERVAL 24 HOUR AND f.station_key IN ('1', '2', '3')"""
