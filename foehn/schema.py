@@ -152,7 +152,7 @@ class TierSpec:
 
 # File-name patterns and load modes per tier.
 TIER_SPECS = {
-    "historical": TierSpec("historical", "*_t_historical_*.csv", write_mode="append", strict=True),
+    "historical": TierSpec("historical", "*t_historical_*.csv", write_mode="append", strict=True),
     "recent": TierSpec("recent", "*_t_recent.csv", write_mode="upsert"),
     "now": TierSpec("now", "*_t_now.csv", write_mode="replace"),
     "stations": TierSpec(

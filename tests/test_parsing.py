@@ -97,3 +97,16 @@ def test_station_file_latin1(spark, landing):
     flags = {r["station_key"]: r["data_quality_flag"] for r in dim.collect()}
     assert flags == {"ABO": "Complete", "GVE": "Incomplete"}
     assert len(dim.columns) == 28
+
+
+def test_crlf_bom_and_quoted_separators(spark, landing):
+    lines = [HEADER.strip(), "BAS;01.01.2024 00:00;1.5", 'BAS;01.01.2024 00:10;"2;5";7',
+             'BAS;01.01.2024 00:20;"3""x"', "BAS;01.01.2024 00:30;" + ";".join(["4"] * 29)]
+    write_file(landing / "bas" / "ogd-smn_bas_t_now.csv", "﻿" + "\r\n".join(lines) + "\r\n")
+    raw = {r["c2"]: r for r in csv_src.read_raw_csv(spark, str(landing), "*_t_now.csv", 31).collect()}
+    assert raw["01.01.2024 00:10"]["c3"] == "2;5" and raw["01.01.2024 00:10"]["c4"] == "7"
+    assert raw["01.01.2024 00:20"]["c3"] == '3"x'
+    assert raw["01.01.2024 00:30"]["c31"] == "4"  # no carriage return left on the last field
+    typed = csv_src.read_measurements(spark, str(landing), "*_t_now.csv", loaded_at=LOADED)
+    assert typed.filter("reject_reason IS NOT NULL").count() == 0
+    assert typed.filter("sre000z0 = 4").count() == 1
