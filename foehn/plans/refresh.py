@@ -52,9 +52,11 @@ def refresh_all(
     warehouse: str,
     loaded_at=None,
     silver_days: Iterable[dt.date] | None = None,
+    keep_versions: int = 2,
 ) -> DataFrame:
     """Run every load, then refresh silver (all days, or only
-    ``silver_days``).  Returns the ledger rows of this run."""
+    ``silver_days``) and drop versions older than ``keep_versions``.
+    Returns the ledger rows of this run."""
     p = paths(warehouse)
     runs = [
         bronze.load_stations(spark, landing, p["stations"], loaded_at, p["ledger"]),
@@ -63,6 +65,9 @@ def refresh_all(
         bronze.load_now(spark, landing, p["now"], loaded_at, p["ledger"]),
     ]
     silver.refresh_silver(spark, bronze_tables(spark, warehouse), p["silver"], silver_days)
+    # keep the previous version of each replaced table for readers still on it
+    for name in ("silver", "now", "stations"):
+        tables.vacuum(spark, p[name], keep=keep_versions)
     out = runs[0]
     for r in runs[1:]:
         out = out.unionByName(r)

@@ -60,15 +60,21 @@ def refresh_silver(
     tiers: dict[str, DataFrame],
     out_path: str,
     touched_dates: Iterable[dt.date] | DataFrame | None = None,
-) -> None:
-    """K8/K9: materialise silver as Parquet partitioned by day.
-
-    With ``touched_dates`` only those days are recomputed and only their
-    partitions are replaced (dynamic partition overwrite); other days stay.
+) -> str:
+    """K8/K9: materialise silver as Parquet partitioned by day; returns the
+    path of the version written.
+
+    ``out_path`` holds versions (see ``operators.tables``).  A full refresh
+    writes a new version, which readers see only once its job committed, so
+    a failed or interrupted refresh leaves the previous silver readable.
+    With ``touched_dates`` only those days are recomputed and replaced inside
+    the current version (dynamic partition overwrite); other days stay.
     Files are rebalanced by day (AQE splits a heavy day, merges light ones)
     and sorted by station and time inside each file, which keeps the
     per-file min/max statistics tight for station and time predicates.
     """
+    from ..operators import tables
+
     if isinstance(touched_dates, DataFrame):
         tiers = restrict_to_days(tiers, touched_dates)
     elif touched_dates is not None:
@@ -77,19 +83,25 @@ def refresh_silver(
     out = silver.hint("rebalance", PARTITION_COLUMN).sortWithinPartitions(
         PARTITION_COLUMN, "station_abbr", "reference_timestamp"
     )
+    current = tables.current_path(spark, out_path)
+    if touched_dates is None or current is None:
+        return tables.write_version(out, out_path, [PARTITION_COLUMN])
     (
         out.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic" if touched_dates is not None else "static")
+        .option("partitionOverwriteMode", "dynamic")
         .partitionBy(PARTITION_COLUMN)
-        .parquet(out_path)
+        .parquet(current)
     )
+    return current
 
 
 def read_silver(spark: SparkSession, path: str, with_partition: bool = False) -> DataFrame:
-    """Materialised silver.  With ``with_partition`` the day column is kept,
-    so day filters on the fact become partition filters."""
+    """Current version of materialised silver.  With ``with_partition`` the
+    day column is kept, so day filters on the fact become partition filters."""
+    from ..operators import tables
+
     cols = SILVER_COLUMNS + ([PARTITION_COLUMN] if with_partition else [])
-    return spark.read.parquet(path).select(*cols)
+    return spark.read.parquet(tables.current_path(spark, path) or path).select(*cols)
 
 
 def station_view(bronze_stations: DataFrame) -> DataFrame:

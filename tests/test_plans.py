@@ -48,13 +48,23 @@ def test_silver_refresh_and_pushdown(spark, tmp_path):
     s = silver.read_silver(spark, out)
     full = s.count()
     assert full == silver.silver_measurements(tiers).count()
-    q = spark.read.parquet(out).filter(F.col("measurement_date") == dt.date(2024, 1, 5)).filter(
+    q = silver.read_silver(spark, out, with_partition=True).filter(
+        F.col("measurement_date") == dt.date(2024, 1, 5)).filter(
         F.col("station_abbr") == "3")
     p = q._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(measurement_date" in p
     assert "PushedFilters: [IsNotNull(station_abbr), EqualTo(station_abbr,3)]" in p
     # touched-date refresh rewrites one day and leaves the others
-    before = {r["measurement_date"]: r["c"] for r in spark.read.parquet(out).groupBy("measurement_date").agg(F.count("*").alias("c")).collect()}
+    def per_day():
+        s = silver.read_silver(spark, out, with_partition=True)
+        return {r["measurement_date"]: r["c"] for r in s.groupBy("measurement_date").agg(F.count("*").alias("c")).collect()}
+
+    before = per_day()
     silver.refresh_silver(spark, tiers, out, touched_dates=[dt.date(2024, 1, 5)])
-    after = {r["measurement_date"]: r["c"] for r in spark.read.parquet(out).groupBy("measurement_date").agg(F.count("*").alias("c")).collect()}
-    assert before == after
+    assert per_day() == before
+    # a full refresh publishes a new version; the touched-day refresh did not
+    from foehn.operators import tables
+
+    assert tables.versions(spark, out) == [1]
+    silver.refresh_silver(spark, tiers, out)
+    assert tables.versions(spark, out) == [1, 2] and per_day() == before
