@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from ..functions.time import floor_minutes
 from ..schema import BRONZE_COLUMNS, MEASURE_CODES, MEASURE_TYPE, STATION_COLUMNS
+from ..sources.splits import spread
 
 # Fixed analogue parameters (the "current" date/time of the test data).
 AS_OF = dt.date(2024, 1, 30)
@@ -60,6 +61,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def fact_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A fact-sized test table, spread over the cores when its file holds a
+    single row group (the driver's files do; large tables pass unchanged)."""
+    return spread(table(spark, sf_dir, name))
+
+
 def _dec(c: Column) -> Column:
     return c.cast(MEASURE_TYPE)
 
@@ -120,7 +127,7 @@ def bronze_tier(events: DataFrame, tier: str) -> DataFrame:
 
 
 def bronze_tiers(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    events = table(spark, sf_dir, "events")
+    events = fact_table(spark, sf_dir, "events")
     return {t: bronze_tier(events, t) for t in TIER_WINDOWS}
 
 
@@ -201,7 +208,7 @@ def raw_csv_lines(spark: SparkSession, sf_dir: str, tier: str | None = None) ->
     * wind speed: %19 an 11th decimal digit 5 (rounds half-up)
     * %31 = 0: short row (only two fields); %37 = 0: two extra fields
     """
-    e = table(spark, sf_dir, "events")
+    e = fact_table(spark, sf_dir, "events")
     if tier is not None:
         e = _window(e, tier)
     eid = F.col("event_id")
@@ -249,7 +256,7 @@ def raw_csv_lines(spark: SparkSession, sf_dir: str, tier: str | None = None) ->
 def upsert_pair(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """(target, source): target = older lineitems, source = newer lineitems
     with a corrected quantity; the slices overlap by one year."""
-    li = table(spark, sf_dir, "lineitem")
+    li = fact_table(spark, sf_dir, "lineitem")
     target = li.filter(F.col("l_shipdate") < ntz(UPSERT_TARGET_BEFORE))
     source = li.filter(F.col("l_shipdate") >= ntz(UPSERT_SOURCE_FROM)).withColumn(
         "l_quantity", F.col("l_quantity") + F.lit(1.0)

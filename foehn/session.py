@@ -24,6 +24,11 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # HotSpot does not JIT-compile methods above 8000 bytes of bytecode; the
+    # typed CSV projection (29 decimal casts + timestamp parse + reject rule)
+    # fused with its filter exceeds that, so fall back to per-operator
+    # codegen there instead of running one interpreted method
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",

@@ -68,3 +68,17 @@ def test_silver_refresh_and_pushdown(spark, tmp_path):
     assert tables.versions(spark, out) == [1]
     silver.refresh_silver(spark, tiers, out)
     assert tables.versions(spark, out) == [1, 2] and per_day() == before
+
+
+def test_spread_only_under_split_inputs(spark):
+    """A single-row-group file is round-robined over the cores with filters
+    still pushed to the scan; an input with enough splits is left alone."""
+    from foehn.sources.splits import input_splits, spread
+
+    one = A.table(spark, SF_SMALL, "events")
+    assert input_splits(one) == 1
+    p = plan(spread(one, cores=4).filter(F.col("user_id") == 3))
+    assert "RoundRobinPartitioning(4)" in p
+    assert "EqualTo(user_id,3)" in p
+    many = spark.range(0, 1000, numPartitions=4)
+    assert spread(many, cores=4) is many
