@@ -37,12 +37,18 @@ def fail_on_rejects(df_with_reason: DataFrame) -> DataFrame:
     return df_with_reason.filter(guard.isNull()).drop(REASON)
 
 
-def stage(df: DataFrame) -> DataFrame:
-    """K6: materialise a parsed batch once (reliable checkpoint in the
-    session's checkpoint folder), so the good rows and the rejects are both
-    read from the staged copy instead of parsing the input twice; the
-    lineage is cut, so a lost executor re-reads the staged files."""
-    from ..session import ensure_checkpoint_dir
-
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def stage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """K6: materialise a parsed batch once, so the good rows and the rejects
+    are both read from the staged copy instead of parsing the input twice.
+
+    The batch is written as Parquet to a fresh folder inside the session's
+    checkpoint folder (shared storage on a cluster) and read back: the
+    lineage is cut, so a lost executor re-reads the staged files, the copy
+    is compressed and columnar, and a reader of the rejects reads only the
+    columns it selects."""
+    from ..session import scratch_path
+
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

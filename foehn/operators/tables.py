@@ -175,14 +175,15 @@ def upsert_partitions(
 ) -> dict[str, int]:
     """K4 for a day-partitioned table: only the partitions present in the
     source are read (semi-join on the partition column, so Spark prunes the
-    others at run time), merged, staged with a reliable checkpoint and
-    written back with dynamic partition overwrite.  Other days are never
+    others at run time), merged, staged as Parquet in the checkpoint folder
+    (the job reads the partitions it replaces, so the merge result must be
+    materialised before the overwrite) and written back with dynamic
+    partition overwrite.  Other days are never
     touched.  ``partition_col`` must be derivable from the key, so a key
     never spans two partitions."""
-    from ..session import ensure_checkpoint_dir
+    from .rejects import stage
 
     spark = source.sparkSession
-    ensure_checkpoint_dir(spark)
     target = touched_partitions(spark, root, source, partition_col)
     merged = merge_upsert(target, source, keys, order)
     obs = Observation("upsert_partitions")
@@ -193,7 +194,7 @@ def upsert_partitions(
         F.count_if(a == "updated").alias("rows_updated"),
         F.count(F.lit(1)).alias("rows_written"),
     )
-    staged = merged.drop(ACTION).checkpoint(eager=True)
+    staged = stage(merged.drop(ACTION), "upsert-stage")
     (
         staged.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
