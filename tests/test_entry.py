@@ -45,3 +45,19 @@ def test_query_matches_oracle(spark, con, name):
     dn, dr = rows_of(dt_)
     assert sn == dn
     assert sr == dr
+
+
+TIME_SENSITIVE = ["fact_realtime", "last_hour", "hourly_yesterday", "load_history", "stream_live_keys",
+                  "csv_typed_parse", "station_coverage"]
+
+
+@pytest.mark.parametrize("name", TIME_SENSITIVE)
+def test_results_do_not_depend_on_session_time_zone(spark, con, name):
+    """Wall-clock (NTZ) semantics: the same rows under a non-UTC session zone."""
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+    try:
+        st = E.queries()[name](spark, SF_SMALL).toArrow()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert rows_of(st) == rows_of(con.sql(E.oracle_sql()[name]).to_arrow_table())
