@@ -23,6 +23,12 @@ DEFAULT_CONF = {
     # target and splits skewed ones, so one setting holds from sf0.1 to 100 TB
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # no broadcast from plan-time size estimates (a compressed file size says
+    # little about the in-memory size): a side is broadcast only behind a
+    # counted bound (operators.joins) or when AQE has *measured* its shuffle
+    # output below the runtime threshold; everything else sort-merge joins
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10m",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # HotSpot does not JIT-compile methods above 8000 bytes of bytecode; the
     # typed CSV projection (29 decimal casts + timestamp parse + reject rule)

@@ -82,3 +82,16 @@ def test_spread_only_under_split_inputs(spark):
     assert "EqualTo(user_id,3)" in p
     many = spark.range(0, 1000, numPartitions=4)
     assert spread(many, cores=4) is many
+
+
+def test_no_broadcast_from_plan_estimates(spark):
+    """The upsert's joins grow with the data and carry no counted bound, so
+    the plan before execution sort-merge joins them (AQE may still switch to
+    a broadcast once it has measured a side)."""
+    from foehn.operators.upsert import merge_upsert
+
+    target, source = A.upsert_pair(spark, SF_SMALL)
+    merged = merge_upsert(target, source, A.UPSERT_KEYS, A.upsert_order())
+    p = plan(merged)
+    assert "isFinalPlan=false" in p
+    assert "BroadcastHashJoin" not in p and p.count("SortMergeJoin") == 2
