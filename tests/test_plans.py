@@ -95,3 +95,19 @@ def test_no_broadcast_from_plan_estimates(spark):
     p = plan(merged)
     assert "isFinalPlan=false" in p
     assert "BroadcastHashJoin" not in p and p.count("SortMergeJoin") == 2
+
+
+def test_stage_cuts_lineage_at_the_checkpoint_folder(spark):
+    """K6: the staged batch is read back from Parquet under the session's
+    checkpoint folder, with the same rows."""
+    from foehn.operators.rejects import stage
+    from foehn.session import checkpoint_root
+
+    df = spark.range(100).withColumn("x", F.col("id") * 2)
+    s = stage(df)
+    p = plan(s)
+    root = checkpoint_root(spark).split(":", 1)[-1].rstrip("/")
+    assert "FileScan parquet" in p and "Range" not in p
+    files = s.inputFiles()
+    assert files and all(root in f and "/foehn/stage-" in f for f in files)
+    assert sorted(r.x for r in s.collect()) == [2 * i for i in range(100)]
