@@ -8,6 +8,9 @@ become NULL and keep the row.  A NULL timestamp (empty field) keeps the row.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,9 +49,28 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     lineage is cut, so a lost executor re-reads the staged files, the copy
     is compressed and columnar, and a reader of the rejects reads only the
     columns it selects."""
+    return _stage(df, name)[0]
+
+
+def _stage(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     from ..session import scratch_path
 
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+@contextmanager
+def staged(df: DataFrame, name: str = "stage") -> Iterator[DataFrame]:
+    """``stage`` for one block of work (a load, a micro-batch): the staged
+    folder is removed when the block ends, so repeated loads do not pile up
+    copies in the checkpoint folder.  Every job reading the copy must run
+    inside the block."""
+    from .tables import remove_path
+
+    out, path = _stage(df, name)
+    try:
+        yield out
+    finally:
+        remove_path(df.sparkSession, path)

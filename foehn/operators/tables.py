@@ -80,6 +80,13 @@ def _drop(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder (staged copies) if it exists."""
+    fs, p = _fs(spark, path)
+    if fs.exists(p):
+        fs.delete(p, True)
+
+
 def write_version(df: DataFrame, root: str, partition_by: Sequence[str] = ()) -> str:
     """Write ``df`` as the next version and return its path."""
     spark = df.sparkSession
@@ -181,7 +188,7 @@ def upsert_partitions(
     partition overwrite.  Other days are never
     touched.  ``partition_col`` must be derivable from the key, so a key
     never spans two partitions."""
-    from .rejects import stage
+    from .rejects import staged
 
     spark = source.sparkSession
     target = touched_partitions(spark, root, source, partition_col)
@@ -194,13 +201,13 @@ def upsert_partitions(
         F.count_if(a == "updated").alias("rows_updated"),
         F.count(F.lit(1)).alias("rows_written"),
     )
-    staged = stage(merged.drop(ACTION), "upsert-stage")
-    (
-        staged.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition_col)
-        .parquet(root)
-    )
+    with staged(merged.drop(ACTION), "upsert-stage") as out:
+        (
+            out.write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(partition_col)
+            .parquet(root)
+        )
     return {k: int(v) for k, v in obs.get.items()}
 
 

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import tables
-from ..operators.rejects import REASON, fail_on_rejects, split_rejects, stage
+from ..operators.rejects import REASON, fail_on_rejects, split_rejects, staged
 from ..schema import KEY_COLUMNS, TIER_SPECS
 from ..sources import csv as csv_src
 from ..sources.inventory import list_files, not_yet_loaded
@@ -120,12 +120,12 @@ def load_now(spark, landing_root, table_root, loaded_at=None, ledger_root=None,
 
     def body(stats):
         typed, obs = _observe_counts(_typed_batch(spark, landing_root, "now", loaded_at, stats), "now")
-        staged = stage(typed)
-        m = obs.get
-        stats.update(rows_parsed=m["rows_parsed"], rows_rejected=m["rows_rejected"], file_names=m["file_names"])
-        stats["files_loaded"] = len(m["file_names"])
-        good, _ = split_rejects(staged)
-        stats["rows_loaded"] = tables.replace(good, table_root, allow_empty=allow_empty)
+        with staged(typed) as batch:
+            m = obs.get
+            stats.update(rows_parsed=m["rows_parsed"], rows_rejected=m["rows_rejected"], file_names=m["file_names"])
+            stats["files_loaded"] = len(m["file_names"])
+            good, _ = split_rejects(batch)
+            stats["rows_loaded"] = tables.replace(good, table_root, allow_empty=allow_empty)
 
     return _run(spark, "load_now", "now", ledger_root, body)
 
@@ -135,12 +135,12 @@ def load_stations(spark, landing_root, table_root, loaded_at=None, ledger_root=N
 
     def body(stats):
         typed, obs = _observe_counts(_typed_batch(spark, landing_root, "stations", loaded_at, stats), "stations")
-        staged = stage(typed)
-        m = obs.get
-        stats.update(rows_parsed=m["rows_parsed"], rows_rejected=m["rows_rejected"], file_names=m["file_names"])
-        stats["files_loaded"] = len(m["file_names"])
-        good, _ = split_rejects(staged)
-        stats["rows_loaded"] = tables.replace(good, table_root, allow_empty=allow_empty)
+        with staged(typed) as batch:
+            m = obs.get
+            stats.update(rows_parsed=m["rows_parsed"], rows_rejected=m["rows_rejected"], file_names=m["file_names"])
+            stats["files_loaded"] = len(m["file_names"])
+            good, _ = split_rejects(batch)
+            stats["rows_loaded"] = tables.replace(good, table_root, allow_empty=allow_empty)
 
     return _run(spark, "load_stations", "stations", ledger_root, body)
 
@@ -154,13 +154,13 @@ def load_recent(spark, landing_root, table_root, loaded_at=None, ledger_root=Non
 
     def body(stats):
         typed, obs = _observe_counts(_typed_batch(spark, landing_root, "recent", loaded_at, stats), "recent")
-        staged = stage(typed)
-        m = obs.get
-        stats.update(rows_parsed=m["rows_parsed"], rows_rejected=m["rows_rejected"], file_names=m["file_names"])
-        stats["files_loaded"] = len(m["file_names"])
-        good, _ = split_rejects(staged)
-        order = [F.col("loaded_at").desc_nulls_last(), F.col("file_name").asc_nulls_last()]
-        counts = tables.upsert_partitions(with_partition(good), table_root, KEY_COLUMNS, PARTITION_COLUMN, order)
+        with staged(typed) as batch:
+            m = obs.get
+            stats.update(rows_parsed=m["rows_parsed"], rows_rejected=m["rows_rejected"], file_names=m["file_names"])
+            stats["files_loaded"] = len(m["file_names"])
+            good, _ = split_rejects(batch)
+            order = [F.col("loaded_at").desc_nulls_last(), F.col("file_name").asc_nulls_last()]
+            counts = tables.upsert_partitions(with_partition(good), table_root, KEY_COLUMNS, PARTITION_COLUMN, order)
         stats["rows_inserted"] = counts["rows_inserted"]
         stats["rows_updated"] = counts["rows_updated"]
         stats["rows_loaded"] = spark.read.parquet(table_root).count()

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import tables
-from ..operators.rejects import split_rejects, stage
+from ..operators.rejects import split_rejects, staged
 from ..schema import KEY_COLUMNS, MEASUREMENT_CSV_FIELDS, TIER_SPECS, raw_schema
 from ..sources.csv import CSV_OPTIONS, relative_file_name, typed_measurements
 
@@ -79,12 +79,13 @@ def start_recent_ingest(
     from ..plans.bronze import PARTITION_COLUMN, with_partition
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        good, _ = split_rejects(stage(df))  # parse once, read twice
-        good = with_partition(good)
-        order = [F.col("loaded_at").desc_nulls_last(), F.col("file_name").asc_nulls_last()]
-        tables.upsert_partitions(good, table_root, KEY_COLUMNS, PARTITION_COLUMN, order)
-        if silver_refresh is not None:
-            silver_refresh(good.select(PARTITION_COLUMN).distinct())
+        with staged(df, "recent-batch") as parsed:  # parse once, read twice
+            good, _ = split_rejects(parsed)
+            good = with_partition(good)
+            order = [F.col("loaded_at").desc_nulls_last(), F.col("file_name").asc_nulls_last()]
+            tables.upsert_partitions(good, table_root, KEY_COLUMNS, PARTITION_COLUMN, order)
+            if silver_refresh is not None:
+                silver_refresh(good.select(PARTITION_COLUMN).distinct())
 
     return _start(stream_tier(spark, landing_root, "recent", loaded_at), batch, checkpoint,
                   trigger or {"availableNow": True})

@@ -111,3 +111,15 @@ def test_stage_cuts_lineage_at_the_checkpoint_folder(spark):
     files = s.inputFiles()
     assert files and all(root in f and "/foehn/stage-" in f for f in files)
     assert sorted(r.x for r in s.collect()) == [2 * i for i in range(100)]
+
+
+def test_staged_copy_is_removed_after_the_block(spark):
+    import os
+
+    from foehn.operators.rejects import staged
+
+    with staged(spark.range(10), "t-stage") as s:
+        files = s.inputFiles()
+        assert s.count() == 10 and files
+    folder = files[0].split(":", 1)[-1].rsplit("/", 1)[0]
+    assert "/foehn/t-stage-" in folder and not os.path.exists(folder)
