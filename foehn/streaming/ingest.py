@@ -53,16 +53,20 @@ def _start(df: DataFrame, fn: Callable[[DataFrame, int], None], checkpoint: str,
 
 def start_now_ingest(
     spark: SparkSession, landing_root: str, table_root: str, checkpoint: str,
-    trigger: dict | None = None, loaded_at=None,
+    trigger: dict | None = None, loaded_at=None, keep_versions: int = 2,
 ) -> StreamingQuery:
-    """Every micro-batch replaces the live table (empty batches do not)."""
+    """Every micro-batch replaces the live table (empty batches do not).
+    Versions older than the newest ``keep_versions`` are dropped after each
+    replace (readers still on the previous version keep it), so a stream
+    that replaces every 10 minutes does not accumulate versions."""
 
     def batch(df: DataFrame, batch_id: int) -> None:
         good, _ = split_rejects(df)
         try:
             tables.replace(good, table_root)
         except ValueError:
-            pass  # empty batch: keep the current live table
+            return  # empty batch: keep the current live table
+        tables.vacuum(spark, table_root, keep=keep_versions)
 
     return _start(stream_tier(spark, landing_root, "now", loaded_at), batch, checkpoint,
                   trigger or {"availableNow": True})

@@ -54,3 +54,12 @@ def test_live_view_dedups_within_watermark(spark, tmp_path):
     out = spark.sql("SELECT station_abbr, reference_timestamp FROM live_t5")
     assert out.count() == 2
     assert out.select(F.countDistinct("reference_timestamp")).collect()[0][0] == 2
+
+
+def test_now_stream_keeps_only_recent_versions(spark, tmp_path):
+    land, table, ck = tmp_path / "land", str(tmp_path / "now"), str(tmp_path / "ck")
+    for run in range(1, 4):
+        write_file(land / f"run={run}" / "bas" / "ogd-smn_bas_t_now.csv", HEADER + f"BAS;01.01.2024 00:{run}0;{run}\n")
+        ingest.start_now_ingest(spark, str(land), table, ck, keep_versions=2).awaitTermination()
+    assert tables.versions(spark, table) == [2, 3]
+    assert [float(r["tre200s0"]) for r in tables.read_table(spark, table).collect()] == [3.0]
