@@ -90,15 +90,18 @@ def _run(spark, procedure, tier, ledger_root, body: Callable[[dict], None]) -> D
     return _ledger_row(spark, stats, ledger_root)
 
 
-def _typed_batch(spark, landing_root, tier, loaded_at, stats, paths: list[str] | None = None):
+def _typed_batch(spark, landing_root, tier, loaded_at, stats, paths: list[str] | None = None, glob: str | None = None):
     spec = TIER_SPECS[tier]
-    if paths is None:
-        stats["files_found"] = list_files(spark, landing_root, spec.glob).count()
+    glob = glob or spec.glob
     raw = csv_src.read_raw_csv(
-        spark, landing_root, spec.glob,
+        spark, landing_root, glob,
         csv_src.MEASUREMENT_CSV_FIELDS if tier != "stations" else csv_src.STATION_CSV_FIELDS,
         encoding=spec.encoding, paths=paths,
     )
+    if paths is None:
+        # the scan's own file index (listed once, on the driver or by a
+        # parallel listing job), not a second listing of the landing folder
+        stats["files_found"] = len(raw.inputFiles())
     typed = csv_src.typed_stations(raw, loaded_at) if tier == "stations" else csv_src.typed_measurements(raw, loaded_at)
     return typed
 
@@ -115,11 +118,13 @@ def _observe_counts(df: DataFrame, name: str):
     return df, obs
 
 
-def load_now(spark, landing_root, table_root, loaded_at=None, ledger_root=None, allow_empty=False) -> DataFrame:
-    """Live tier, tolerant parse, full replace."""
+def load_now(spark, landing_root, table_root, loaded_at=None, ledger_root=None, allow_empty=False,
+             glob=None) -> DataFrame:
+    """Live tier, tolerant parse, full replace.  ``glob`` overrides the
+    tier's file-name pattern."""
 
     def body(stats):
-        typed, obs = _observe_counts(_typed_batch(spark, landing_root, "now", loaded_at, stats), "now")
+        typed, obs = _observe_counts(_typed_batch(spark, landing_root, "now", loaded_at, stats, glob=glob), "now")
         with staged(typed) as batch:
             m = obs.get
             stats.update(rows_parsed=m["rows_parsed"], rows_rejected=m["rows_rejected"], file_names=m["file_names"])
@@ -130,11 +135,14 @@ def load_now(spark, landing_root, table_root, loaded_at=None, ledger_root=None,
     return _run(spark, "load_now", "now", ledger_root, body)
 
 
-def load_stations(spark, landing_root, table_root, loaded_at=None, ledger_root=None, allow_empty=False) -> DataFrame:
+def load_stations(spark, landing_root, table_root, loaded_at=None, ledger_root=None, allow_empty=False,
+                  glob=None) -> DataFrame:
     """Station metadata (Latin-1), tolerant parse, full replace."""
 
     def body(stats):
-        typed, obs = _observe_counts(_typed_batch(spark, landing_root, "stations", loaded_at, stats), "stations")
+        typed, obs = _observe_counts(
+            _typed_batch(spark, landing_root, "stations", loaded_at, stats, glob=glob), "stations"
+        )
         with staged(typed) as batch:
             m = obs.get
             stats.update(rows_parsed=m["rows_parsed"], rows_rejected=m["rows_rejected"], file_names=m["file_names"])
@@ -149,11 +157,13 @@ def with_partition(df: DataFrame) -> DataFrame:
     return df.withColumn(PARTITION_COLUMN, F.to_date("reference_timestamp"))
 
 
-def load_recent(spark, landing_root, table_root, loaded_at=None, ledger_root=None) -> DataFrame:
+def load_recent(spark, landing_root, table_root, loaded_at=None, ledger_root=None, glob=None) -> DataFrame:
     """R2: recent tier, tolerant parse, keyed upsert of the touched days."""
 
     def body(stats):
-        typed, obs = _observe_counts(_typed_batch(spark, landing_root, "recent", loaded_at, stats), "recent")
+        typed, obs = _observe_counts(
+            _typed_batch(spark, landing_root, "recent", loaded_at, stats, glob=glob), "recent"
+        )
         with staged(typed) as batch:
             m = obs.get
             stats.update(rows_parsed=m["rows_parsed"], rows_rejected=m["rows_rejected"], file_names=m["file_names"])

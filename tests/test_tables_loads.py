@@ -35,6 +35,9 @@ def test_load_procedures(spark, tmp_path):
     ledger = str(tmp_path / "ledger")
     now = bronze.load_now(spark, str(land), str(tmp_path / "now"), ledger_root=ledger).collect()[0]
     assert now["status"] == "SUCCESS" and now["rows_loaded"] == 1 and now["rows_rejected"] == 1
+    assert (now["files_found"], now["files_loaded"]) == (1, 1)  # the tier's pattern skips the other files
+    alt = bronze.load_now(spark, str(land), str(tmp_path / "alt"), glob="*_t_recent.csv").collect()[0]
+    assert (alt["files_found"], alt["rows_loaded"]) == (1, 2)
 
     rec = bronze.load_recent(spark, str(land), str(tmp_path / "recent"), ledger_root=ledger).collect()[0]
     assert rec["status"] == "SUCCESS" and (rec["rows_inserted"], rec["rows_updated"]) == (2, 0)
@@ -59,6 +62,7 @@ def test_load_procedures(spark, tmp_path):
     write_file(land / "zrh" / "ogd-smn_zrh_t_historical_2020-2029.csv", HEADER + "ZRH;bad;1\n")
     h3 = bronze.load_historical(spark, str(land), str(tmp_path / "hist"), ledger_root=ledger).collect()[0]
     assert h3["status"] == "FAILED" and h3["errors"]
+    assert h3["files_found"] == 2  # both landed historical files are listed; only the new one is read
     assert spark.read.parquet(str(tmp_path / "hist")).count() == 1
 
     led = bronze.read_ledger(spark, ledger)
