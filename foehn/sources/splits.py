@@ -12,6 +12,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+# A task gets at least this much input file; a small file on a large cluster
+# is spread over a few tasks, not over every core.
+MIN_BYTES_PER_TASK = 64 * 1024
+
 
 def input_splits(df: DataFrame) -> int | None:
     """Number of partitions the scan of ``df`` yields (planning only, no job);
@@ -29,9 +33,28 @@ def parallelism(df: DataFrame) -> int | None:
         return None
 
 
-def spread(df: DataFrame, cores: int | None = None) -> DataFrame:
-    """``df`` round-robined over ``cores`` partitions (default: the session's
-    parallelism) when it has fewer splits than that; otherwise ``df``.
+def input_bytes(df: DataFrame, max_files: int) -> int | None:
+    """Total size of the files ``df`` reads (file-system metadata only), or
+    None when it reads more than ``max_files`` files or sizes are unknown."""
+    try:
+        files = df.inputFiles()
+        if not files or len(files) > max_files:
+            return None
+        sc = df.sparkSession.sparkContext
+        conf = sc._jsc.hadoopConfiguration()
+        total = 0
+        for f in files:
+            p = sc._jvm.org.apache.hadoop.fs.Path(f)
+            total += p.getFileSystem(conf).getFileStatus(p).getLen()
+        return total
+    except Exception:  # noqa: BLE001 - no classic context
+        return None
+
+
+def spread(df: DataFrame, cores: int | None = None, min_bytes: int = MIN_BYTES_PER_TASK) -> DataFrame:
+    """``df`` round-robined over up to ``cores`` partitions (default: the
+    session's parallelism) when it has fewer splits than that; otherwise
+    ``df``.  No task gets less than ``min_bytes`` of input file.
 
     Filters above the result are still pushed below the repartition into the
     scan, so only the rows a query keeps are moved.
@@ -40,4 +63,7 @@ def spread(df: DataFrame, cores: int | None = None) -> DataFrame:
     have = input_splits(df)
     if want is None or have is None or have >= want:
         return df
-    return df.repartition(want)
+    size = input_bytes(df, max_files=want)
+    if size is not None:
+        want = min(want, max(1, -(-size // min_bytes)))
+    return df if want <= have else df.repartition(want)

@@ -77,11 +77,15 @@ def test_spread_only_under_split_inputs(spark):
 
     one = A.table(spark, SF_SMALL, "events")
     assert input_splits(one) == 1
-    p = plan(spread(one, cores=4).filter(F.col("user_id") == 3))
+    p = plan(spread(one, cores=4, min_bytes=4096).filter(F.col("user_id") == 3))
     assert "RoundRobinPartitioning(4)" in p
     assert "EqualTo(user_id,3)" in p
     many = spark.range(0, 1000, numPartitions=4)
     assert spread(many, cores=4) is many
+    # a small file is not cut finer than the minimum input per task
+    small = A.table(spark, SF_SMALL, "events")  # about 20 KB
+    assert spread(small, cores=1000, min_bytes=8 * 1024).rdd.getNumPartitions() < 10
+    assert spread(small, cores=1000, min_bytes=1 << 20) is small
 
 
 def test_no_broadcast_from_plan_estimates(spark):
