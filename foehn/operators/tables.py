@@ -17,7 +17,6 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .joins import bounded_rows
 from .upsert import ACTION, merge_upsert
 
 MAX_TOUCHED_PARTITIONS = 10_000
@@ -160,9 +159,10 @@ def touched_partitions(spark: SparkSession, root: str, source: DataFrame, partit
         return spark.createDataFrame([], source.schema)
     target = spark.read.parquet(root)
     touched = source.select(partition_col).distinct()
-    if bounded_rows(touched, MAX_TOUCHED_PARTITIONS):
-        # partition values only: a bounded list of days, not table data
-        values = [r[0] for r in touched.collect()]
+    # partition values only: at most MAX_TOUCHED_PARTITIONS + 1 days reach
+    # the driver, one job both bounds and fetches them
+    values = [r[0] for r in touched.limit(MAX_TOUCHED_PARTITIONS + 1).collect()]
+    if len(values) <= MAX_TOUCHED_PARTITIONS:
         cond = F.col(partition_col).isin(*[v for v in values if v is not None])
         if any(v is None for v in values):
             cond = cond | F.col(partition_col).isNull()
