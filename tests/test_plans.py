@@ -127,3 +127,15 @@ def test_staged_copy_is_removed_after_the_block(spark):
         assert s.count() == 10 and files
     folder = files[0].split(":", 1)[-1].rsplit("/", 1)[0]
     assert "/foehn/t-stage-" in folder and not os.path.exists(folder)
+
+
+def test_input_bytes_only_for_few_files(spark):
+    """File sizes are read from file-system metadata only for inputs with few
+    files; a large file list is never walked on the driver."""
+    import os
+
+    from foehn.sources.splits import input_bytes
+
+    events = A.table(spark, SF_SMALL, "events")
+    assert input_bytes(events, max_files=1) == os.path.getsize(f"{SF_SMALL}/events.parquet")
+    assert input_bytes(events, max_files=0) is None
