@@ -421,11 +421,24 @@ def entry(spark: SparkSession) -> DataFrame:
     return q_canton_daily(spark, SMOKE_DIR)
 
 
+def _llm() -> tuple[dict, dict]:
+    """Queries and SQL of the optional subpackage and pipeline, if present."""
+    try:
+        import corpus_pipeline
+        from foehn.llm import queries as llm
+    except ImportError:
+        return {}, {}
+    sql = dict(llm.ORACLE_SQL)
+    if corpus_pipeline.ORACLE_SQL:
+        sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return {**llm.QUERIES, "pipeline": corpus_pipeline.run}, sql
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    return {**_QUERIES, **_llm()[0]}
 
 
 def oracle_sql() -> dict[str, str]:
     from oracle.duckdb_sql import ORACLE
 
-    return {k: v for k, v in ORACLE.items() if k in _QUERIES}
+    return {**{k: v for k, v in ORACLE.items() if k in _QUERIES}, **_llm()[1]}
