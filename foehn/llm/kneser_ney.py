@@ -170,12 +170,13 @@ def train(spark: SparkSession, docs: DataFrame, text: str = "text") -> Model:
             before, tokens_ = before[first], tokens_[first]
             keys = pair_keys(before, tokens_, hot)
             order = np.argsort(keys)
-            yield _blobs(keys[order], [before[order], tokens_[order], counts[order].astype(np.uint32)], shards)
+            sent = _blobs(keys[order], [before[order], tokens_[order], counts[order].astype(np.uint32)], shards)
+            yield sent.drop_columns("b0")  # the keys follow from the words
 
     def merge_pairs(table: pa.Table) -> pa.Table:
         shard = table["shard"][0].as_py()
-        keys, counts = _joined(table, "b0", _U), _joined(table, "b3", np.uint32).astype(np.int64)
-        before, after = _joined(table, "b1", _U), _joined(table, "b2", _U)
+        before, after, counts = _joined(table, "b1", _U), _joined(table, "b2", _U), _joined(table, "b3", np.uint32).astype(np.int64)
+        keys = pair_keys(before, after, hot)
         order = np.argsort(keys, kind="stable")
         keys, before, after, counts = keys[order], before[order], after[order], counts[order]
         first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
@@ -193,7 +194,7 @@ def train(spark: SparkSession, docs: DataFrame, text: str = "text") -> Model:
         # the shard's totals stand on its first row
         return pa.table(out | {c: pa.array([v if i == 0 else [] for i in range(blobs.num_rows)], pa.list_(pa.int64())) for c, v in one.items()})
 
-    pairs = texts.mapInArrow(count_pairs, "shard int, b0 binary, b1 binary, b2 binary, b3 binary").groupBy("shard").applyInArrow(
+    pairs = texts.mapInArrow(count_pairs, "shard int, b1 binary, b2 binary, b3 binary").groupBy("shard").applyInArrow(
         merge_pairs, "shard int, b0 binary, b1 binary, hot_keys array<long>, hot_stats array<long>, pairs array<long>"
     )
     pairs = stored(spark, pairs, "lm-after")
