@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -64,10 +65,15 @@ def band_hashes(shingles: np.ndarray, first: np.ndarray, bands: int, rows: int)
 
 def signatures(docs: DataFrame, text: str, n: int, bands: int, rows: int) -> DataFrame:
     """(class, bands): for each text with at least one n-gram its hash and its
-    band hashes. Texts count as equal if they are the same string."""
+    band hashes, once per task. Texts count as equal if they are the same
+    string."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
+            batch = batch.filter(pc.is_valid(batch.column(0)))
+            new = [i for i, c in enumerate(batch.column(0).to_pylist()) if not (c in seen or seen.add(c))]
+            batch = batch.take(pa.array(new, pa.int64()))
             for row, to, texts in slices(batch.column(1)):
                 shingles, first = texts.words(ALNUM).shingles(n)
                 some = np.flatnonzero(np.diff(first))

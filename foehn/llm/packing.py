@@ -11,6 +11,7 @@ finds its own by its rank.
 from __future__ import annotations
 
 import bisect
+import os
 import zlib
 from collections.abc import Iterator
 
@@ -31,12 +32,14 @@ REMEMBERED = 1_500_000
 
 
 class WordEncoder:
-    """Token ids of whole slices of text, one tokenizer call per new word.
+    """Token ids of whole slices of text; only words not met before go through
+    the tokenizer, together.
 
     The tokenizer splits at white space before anything else, so a text's ids
     are those of its words in order."""
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are the parallelism
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -51,10 +54,12 @@ class WordEncoder:
             self.pool = self.pool[at + np.arange(len(at))]
             self.keys, self.length, self.used = self.keys[keep], self.length[keep], self.used[keep] // 2
             self.at = np.cumsum(self.length) - self.length
-        ids = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-        lengths = np.array([len(x) for x in ids], np.int64)
+        found = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
+        limits = np.cumsum([0, *(len(w) + 1 for w in words)])
+        token_at = np.fromiter((a for a, _ in found.offsets), np.int64, len(found))
+        lengths = np.diff(np.searchsorted(token_at, limits))
         at = len(self.pool) + np.cumsum(lengths) - lengths
-        self.pool = np.concatenate((self.pool, np.array([i for x in ids for i in x], np.uint32)))
+        self.pool = np.concatenate((self.pool, np.array(found.ids, np.uint32)))
         where = np.searchsorted(self.keys, keys)
         self.keys = np.insert(self.keys, where, keys)
         self.at, self.length, self.used = (np.insert(a, where, b) for a, b in ((self.at, at), (self.length, lengths), (self.used, np.zeros(len(keys), np.int64))))
@@ -86,6 +91,13 @@ class WordEncoder:
 _encoders: dict[str, WordEncoder] = {}
 
 
+def encoder_of(path: str) -> WordEncoder:
+    """The worker's encoder, kept from task to task."""
+    if path not in _encoders:
+        _encoders[path] = WordEncoder(path)
+    return _encoders[path]
+
+
 def pieces(docs: DataFrame, id_col: str, text: str, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
     """(id, piece, start, length, ids_crc32, part, nth): every document's
     tokens and an end id, cut into pieces of capacity. nth counts the pieces
@@ -93,7 +105,7 @@ def pieces(docs: DataFrame, id_col: str, text: str, tokenizer: str, capacity: in
     kind = dict(docs.dtypes)[id_col]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoders.get(tokenizer) or _encoders.setdefault(tokenizer, WordEncoder(tokenizer))
+        encoder = encoder_of(tokenizer)
         part, seen = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
         for batch in batches:
             for row, _, texts in slices(batch.column(1)):
