@@ -40,6 +40,8 @@ SUPPORT, SURE, ROUNDS = 3, 0.5, 3
 
 #: Slots of the bitmap by which the counting pass passes over other words.
 SLOT_BITS = 20
+#: Pattern occurrences a counting task holds before it sends off their counts.
+HELD = 8_000_000
 
 _U = np.uint64
 
@@ -149,17 +151,26 @@ def find(docs: DataFrame, text: str, keep: list[str]) -> DataFrame:
     return rows.mapInArrow(run, ", ".join([*(f"`{k}` {kinds[k]}" for k in keep), _FOUND]))
 
 
+def _counted(patterns: np.ndarray) -> pa.RecordBatch:
+    keys, n = np.unique(patterns, return_counts=True)
+    return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n)], names=["pattern", "n"])
+
+
 def pattern_counts(docs: DataFrame, text: str, slots: np.ndarray) -> DataFrame:
     """(pattern, n): occurrences in all texts of the patterns whose slot is
     marked; others may be among them."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         marked = np.zeros(1 << SLOT_BITS, bool)
         marked[slots] = True
+        held = [np.zeros(0, _U)]
         for batch in batches:
             for _, _, texts in slices(batch.column(0)):
                 both = np.concatenate(_pattern_hashes(texts.words(SPACE)))
-                keys, n = np.unique(both[marked[(both >> _U(64 - SLOT_BITS)).astype(np.int64)]], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n)], names=["pattern", "n"])
+                held.append(both[marked[(both >> _U(64 - SLOT_BITS)).astype(np.int64)]])
+                if sum(map(len, held)) > HELD:
+                    yield _counted(np.concatenate(held))
+                    held = [np.zeros(0, _U)]
+        yield _counted(np.concatenate(held))
 
     return docs.select(F.coalesce(F.col(text), F.lit("")).alias("text")).mapInArrow(run, "pattern long, n long").groupBy("pattern").agg(F.sum("n").alias("n"))
 
