@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from foehn.llm.store import stored
+from foehn.llm.store import partitions_for, stored
 
 SCALE = 256
 BLOCK = 16384
@@ -198,7 +198,7 @@ def top_k(spark: SparkSession, rows: DataFrame, queries: DataFrame, k: int = 5,
     # which block meets which chunk: names only, then each task's two payloads
     tasks = index.select("block", "dim").join(chunks.select("chunk", "query_dim"), F.col("dim") == F.col("query_dim")).select("block", "chunk")
     tasks = stored(spark, tasks, "search-tasks")
-    n = max(1, min(tasks.count(), 100_000))
+    n = partitions_for(tasks.count())
     work = tasks.join(index, "block").join(chunks, "chunk").select("chunk", "dim", "width", "low", "ids", "data", "query_ids", "queries")
     found = work.repartition(n).mapInArrow(lambda batches: _search(batches, k), "chunk string, number int, query_id long, vec_id long, score long")
     best = Window.partitionBy("chunk", "number").orderBy(F.desc("score"), "vec_id")

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from foehn.llm.components import connected_components
 from foehn.llm.ngram_join import local_roots
-from foehn.llm.store import stored
+from foehn.llm.store import partitions_for, stored
 
 COSINE = 0.98
 
@@ -218,7 +218,7 @@ def cosine_self_join(
     pairs = block_pairs(spark, blocks, eps)
     sides = [blocks.select(F.col("block").alias(f"block_{s}"), "dim", *(F.col(k).alias(f"{k}_{s}") for k in ("nodes", "weights", "units", "places"))) for s in "ab"]
     work = pairs.join(sides[0], "block_a").join(sides[1].drop("dim"), "block_b")
-    n = max(1, min(pairs.count(), 100_000))
+    n = partitions_for(pairs.count())
     links = stored(spark, work.repartition(n).mapInArrow(lambda x: _join(x, eps, cosine), "node long, links long, root long"), "links")
 
     parts = connected_components(spark, links.where("root != node").select(F.col("node").alias("u"), F.col("root").alias("v")))

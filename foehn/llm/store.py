@@ -50,3 +50,9 @@ class NewFile:
             self.fs.delete_file(self.part)
         else:
             self.fs.move(self.part, self.path)
+
+
+def partitions_for(pieces: int) -> int:
+    """Partitions for that many pieces of work: one each while they are few,
+    about 16 to a partition when they are many."""
+    return max(1, min(pieces, 200), min(pieces // 16, 100_000))
