@@ -109,8 +109,7 @@ def find(docs: DataFrame, text: str, keep: list[str]) -> DataFrame:
         uid = TaskContext.get().partitionId() << 33
         is_mark = np.array([48 <= b <= 57 or b == 64 for b in range(256)])
         for batch in batches:
-            column = batch.column(batch.num_columns - 1)
-            for row, to, texts in slices(column):
+            for row, to, texts in slices(batch.column(at)):
                 marks = np.concatenate(([0], np.cumsum(is_mark[texts.buf])))[texts.limits]
                 marked = np.flatnonzero(np.diff(marks))
                 rows = {c: [0] * len(texts) for c in ("n_email", "n_ip", "n_card", "n_phone")} | {"base_sha256": [empty] * len(texts), "base": [""] * len(texts), "occurrences": [[] for _ in range(len(texts))]}
@@ -125,12 +124,12 @@ def find(docs: DataFrame, text: str, keep: list[str]) -> DataFrame:
                     rows["base_sha256"][i] = hashlib.sha256(rows["base"][i].encode()).hexdigest()
                     taken = sorted(x for own in spans for x in own)
                     seen = [(True, a, b) for a, b in taken]
-                    at = 0
+                    next_ = 0
                     for m in _IDENTIFIER.finditer(string):
                         a, b = m.span()
-                        while at < len(taken) and taken[at][1] <= a:
-                            at += 1
-                        if sum(c.isdigit() for c in m[0]) >= 2 and not (at < len(taken) and taken[at][0] < b):
+                        while next_ < len(taken) and taken[next_][1] <= a:
+                            next_ += 1
+                        if sum(c.isdigit() for c in m[0]) >= 2 and not (next_ < len(taken) and taken[next_][0] < b):
                             seen.append((False, a, b))
                     occurrences, ascii_ = rows["occurrences"][i], string.isascii()
                     for seed, a, b in seen:
@@ -147,7 +146,8 @@ def find(docs: DataFrame, text: str, keep: list[str]) -> DataFrame:
                     names=[*keep, "uid", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "base", "occurrences"],
                 )
 
-    rows = docs.select(*keep, F.coalesce(F.col(text), F.lit("")).alias("_text"))
+    at = keep.index(text) if text in keep else len(keep)
+    rows = docs.select(*keep, *([] if text in keep else [text]))
     return rows.mapInArrow(run, ", ".join([*(f"`{k}` {kinds[k]}" for k in keep), _FOUND]))
 
 
@@ -216,7 +216,10 @@ def find_personal_data(spark: SparkSession, docs: DataFrame, id_col: str = "doc_
     sure = sure_occurrences(spark, docs, text, found)
     ids = sure.groupBy("uid").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("ids"))  # of one text
     ids = ids.select(F.col("uid").alias("of"), F.size("ids").cast("long").alias("n_id"), F.array_join(F.transform("ids", lambda x: F.concat_ws(":", F.lit("id"), x["start"], x["end"])), ",").alias("more"))
-    joined = found.join(ids, found["uid"] == ids["of"], "left")
+    # only rows with identifier-like strings that are no seeds can have more spans
+    open_ = F.exists("occurrences", lambda o: ~o["seed"])
+    joined = found.where(open_).join(ids, F.col("uid") == F.col("of"), "left").select(*found.columns, "n_id", "more")
+    joined = joined.unionByName(found.where(~open_), allowMissingColumns=True)
     spans = F.concat_ws(",", F.when(F.col("base") != "", F.col("base")), F.col("more"))
     return joined.select(*keep, "n_email", "n_ip", "n_card", "n_phone", "base_sha256", spans.alias("spans"), F.coalesce("n_id", F.lit(0).cast("long")).alias("n_id"))
 
@@ -230,7 +233,7 @@ def redact(spark: SparkSession, docs: DataFrame, text: str = "text") -> DataFram
     at = docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(i, 256) for b in batches for i in range(0, b.num_rows, 256)):
             out = []
             for string, spans in zip(batch.column(at).to_pylist(), batch.column(batch.num_columns - 1).to_pylist(), strict=True):
                 parts, done = [], 0

@@ -14,8 +14,14 @@ from pyspark.sql import DataFrame, SparkSession
 from foehn.session import scratch_path
 
 
+#: Bytes of an Arrow batch between executors and their Python workers; texts
+#: are long, so Spark's default would hold several times 64 MB in each task.
+BATCH_BYTES = 16 << 20
+
+
 def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Write the rows to a fresh folder and return them read back."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
