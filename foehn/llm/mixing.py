@@ -10,13 +10,11 @@ or won by rounding carried on to the next smaller size.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from foehn.llm.store import stored
+from foehn.llm.store import numbered, stored
 
 #: Most copies of a document, and so most of a source's words times its size.
 CAP = 3
@@ -146,15 +144,14 @@ def mix_sources(
     )
 
 
-def repeat_documents(spark: SparkSession, docs: DataFrame, **options) -> DataFrame:
+def repeat_documents(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
     """docs with every row as often as the mix takes it (0 to CAP times).
-    Rows of equal id and size share their copies evenly, in row hash order."""
-    mix = mix_sources(spark, docs, **options)
-    key = docs.columns
-    rows = docs.withColumns({"_size": word_count("text"), "_same": F.xxhash64(*key)})
-    nth = Window.partitionBy("doc_id", "_size")
-    rows = rows.withColumn("_nth", F.row_number().over(nth.orderBy("_same")))
-    mix = mix.select(F.col("doc_id").alias("_id"), F.col("size").alias("_of"), "copies")
-    mix = mix.withColumn("_rank", F.row_number().over(Window.partitionBy("_id", "_of").orderBy(F.desc("copies"))))
-    joined = rows.join(mix, rows["doc_id"].eqNullSafe(mix["_id"]) & (rows["_size"] == mix["_of"]) & (rows["_nth"] == mix["_rank"]))
-    return joined.where("copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*key)
+    Rows of equal id and size share their copies, most to the first by hash."""
+    rows, name = numbered(docs)
+    mix = mix_sources(spark, rows, name[id_col], name[text], name[source], **options).select(F.col(name[id_col]).alias("id"), F.col("size").alias("of"), "copies")
+    mix = mix.withColumn("rank", F.row_number().over(Window.partitionBy("id", "of").orderBy(F.desc("copies"))))
+    rows = rows.withColumns({"size": word_count(name[text]), "hash": F.xxhash64(*rows.columns)})
+    rows = rows.withColumn("nth", F.row_number().over(Window.partitionBy(name[id_col], "size").orderBy("hash")))
+    joined = rows.join(mix, rows[name[id_col]].eqNullSafe(mix["id"]) & (rows["size"] == mix["of"]) & (rows["nth"] == mix["rank"]))
+    repeated = joined.where(joined["copies"] > 0).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    return repeated.select(*name.values()).toDF(*docs.columns)

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foehn.llm.components import connected_components
-from foehn.llm.store import stored
+from foehn.llm.store import numbered, stored
 from foehn.llm.textvec import ALNUM, mix, slices
 
 N_WORDS = 5
@@ -249,13 +249,14 @@ def ngram_jaccard_join(
     )
 
 
-def keep_one(spark: SparkSession, docs: DataFrame, **options) -> DataFrame:
+def keep_one(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The rows of docs without all but one row of each near-duplicate class:
     the row with the class's smallest id stays (of repeated rows, one). Rows
     whose text is null or has no words all stay."""
-    found = ngram_jaccard_join(spark, docs, **options).where("n_links > 0")
+    rows, name = numbered(docs)
+    found = ngram_jaccard_join(spark, rows, name[id_col], name[text], **options).where("n_links > 0")
     heads = found.groupBy("text_class").agg(F.min("class_id").alias("class_id"), F.min("grp").alias("grp"))
-    joined = docs.withColumn("_class", class_of("text")).join(heads.withColumnRenamed("text_class", "_class"), "_class", "left")
+    joined = rows.withColumn("text_class", class_of(name[text])).join(heads, "text_class", "left")
     alone = joined.where("grp is null")
-    once = joined.where(F.col("grp").isNotNull() & F.col("doc_id").eqNullSafe(F.col("class_id"))).dropDuplicates(["grp"])
-    return alone.select(*docs.columns).unionByName(once.select(*docs.columns))
+    once = joined.where(F.col("grp").isNotNull() & F.col(name[id_col]).eqNullSafe(F.col("class_id"))).dropDuplicates(["grp"])
+    return alone.select(*rows.columns).unionByName(once.select(*rows.columns)).toDF(*docs.columns)

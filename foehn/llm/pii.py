@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foehn.llm.store import stored
+from foehn.llm.store import numbered, stored
 from foehn.llm.textvec import SPACE, mix, slices
 
 KINDS = ("email", "ip", "card", "phone")
@@ -228,8 +228,9 @@ def redact(spark: SparkSession, docs: DataFrame, text: str = "text") -> DataFram
     """docs with every span replaced by its kind in angle brackets; where spans
     overlap, the first that starts, or else the longest, names all of it. A
     column n_chars gets the new length; texts without spans stay as they are."""
-    found = find_personal_data(spark, docs, text=text, keep=docs.columns)
-    clean = found.where("spans = ''").select(*docs.columns)
+    rows, name = numbered(docs)
+    found = find_personal_data(spark, rows, text=name[text], keep=rows.columns)
+    clean = found.where("spans = ''").select(*rows.columns)
     at = docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -246,7 +247,7 @@ def redact(spark: SparkSession, docs: DataFrame, text: str = "text") -> DataFram
             columns[at] = pa.array(out, pa.string())
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:-1])
 
-    hidden = found.where("spans != ''").select(*docs.columns, "spans").mapInArrow(run, docs.schema)
+    hidden = found.where("spans != ''").select(*rows.columns, "spans").mapInArrow(run, rows.schema)
     if "n_chars" in docs.columns:
-        hidden = hidden.withColumn("n_chars", F.char_length(text).cast(docs.schema["n_chars"].dataType))
-    return clean.unionByName(hidden)
+        hidden = hidden.withColumn(name["n_chars"], F.char_length(name[text]).cast(docs.schema["n_chars"].dataType))
+    return clean.unionByName(hidden).toDF(*docs.columns)

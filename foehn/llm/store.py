@@ -62,3 +62,10 @@ def partitions_for(pieces: int) -> int:
     """Partitions for that many pieces of work: one each while they are few,
     about 16 to a partition when they are many."""
     return max(1, min(pieces, 200), min(pieces // 16, 100_000))
+
+
+def numbered(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """docs with columns col_0, col_1, ... and the new name of each old one, so
+    that no column of the caller meets one that an operator adds."""
+    names = {name: f"col_{i}" for i, name in enumerate(docs.columns)}
+    return docs.toDF(*names.values()), names

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foehn.llm.store import stored
+from foehn.llm.store import numbered, stored
 from foehn.llm.textvec import ALNUM, Texts, mix, slices
 
 BITS = 20
@@ -47,14 +47,17 @@ def features(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
 
 
 def ftrl(rows: list[np.ndarray], labels: list[int], epochs: int) -> dict[int, float]:
-    """Weights of one shard; each row is its distinct feature indices."""
+    """Weights of one shard; each row is its distinct feature indices. Labels
+    of one kind only tell nothing apart and give no weights."""
     z, n = np.zeros(INTERCEPT + 1), np.zeros(INTERCEPT + 1)
 
     def weights(at):
         shrunk = np.sign(z[at]) * np.maximum(np.abs(z[at]) - np.where(at == INTERCEPT, 0.0, L1), 0)
         return -shrunk / ((BETA + np.sqrt(n[at])) / ALPHA + L2)
 
-    positive = max(1, sum(labels))
+    positive = sum(labels)
+    if positive in (0, len(labels)):
+        return {}
     balance = max(1.0, BALANCE / (1 - BALANCE) * (len(labels) - positive) / positive)
     for _ in range(epochs):
         for at, label in zip(rows, labels, strict=True):
@@ -72,7 +75,8 @@ def ftrl(rows: list[np.ndarray], labels: list[int], epochs: int) -> dict[int, fl
 def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, shards: int = SHARDS, epochs: int = EPOCHS) -> tuple[np.ndarray, np.ndarray]:
     """(indices, weights) learned from docs (doc_id, text) with labels (doc_id,
     label 0 or 1). Of repeated labels of an id the highest holds; null ids and
-    labels are left out. No usable label gives no weights: all scores 0.5."""
+    labels are left out. Without labels of both kinds there are no weights: all
+    scores are 0.5."""
     marked = labels.where("doc_id is not null and label is not null").groupBy("doc_id").agg(F.max("label").alias("label"))
     marked = stored(spark, marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample), "labels")
     rows = marked.join(docs.select("doc_id", "text"), "doc_id")
@@ -149,4 +153,5 @@ def without_toxic(spark: SparkSession, docs: DataFrame, labels: DataFrame, thres
     """The rows of docs that score below threshold."""
     known = labels.where(~held_out("doc_id", 3)).select("doc_id", F.col("toxic").alias("label"))
     model = train(spark, docs.where(~held_out("doc_id", 3)), known, **options)
-    return score(docs, model, keep=docs.columns).where(F.col("score") < threshold).select(*docs.columns)
+    rows, name = numbered(docs)
+    return score(rows, model, text=name["text"], keep=rows.columns).where(F.col("score") < threshold).drop("score").toDF(*docs.columns)
