@@ -319,6 +319,24 @@ def q_canton_daily_materialized(spark, d):
     return portable(analytics.canton_daily(fact, _dim(spark, d), A.AS_OF, days=30))
 
 
+def q_silver_touched_refresh(spark, d):
+    """K8/T4: silver written from a live tier that also holds later days and
+    rows without a time, then, with the live tier as it is, only the touched
+    days refreshed; equals a full recompute, vanished days included."""
+    from foehn.session import scratch_path
+
+    tiers = _tiers(spark, d)
+    now, time = tiers["now"], F.col("reference_timestamp")
+    later = now.withColumn("reference_timestamp", time + F.make_dt_interval(F.lit(400)))
+    timeless = now.withColumn("reference_timestamp", F.lit(None).cast("timestamp_ntz"))
+    before = now.unionByName(later).unionByName(timeless)
+    path = scratch_path(spark, "silver-touched")
+    silver.refresh_silver(spark, {**tiers, "now": before}, path)
+    touched = before.select(F.to_date("reference_timestamp").alias(silver.PARTITION_COLUMN)).distinct()
+    silver.refresh_silver(spark, tiers, path, touched)
+    return portable(silver.read_silver(spark, path))
+
+
 def q_upsert_recent(spark, d):
     target, source = A.upsert_pair(spark, d)
     return merge_upsert(target, source, A.UPSERT_KEYS, A.upsert_order(), with_action=False)
@@ -405,6 +423,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_live_keys": q_stream_live_keys,
     "canton_daily_sql": q_canton_daily_sql,
     "canton_daily_materialized": q_canton_daily_materialized,
+    "silver_touched_refresh": q_silver_touched_refresh,
     "upsert_recent": q_upsert_recent,
     "upsert_stats": q_upsert_stats,
     "source_dedup": q_source_dedup,

@@ -81,6 +81,11 @@ def ts_date_range(ts_col: Column | str, start: dt.date, end_exclusive: dt.date)
     return (c >= ntz_literal(start)) & (c < ntz_literal(end_exclusive))
 
 
+def from_year(ts_col: Column | str, first_year: int) -> Column:
+    """On or after the first of January of the year; sargable."""
+    return _c(ts_col) >= ntz_literal(dt.date(first_year, 1, 1))
+
+
 def year_range(ts_col: Column | str, first_year: int, last_year: int | None = None) -> Column:
     last = first_year if last_year is None else last_year
     return ts_date_range(ts_col, dt.date(first_year, 1, 1), dt.date(last + 1, 1, 1))

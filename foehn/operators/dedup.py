@@ -35,13 +35,22 @@ def keep_first(
     (ascending, NULLs last), so ties inside ``order`` resolve the same way on
     every run; rows still tied are identical, so the choice cannot show.
     """
+    return _numbered(df, keys, order, deterministic).filter(F.col(_RN) == 1).drop(_RN)
+
+
+def keep_rest(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
+    """The rows that ``keep_first`` drops."""
+    return _numbered(df, keys, order, True).filter(F.col(_RN) > 1).drop(_RN)
+
+
+def _numbered(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], deterministic: bool) -> DataFrame:
     order_cols = [_order_col(c) for c in order]
     if deterministic:
         named = {c for c in order if isinstance(c, str)}
         rest = [c for c in df.columns if c not in set(keys) and c not in named]
         order_cols += [F.col(c).asc_nulls_last() for c in rest]
     w = Window.partitionBy(*keys).orderBy(*order_cols)
-    return df.withColumn(_RN, F.row_number().over(w)).filter(F.col(_RN) == 1).drop(_RN)
+    return df.withColumn(_RN, F.row_number().over(w))
 
 
 def tag_tier(df: DataFrame, tier: str) -> DataFrame:

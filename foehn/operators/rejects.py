@@ -65,12 +65,11 @@ def _stage(df: DataFrame, name: str) -> tuple[DataFrame, str]:
 def staged(df: DataFrame, name: str = "stage") -> Iterator[DataFrame]:
     """``stage`` for one block of work (a load, a micro-batch): the staged
     folder is removed when the block ends, so repeated loads do not pile up
-    copies in the checkpoint folder.  Every job reading the copy must run
+    copies in the checkpoint folder; if the block raises it stays, as it may
+    be the only copy left of rows that an overwrite has already removed.  Every job reading the copy must run
     inside the block."""
     from .tables import remove_path
 
     out, path = _stage(df, name)
-    try:
-        yield out
-    finally:
-        remove_path(df.sparkSession, path)
+    yield out
+    remove_path(df.sparkSession, path)

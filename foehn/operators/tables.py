@@ -21,7 +21,12 @@ from .upsert import ACTION, merge_upsert
 
 MAX_TOUCHED_PARTITIONS = 10_000
 
-_VERSION = re.compile(r"^v(\d{6})$")
+_VERSION = re.compile(r"^v(\d+)$")
+
+
+class EmptyBatchError(ValueError):
+    """A replace was asked for with no rows; the current content stays."""
+
 
 
 def _fs(spark: SparkSession, path: str):
@@ -71,7 +76,13 @@ def read_table_partitioned(spark: SparkSession, root: str, schema: T.StructType
         if schema is None:
             raise FileNotFoundError(root)
         return spark.createDataFrame([], schema)
-    return spark.read.parquet(root)
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(root)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return fs.exists(p)
 
 
 def _drop(spark: SparkSession, path: str) -> None:
@@ -100,14 +111,13 @@ def write_version(df: DataFrame, root: str, partition_by: Sequence[str] = ()) ->
 
 def replace(df: DataFrame, root: str, allow_empty: bool = False, partition_by: Sequence[str] = ()) -> int:
     """K3: full atomic replace.  Refuses to publish an empty version unless
-    ``allow_empty`` (the current content stays).  Returns rows written."""
+    ``allow_empty`` (the current content stays); that is checked before
+    anything is published.  Returns rows written."""
+    if not allow_empty and df.isEmpty():
+        raise EmptyBatchError(f"refusing to replace {root} with an empty batch")
     obs = Observation("replace")
-    path = write_version(df.observe(obs, F.count(F.lit(1)).alias("rows")), root, partition_by)
-    rows = int(obs.get["rows"])
-    if rows == 0 and not allow_empty:
-        _drop(df.sparkSession, path)
-        raise ValueError(f"refusing to replace {root} with an empty batch")
-    return rows
+    write_version(df.observe(obs, F.count(F.lit(1)).alias("rows")), root, partition_by)
+    return int(obs.get["rows"])
 
 
 def append(df: DataFrame, root: str, partition_by: Sequence[str] = ()) -> int:

@@ -24,7 +24,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .dedup import keep_first
+from .dedup import keep_first, keep_rest
 
 ACTION = "_merge_action"  # inserted | updated | unchanged
 
@@ -36,6 +36,17 @@ def split_null_keys(source: DataFrame, keys: Sequence[str]) -> tuple[DataFrame,
     return source.filter(~any_null), source.filter(any_null)
 
 
+SET_ASIDE = "set_aside_reason"  # null_key | duplicate_key
+
+
+def set_aside(source: DataFrame, keys: Sequence[str], order: Sequence[Column | str] = ()) -> DataFrame:
+    """The source rows that ``prepare_source`` leaves out, each with a reason:
+    rows with a NULL key, and of every key all rows but the first."""
+    good, null_keys = split_null_keys(source, keys)
+    extra = keep_rest(good, keys, list(order))
+    return null_keys.withColumn(SET_ASIDE, F.lit("null_key")).unionByName(extra.withColumn(SET_ASIDE, F.lit("duplicate_key")))
+
+
 def prepare_source(
     source: DataFrame, keys: Sequence[str], order: Sequence[Column | str] = ()
 ) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.metrics import avg_exact
-from ..functions.time import on_day_before, on_or_after_days_back, within_hours, year_range
+from ..functions.time import from_year, on_day_before, on_or_after_days_back, within_hours, year_range
 from ..operators.joins import join_dimension
 
 F_ = F.col
@@ -189,7 +189,7 @@ def yearly_compare(
 ) -> DataFrame:
     """Yearly means and totals for the last ``years`` years, optionally
     for one station (F1)."""
-    f = fact.filter(year_range("measurement_timestamp", as_of.year - years, as_of.year + 100))
+    f = fact.filter(from_year("measurement_timestamp", as_of.year - years))
     if station is not None:
         f = f.filter(F_("station_key") == station)
     j = _join(f, dim, ["station_name"])

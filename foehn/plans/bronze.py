@@ -16,6 +16,7 @@ Table layouts:
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -24,9 +25,10 @@ from pyspark.sql import types as T
 
 from ..operators import tables
 from ..operators.rejects import REASON, fail_on_rejects, split_rejects, staged
+from ..operators.upsert import SET_ASIDE, set_aside
 from ..schema import KEY_COLUMNS, TIER_SPECS
 from ..sources import csv as csv_src
-from ..sources.inventory import list_files, not_yet_loaded
+from ..sources.inventory import list_files
 
 PARTITION_COLUMN = "measurement_date"
 
@@ -40,12 +42,14 @@ LEDGER_SCHEMA = T.StructType(
         T.StructField("files_loaded", T.LongType()),
         T.StructField("rows_parsed", T.LongType()),
         T.StructField("rows_rejected", T.LongType()),
+        T.StructField("rows_null_key", T.LongType()),
+        T.StructField("rows_duplicate_key", T.LongType()),
         T.StructField("rows_loaded", T.LongType()),
         T.StructField("rows_inserted", T.LongType()),
         T.StructField("rows_updated", T.LongType()),
         T.StructField("status", T.StringType()),
         T.StructField("errors", T.ArrayType(T.StringType())),
-        T.StructField("file_names", T.ArrayType(T.StringType())),
+        T.StructField("load_id", T.StringType()),
     ]
 )
 
@@ -64,10 +68,39 @@ def _ledger_row(spark: SparkSession, stats: dict, ledger_root: str | None) -> Da
 
 
 def read_ledger(spark: SparkSession, ledger_root: str) -> DataFrame:
-    try:
-        return spark.read.schema(LEDGER_SCHEMA).parquet(ledger_root)
-    except Exception:  # noqa: BLE001 - no ledger yet
+    """All ledger rows; none if the ledger does not exist yet (any other
+    failure is raised: an unread ledger would have files loaded again)."""
+    if not tables.exists(spark, ledger_root):
         return spark.createDataFrame([], LEDGER_SCHEMA)
+    return spark.read.schema(LEDGER_SCHEMA).parquet(ledger_root)
+
+
+FILE_SCHEMA = "file_name string, size long, last_modified timestamp, load_id string"
+
+
+def files_root(ledger_root: str) -> str:
+    return f"{ledger_root.rstrip('/')}_files"
+
+
+def loaded_files(spark: SparkSession, ledger_root: str) -> DataFrame:
+    """Historical files of successful loads: one row per file and state of it
+    (name, size, modification time), so a file published again under its name
+    counts as new."""
+    root = files_root(ledger_root)
+    if not tables.exists(spark, root):
+        return spark.createDataFrame([], FILE_SCHEMA)
+    done = read_ledger(spark, ledger_root).filter("status = 'SUCCESS'").select("load_id")
+    return spark.read.schema(FILE_SCHEMA).parquet(root).join(done, "load_id", "left_semi")
+
+
+def pending_files(spark: SparkSession, landing_root: str, ledger_root: str | None) -> DataFrame:
+    """Landed historical files (name, size, modification time) that no
+    successful load has read in this state."""
+    landed = list_files(spark, landing_root, TIER_SPECS["historical"].glob)
+    landed = landed.withColumn("file_name", csv_src.relative_path(F.col("file_path"), landing_root))
+    if not ledger_root:
+        return landed
+    return landed.join(loaded_files(spark, ledger_root), ["file_name", "size", "last_modified"], "left_anti")
 
 
 def load_history(ledger: DataFrame, tier: str, as_of: dt.datetime, hours: int = 1) -> DataFrame:
@@ -79,13 +112,13 @@ def load_history(ledger: DataFrame, tier: str, as_of: dt.datetime, hours: int =
 
 
 def _run(spark, procedure, tier, ledger_root, body: Callable[[dict], None]) -> DataFrame:
-    stats = {"procedure": procedure, "data_tier": tier, "start_time": _now(), "errors": []}
+    stats = {"procedure": procedure, "data_tier": tier, "start_time": _now(), "errors": [], "load_id": uuid.uuid4().hex}
     try:
         body(stats)
         stats["status"] = "SUCCESS"
     except Exception as e:  # noqa: BLE001 - reported in the ledger like the source system
         stats["status"] = "FAILED"
-        stats["errors"].append(f"{type(e).__name__}: {e}"[:2000])
+        stats["errors"].append(f"{type(e).__name__}: {e}")
     stats["end_time"] = _now()
     return _ledger_row(spark, stats, ledger_root)
 
@@ -113,23 +146,57 @@ def _observe_counts(df: DataFrame, name: str):
         obs,
         F.count(F.lit(1)).alias("rows_parsed"),
         F.count_if(r.isNotNull()).alias("rows_rejected"),
-        F.array_sort(F.collect_set("file_name")).alias("file_names"),
     )
     return df, obs
 
 
+def rejects_root(ledger_root: str) -> str:
+    return f"{ledger_root.rstrip('/')}_rejects"
+
+
+REJECT_COLUMNS = ["load_id", "data_tier", "file_name", "station_abbr", "reference_timestamp", "loaded_at", "reason"]
+
+
+def _keep_rejects(bad: DataFrame, reason: str, tier: str, stats: dict, ledger_root: str | None) -> None:
+    """Append rows that a load leaves out, with the reason, to the rejects
+    table beside the ledger."""
+    if not ledger_root:
+        return
+    time = F.col("reference_timestamp") if "reference_timestamp" in bad.columns else F.lit(None).cast("timestamp_ntz")
+    rows = bad.select(
+        F.lit(stats["load_id"]).alias("load_id"), F.lit(tier).alias("data_tier"), "file_name", "station_abbr",
+        time.alias("reference_timestamp"), "loaded_at", F.col(reason).alias("reason"),
+    )
+    rows.write.mode("append").parquet(rejects_root(ledger_root))
+
+
+def _files(batch: DataFrame) -> int:
+    return batch.select("file_name").distinct().count()
+
+
+def newest_run(spark: SparkSession, landing_root: str, glob: str) -> str:
+    """The folder of the newest landing run.  A run is a folder ``run=<n>`` of
+    the landing root that holds the files of all stations of one fetch; the
+    newest is the longest, then largest name.  A root without run folders is
+    one run itself."""
+    name = F.regexp_extract(csv_src.relative_path(F.col("file_path"), landing_root), "^(run=[^/]+)/", 1)
+    newest = list_files(spark, landing_root, glob).select(F.struct(F.length(name).alias("n"), name.alias("run")).alias("r")).agg(F.max("r")).first()[0]
+    return f"{landing_root.rstrip('/')}/{newest['run']}" if newest and newest["run"] else landing_root
+
+
 def load_now(spark, landing_root, table_root, loaded_at=None, ledger_root=None, allow_empty=False,
              glob=None) -> DataFrame:
-    """Live tier, tolerant parse, full replace.  ``glob`` overrides the
-    tier's file-name pattern."""
+    """Live tier, tolerant parse, full replace by the files of the newest
+    landing run.  ``glob`` overrides the tier's file-name pattern."""
 
     def body(stats):
-        typed, obs = _observe_counts(_typed_batch(spark, landing_root, "now", loaded_at, stats, glob=glob), "now")
+        run = newest_run(spark, landing_root, glob or TIER_SPECS["now"].glob)
+        typed, obs = _observe_counts(_typed_batch(spark, run, "now", loaded_at, stats, glob=glob), "now")
         with staged(typed) as batch:
             m = obs.get
-            stats.update(rows_parsed=m["rows_parsed"], rows_rejected=m["rows_rejected"], file_names=m["file_names"])
-            stats["files_loaded"] = len(m["file_names"])
-            good, _ = split_rejects(batch)
+            stats.update(rows_parsed=m["rows_parsed"], rows_rejected=m["rows_rejected"], files_loaded=_files(batch))
+            good, bad = split_rejects(batch)
+            _keep_rejects(bad, REASON, stats["data_tier"], stats, ledger_root)
             stats["rows_loaded"] = tables.replace(good, table_root, allow_empty=allow_empty)
 
     return _run(spark, "load_now", "now", ledger_root, body)
@@ -145,9 +212,9 @@ def load_stations(spark, landing_root, table_root, loaded_at=None, ledger_root=N
         )
         with staged(typed) as batch:
             m = obs.get
-            stats.update(rows_parsed=m["rows_parsed"], rows_rejected=m["rows_rejected"], file_names=m["file_names"])
-            stats["files_loaded"] = len(m["file_names"])
-            good, _ = split_rejects(batch)
+            stats.update(rows_parsed=m["rows_parsed"], rows_rejected=m["rows_rejected"], files_loaded=_files(batch))
+            good, bad = split_rejects(batch)
+            _keep_rejects(bad, REASON, stats["data_tier"], stats, ledger_root)
             stats["rows_loaded"] = tables.replace(good, table_root, allow_empty=allow_empty)
 
     return _run(spark, "load_stations", "stations", ledger_root, body)
@@ -166,10 +233,15 @@ def load_recent(spark, landing_root, table_root, loaded_at=None, ledger_root=Non
         )
         with staged(typed) as batch:
             m = obs.get
-            stats.update(rows_parsed=m["rows_parsed"], rows_rejected=m["rows_rejected"], file_names=m["file_names"])
-            stats["files_loaded"] = len(m["file_names"])
-            good, _ = split_rejects(batch)
+            stats.update(rows_parsed=m["rows_parsed"], rows_rejected=m["rows_rejected"], files_loaded=_files(batch))
+            good, bad = split_rejects(batch)
+            _keep_rejects(bad, REASON, "recent", stats, ledger_root)
             order = [F.col("loaded_at").desc_nulls_last(), F.col("file_name").asc_nulls_last()]
+            aside = set_aside(good, KEY_COLUMNS, order)
+            counted = {r[0]: r[1] for r in aside.groupBy(SET_ASIDE).count().collect()}  # two reasons
+            stats.update(rows_null_key=counted.get("null_key", 0), rows_duplicate_key=counted.get("duplicate_key", 0))
+            if counted:
+                _keep_rejects(aside, SET_ASIDE, "recent", stats, ledger_root)
             counts = tables.upsert_partitions(with_partition(good), table_root, KEY_COLUMNS, PARTITION_COLUMN, order)
         stats["rows_inserted"] = counts["rows_inserted"]
         stats["rows_updated"] = counts["rows_updated"]
@@ -183,28 +255,24 @@ def load_historical(spark, landing_root, table_root, loaded_at=None, ledger_root
     the ledger are skipped, new rows are appended by day."""
 
     def body(stats):
-        spec = TIER_SPECS["historical"]
         # file listing only (no content read); the loaded set comes from the ledger
-        landed = list_files(spark, landing_root, spec.glob).select(
-            "file_path", csv_src.relative_path(F.col("file_path"), landing_root).alias("file_name")
-        )
+        landed = list_files(spark, landing_root, TIER_SPECS["historical"].glob)
         stats["files_found"] = landed.count()
-        if ledger_root:
-            loaded = read_ledger(spark, ledger_root).filter(
-                (F.col("data_tier") == "historical") & (F.col("status") == "SUCCESS")
-            ).select(F.explode("file_names").alias("file_name"))
-            landed = not_yet_loaded(landed, loaded)
-        # file paths are listing metadata (the driver lists them for any scan)
-        paths = [r["file_path"] for r in landed.select("file_path").collect()]
-        if not paths:
-            stats.update(rows_parsed=0, rows_rejected=0, file_names=[], files_loaded=0, rows_loaded=0)
-            return
-        typed, obs = _observe_counts(_typed_batch(spark, landing_root, "historical", loaded_at, stats, paths), "hist")
-        rows = tables.append(with_partition(fail_on_rejects(typed)), table_root, [PARTITION_COLUMN])
-        m = obs.get
-        stats.update(rows_parsed=m["rows_parsed"], rows_rejected=m["rows_rejected"], file_names=m["file_names"])
-        stats["files_loaded"] = len(m["file_names"])
-        stats["rows_loaded"] = rows
+        with staged(pending_files(spark, landing_root, ledger_root), "pending-files") as pending:
+            # file paths are listing metadata (the driver lists them for any scan)
+            paths = [r["file_path"] for r in pending.select("file_path").collect()]
+            stats["files_loaded"] = len(paths)
+            if not paths:
+                stats.update(rows_parsed=0, rows_rejected=0, rows_loaded=0)
+                return
+            typed, obs = _observe_counts(_typed_batch(spark, landing_root, "historical", loaded_at, stats, paths), "hist")
+            if ledger_root:
+                # counts only once the ledger row says SUCCESS
+                files = pending.select("file_name", "size", "last_modified", F.lit(stats["load_id"]).alias("load_id"))
+                files.write.mode("append").parquet(files_root(ledger_root))
+            rows = tables.append(with_partition(fail_on_rejects(typed)), table_root, [PARTITION_COLUMN])
+            m = obs.get
+            stats.update(rows_parsed=m["rows_parsed"], rows_rejected=m["rows_rejected"], rows_loaded=rows)
 
     return _run(spark, "load_historical", "historical", ledger_root, body)
 

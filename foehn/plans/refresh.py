@@ -32,12 +32,19 @@ def paths(warehouse: str) -> dict[str, str]:
     }
 
 
+def _with_day(df: DataFrame) -> DataFrame:
+    """Bronze columns and, where the table has partitions, the day they are
+    named for (a table without any has no such column)."""
+    day = [bronze.PARTITION_COLUMN] if bronze.PARTITION_COLUMN in df.columns else []
+    return df.select(*BRONZE_COLUMNS, *day)
+
+
 def bronze_tables(spark: SparkSession, warehouse: str) -> dict[str, DataFrame]:
     p = paths(warehouse)
     schema = bronze_measurement_schema()
     return {
-        "historical": tables.read_table_partitioned(spark, p["historical"], schema).select(*BRONZE_COLUMNS),
-        "recent": tables.read_table_partitioned(spark, p["recent"], schema).select(*BRONZE_COLUMNS),
+        "historical": _with_day(tables.read_table_partitioned(spark, p["historical"], schema)),
+        "recent": _with_day(tables.read_table_partitioned(spark, p["recent"], schema)),
         "now": tables.read_table(spark, p["now"], schema).select(*BRONZE_COLUMNS),
     }
 

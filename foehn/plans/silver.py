@@ -6,7 +6,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.time import ts_date_range
@@ -34,25 +34,56 @@ def silver_measurements(tiers: dict[str, DataFrame], keep: Iterable[str] | None
     return dedup_tiers(all_measurements(tiers)).select(*SILVER_COLUMNS)
 
 
-def restrict_dates(tiers: dict[str, DataFrame], dates: Iterable[dt.date]) -> dict[str, DataFrame]:
-    """Keep only rows of the given days (sargable ranges, pushed to the scan)."""
-    days = sorted(set(dates))
-    if not days:
+def _day(df: DataFrame) -> Column:
+    """The row's day: the partition column where the tier has one, so that a
+    day filter prunes its folders."""
+    return F.col(PARTITION_COLUMN) if PARTITION_COLUMN in df.columns else F.to_date("reference_timestamp")
+
+
+def restrict_dates(tiers: dict[str, DataFrame], dates: Iterable[dt.date | None]) -> dict[str, DataFrame]:
+    """Keep only rows of the given days, None for rows without a time
+    (partition filters, or sargable ranges pushed to the scan)."""
+    given = set(dates)
+    if not given:
         raise ValueError("no dates given")
-    cond = None
-    for d in days:
-        c = ts_date_range("reference_timestamp", d, d + dt.timedelta(days=1))
-        cond = c if cond is None else cond | c
-    return {t: df.filter(cond) for t, df in tiers.items()}
+    days = sorted(d for d in given if d is not None)
+    out = {}
+    for t, df in tiers.items():
+        cond = F.lit(False) if None not in given else _day(df).isNull()
+        if PARTITION_COLUMN in df.columns:
+            cond = cond | _day(df).isin(days) if days else cond
+        else:
+            for d in days:
+                cond = cond | ts_date_range("reference_timestamp", d, d + dt.timedelta(days=1))
+        out[t] = df.filter(cond)
+    return out
 
 
 def restrict_to_days(tiers: dict[str, DataFrame], days: DataFrame, day_col: str = PARTITION_COLUMN) -> dict[str, DataFrame]:
     """Keep only rows whose day is in the ``days`` frame (semi join; the day
-    list never passes through the driver)."""
+    list never passes through the driver).  A NULL day stands for the rows
+    without a time.  The days are broadcast: there are at most as many as
+    calendar days.  The comparison with the first representable day is true
+    of every day; it tells the planner that the list is selective, so it
+    prunes the partitions of a tier at run time."""
     d = days.select(F.col(day_col).alias("__day")).distinct()
-    return {
-        t: df.join(d, F.to_date("reference_timestamp") == F.col("__day"), "left_semi") for t, df in tiers.items()
-    }
+    known = d.filter(F.col("__day") >= F.expr("DATE'0001-01-01'"))
+    with_null = not d.filter(F.col("__day").isNull()).isEmpty()
+    out = {}
+    for t, df in tiers.items():
+        kept = df.join(F.broadcast(known), _day(df) == F.col("__day"), "left_semi")
+        out[t] = kept.unionByName(df.filter(_day(df).isNull())) if with_null else kept
+    return out
+
+
+def _days_of(tiers: dict[str, DataFrame]) -> DataFrame:
+    """The days with at least one row in any tier, a NULL for rows without a
+    time: exactly the days of which silver has rows."""
+    out = None
+    for df in tiers.values():
+        days = df.select(_day(df).alias(PARTITION_COLUMN)).distinct()
+        out = days if out is None else out.unionByName(days)
+    return out.distinct()
 
 
 def refresh_silver(
@@ -68,7 +99,8 @@ def refresh_silver(
     writes a new version, which readers see only once its job committed, so
     a failed or interrupted refresh leaves the previous silver readable.
     With ``touched_dates`` only those days are recomputed and replaced inside
-    the current version (dynamic partition overwrite); other days stay.
+    the current version (dynamic partition overwrite), and those of which no
+    tier has a row any more are removed; other days stay.
     Files are rebalanced by day (AQE splits a heavy day, merges light ones)
     and sorted by station and time inside each file, which keeps the
     per-file min/max statistics tight for station and time predicates.
@@ -92,6 +124,13 @@ def refresh_silver(
         .partitionBy(PARTITION_COLUMN)
         .parquet(current)
     )
+    if not isinstance(touched_dates, DataFrame):
+        touched_dates = spark.createDataFrame([(d,) for d in set(touched_dates)], f"{PARTITION_COLUMN} date")
+    touched, there = touched_dates.select(F.col(PARTITION_COLUMN).alias("__day")).distinct(), _days_of(tiers)
+    gone = touched.join(there, F.col("__day").eqNullSafe(F.col(PARTITION_COLUMN)), "left_anti")
+    for row in gone.toLocalIterator():  # days only
+        name = "__HIVE_DEFAULT_PARTITION__" if row[0] is None else row[0].isoformat()
+        tables.remove_path(spark, f"{current}/{PARTITION_COLUMN}={name}")
     return current
 
 

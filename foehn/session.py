@@ -85,6 +85,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     (local runs, tests) a fresh scratch folder is created and set."""
     root = checkpoint_root(spark)
     if root is None:
+        sc = _context(spark)
+        if sc is None or not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("name a shared folder in spark.checkpoint.dir: executors can't see a local one")
         root = tempfile.mkdtemp(prefix="foehn-ckpt-")
         try:
             spark.conf.set("spark.checkpoint.dir", root)

@@ -46,13 +46,21 @@ def _uri(path: str) -> str:
 
 def relative_path(path: Column, root: str) -> Column:
     """``path`` (a full file URI) relative to the landing root."""
-    prefix = _uri(root) + "/"
-    return F.when(path.startswith(prefix), F.substring(path, len(prefix) + 1, 1 << 30)).otherwise(path)
+    prefix = _uri(root).partition(":")[2].lstrip("/")  # without the scheme: file:/a and file:///a are one place
+    inner = F.ltrim(F.regexp_replace(path, "^[a-zA-Z][a-zA-Z0-9+.-]*:", ""), F.lit("/"))
+    rest = inner.substr(F.lit(len(prefix) + 2), F.char_length(inner))
+    return F.when(inner.startswith(prefix + "/"), rest).otherwise(path)
 
 
 def relative_file_name(root: str) -> Column:
     """Source path relative to the landing root (``bas/x_t_now.csv``)."""
-    return relative_path(F.col("_metadata.file_path"), root)
+    return relative_path(decoded_path(F.col("_metadata.file_path")), root)
+
+
+def decoded_path(uri: Column) -> Column:
+    """The path as file listings give it: ``_metadata.file_path`` is a URI in
+    which blanks and non-ASCII characters are percent-encoded ("+" is not)."""
+    return F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))
 
 
 def read_raw_csv(

@@ -26,7 +26,8 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators import tables
 from ..operators.rejects import split_rejects, staged
 from ..schema import KEY_COLUMNS, MEASUREMENT_CSV_FIELDS, TIER_SPECS, raw_schema
-from ..sources.csv import CSV_OPTIONS, relative_file_name, typed_measurements
+from ..plans.bronze import newest_run
+from ..sources.csv import CSV_OPTIONS, read_raw_csv, relative_file_name, typed_measurements
 
 
 def stream_tier(spark: SparkSession, landing_root: str, tier: str, loaded_at=None) -> DataFrame:
@@ -55,17 +56,26 @@ def start_now_ingest(
     spark: SparkSession, landing_root: str, table_root: str, checkpoint: str,
     trigger: dict | None = None, loaded_at=None, keep_versions: int = 2,
 ) -> StreamingQuery:
-    """Every micro-batch replaces the live table (empty batches do not).
+    """A micro-batch replaces the live table by all files of the newest
+    landing run (see ``bronze.newest_run``), not only by its own, so files of
+    one run may arrive in several micro-batches.  A run without good rows
+    leaves the table as it is.
     Versions older than the newest ``keep_versions`` are dropped after each
     replace (readers still on the previous version keep it), so a stream
     that replaces every 10 minutes does not accumulate versions."""
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        good, _ = split_rejects(df)
-        try:
-            tables.replace(good, table_root)
-        except ValueError:
-            return  # empty batch: keep the current live table
+        if df.isEmpty():
+            return
+        spec = TIER_SPECS["now"]
+        run = newest_run(spark, landing_root, spec.glob)
+        raw = read_raw_csv(spark, run, spec.glob, MEASUREMENT_CSV_FIELDS, encoding=spec.encoding)
+        with staged(typed_measurements(raw, loaded_at), "now-run") as typed:
+            good, _ = split_rejects(typed)
+            try:
+                tables.replace(good, table_root)
+            except tables.EmptyBatchError:
+                return
         tables.vacuum(spark, table_root, keep=keep_versions)
 
     return _start(stream_tier(spark, landing_root, "now", loaded_at), batch, checkpoint,

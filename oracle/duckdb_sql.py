@@ -533,3 +533,6 @@ SELECT d.station_name, f.measurement_timestamp, {dbl('f.temperature_2m')} AS tem
   {dbl('f.precipitation_total_mm')} AS precipitation_total_mm, {dbl('f.wind_speed_mean_ms')} AS wind_speed_mean_ms
 FROM fact f JOIN dim d ON f.station_key = d.station_key
 WHERE f.measurement_timestamp >= TIMESTAMP '{AS_OF_TS}' - INTERVAL 24 HOUR AND f.station_key IN ('1', '2', '3')"""
+
+# a refresh of touched days leaves what a full recompute gives
+ORACLE["silver_touched_refresh"] = ORACLE["tier_dedup"]
