@@ -32,7 +32,7 @@ def con():
     return c
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(E._QUERIES))
 def test_query_matches_oracle(spark, con, name):
     st = E.queries()[name](spark, SF_SMALL).toArrow()
     sql = E.oracle_sql().get(name)
