@@ -1,7 +1,7 @@
 """Exact top-k inner products over a bit-sliced index (operator 7).
 
-Vectors are quantised to integers and stored, in blocks of rows ordered by id,
-as one bitmap per bit of each attribute. A query's scores for all rows of a
+Vectors are quantised to integers and stored, in blocks of rows dealt by hash
+and ordered by id, as one bitmap per bit of each attribute. A query's scores for all rows of a
 block are added up as bitmaps with carry-save adders; the top rows are picked
 from the most significant score slice downward, and rows that tie at the
 boundary are taken in id order, so results are exact. Queries and blocks meet
@@ -38,36 +38,25 @@ def quantised(vectors: DataFrame, id_col: str, vector: str, scale: int = SCALE)
     return rows.select(F.col(id_col).cast("long").alias("id"), F.size(vector).alias("dim"), ints.alias("ints"))
 
 
-def _matrices(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Rows (id, dim, ints) of a partition, ordered by dim and id, as (ids,
-    matrix) of at most ``most`` rows of one dim."""
-    ids, rows, dim = [], [], None
-    for batch in batches:
-        for i, d, ints in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
-            if rows and (d != dim or len(rows) == most):
-                yield np.array(ids, np.int64), np.stack(rows)
-                ids, rows = [], []
-            dim = d
-            ids.append(i)
-            rows.append(ints.values.to_numpy())
-    if rows:
-        yield np.array(ids, np.int64), np.stack(rows)
-
-
 def _packed(rows: DataFrame, most: int, encode) -> DataFrame:
+    """Rows (id, dim, ints) of one dim, about ``most`` together, dealt by hash
+    and ordered by id, as one row (dim, width, low, ids, data, part) each."""
     n = max(1, -(-rows.count() // most))
-    ordered = rows.repartitionByRange(n, "dim", "id").sortWithinPartitions("dim", "id")
-
-    def run(batches):
-        for ids, matrix in _matrices(batches, most):
-            low, width, data = encode(matrix)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([matrix.shape[1]], pa.int32()), pa.array([int(width)], pa.int32()), pa.array([low.tobytes()]), pa.array([ids.tobytes()]), pa.array([data])],
-                names=["dim", "width", "low", "ids", "data"],
-            )
-
-    packed = ordered.mapInArrow(run, "dim int, width int, low binary, ids binary, data binary")
-    return packed.withColumn("part", F.expr("uuid()"))
+
+    def run(table: pa.Table) -> pa.Table:
+        ids, dim = table["id"].to_numpy(), table["dim"][0].as_py()
+        order = np.argsort(ids, kind="stable")
+        matrix = table["ints"].combine_chunks().flatten().to_numpy().reshape(-1, dim)[order]
+        low, width, data = encode(matrix)
+        return pa.table(
+            {
+                "dim": pa.array([dim], pa.int32()), "width": pa.array([int(width)], pa.int32()), "low": pa.array([low.tobytes()]),
+                "ids": pa.array([ids[order].tobytes()]), "data": pa.array([data]), "part": [f"{dim}:{table['deal'][0].as_py()}"],
+            }
+        )
+
+    dealt = rows.withColumn("deal", F.pmod(F.xxhash64("id", "ints"), F.lit(n)))
+    return dealt.groupBy("dim", "deal").applyInArrow(run, "dim int, width int, low binary, ids binary, data binary, part string")
 
 
 def slice_bits(matrix: np.ndarray) -> tuple[np.ndarray, int, bytes]:
