@@ -202,6 +202,7 @@ def candidate_groups(spark: SparkSession, bands: DataFrame) -> DataFrame:
     directly or through others."""
     rows = bands.select("class", F.explode("bands").alias("key"))
     buckets = rows.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low != high").select("key", "low")
+    buckets = stored(spark, buckets, "buckets")  # a table of its own, so that a hot bucket's side of the join can be split
     stars = rows.join(buckets, "key").where("class != low").select(F.col("class").alias("u"), F.col("low").alias("v"))
     return connected_components(spark, stars).select(F.col("node").alias("class"), F.col("component").alias("grp"))
 

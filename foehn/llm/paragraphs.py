@@ -102,7 +102,8 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, id_col: str, text: s
     """Runs of parts that stand in more than one row of docs too."""
     parts = stored(spark, passages(docs, id_col, text), "passages")
     heads = parts.groupBy("key").agg(F.min("id").alias("head"), F.min("uid").alias("low"), F.max("uid").alias("high")).where("low != high")
-    hits = stored(spark, parts.join(heads.select("key", "head"), "key"), "repeated-passages")
+    heads = stored(spark, heads.select("key", "head"), "passage-heads")  # a table of its own, so that a hot key's side of the join can be split
+    hits = stored(spark, parts.join(heads, "key"), "repeated-passages")
     in_text = Window.partitionBy("uid").orderBy("first")
     starts = F.coalesce(F.lag(F.col("first") + F.col("words")).over(in_text) < F.col("first"), F.lit(True))
     hits = hits.withColumn("run", F.sum(starts.cast("int")).over(in_text))
