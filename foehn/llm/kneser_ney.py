@@ -28,11 +28,15 @@ _U = np.uint64
 #: Hashes that stand for the start and the end of a text.
 START, END = _U(0x243F6A8885A308D3), _U(0x13198A2E03707344)
 
-#: Tokens counted together before their counts are sent off, and tokens per shard.
-HELD_TOKENS, SHARD_TOKENS = 2_000_000, 1_500_000
-
-#: A word with more than this share of all tokens has its pairs spread over
-#: all shards; there are fewer than 1 / HOT_SHARE such words.
+#: Tokens counted together before their counts are sent off, tokens per shard
+#: of pairs and bytes of text per shard of words.
+HELD_TOKENS, SHARD_TOKENS, SHARD_BYTES = 2_000_000, 1_500_000, 8 << 20
+#: Shards are told apart by 16 bits.
+MOST_SHARDS = 1 << 16
+
+#: A word with more than this share of all tokens, or with a shard's worth of
+#: them, has its pairs spread over all shards; there are fewer such words than
+#: shards, or than 1 / HOT_SHARE.
 HOT_SHARE = 0.001
 
 
@@ -138,7 +142,8 @@ def train(spark: SparkSession, docs: DataFrame, text: str = "text") -> Model:
     """Count all texts of docs and leave the model in the shared folder."""
     folder = scratch_path(spark, "kneser-ney")
     texts = docs.select(F.coalesce(F.col(text), F.lit("")).alias("text"))
-    most = 1 << 10
+    n_bytes = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    most = min(max(1, -(-n_bytes // SHARD_BYTES)), MOST_SHARDS)
 
     def count_words(batches):
         for tokens, _ in _tokens(batches):
@@ -147,22 +152,21 @@ def train(spark: SparkSession, docs: DataFrame, text: str = "text") -> Model:
 
     def merge_words(table: pa.Table) -> pa.Table:
         keys, counts = _summed(_joined(table, "b0", _U), _joined(table, "b1", np.uint32).astype(np.int64))
-        top = np.argsort(-counts, kind="stable")[: int(1 / HOT_SHARE)]
-        return pa.table(
-            {
-                "shard": pa.array([table["shard"][0].as_py()], pa.int32()), "keys": [keys.tobytes()], "counts": [counts.tobytes()], "tokens": [int(counts.sum())],
-                "n": [len(keys)], "top_keys": [keys[top].view(np.int64)], "top_counts": [counts[top]],
-            }
-        )
-
-    words = texts.mapInArrow(count_words, "shard int, b0 binary, b1 binary").groupBy("shard").applyInArrow(
-        merge_words, "shard int, keys binary, counts binary, tokens long, n long, top_keys array<long>, top_counts array<long>"
-    )
+        return pa.table({"keys": [keys.tobytes()], "counts": [counts.tobytes()], "tokens": [int(counts.sum())], "n": [len(keys)]})
+
+    words = texts.mapInArrow(count_words, "shard int, b0 binary, b1 binary").groupBy("shard").applyInArrow(merge_words, "keys binary, counts binary, tokens long, n long")
     words = stored(spark, words, "lm-words")
     tokens, distinct = (int(x or 0) for x in words.agg(F.sum("tokens"), F.sum("n")).first())
-    hot = words.select(F.explode(F.arrays_zip("top_keys", "top_counts")).alias("x")).where(F.col("x.top_counts") > tokens * HOT_SHARE).select("x.top_keys")
-    hot = np.sort(np.array([r[0] for r in hot.collect()], np.int64).view(_U))  # fewer than 1 / HOT_SHARE
-    shards = int(min(max(1, -(-tokens // SHARD_TOKENS)), 1 << 15))
+    shards = int(min(max(1, -(-tokens // SHARD_TOKENS)), MOST_SHARDS))
+    often = tokens * min(HOT_SHARE, 1 / shards)
+
+    def frequent(batches):
+        for batch in batches:
+            for keys, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(keys, np.int64)[np.frombuffer(counts, np.int64) > often])], names=["key"])
+
+    hot = words.select("keys", "counts").mapInArrow(frequent, "key long").collect()  # fewer than shards, or than 1 / HOT_SHARE
+    hot = np.sort(np.array([r[0] for r in hot], np.int64).view(_U))
 
     def count_pairs(batches):
         for tokens_, before in _tokens(batches):
