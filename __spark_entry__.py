@@ -8,6 +8,7 @@ tables) and runs the library's operators over the whole tables.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +18,8 @@ from foehn.operators.dedup import keep_first
 from foehn.operators.rejects import REASON, split_rejects, stage
 from foehn.operators.upsert import merge_counts, merge_upsert
 from foehn.plans import analogue as A
-from foehn.plans import analytics, gold, quality, silver
+from foehn.plans import analytics, bronze, gold, quality, silver
+from foehn.plans.landed import Landed
 from foehn.sources import catalogue, csv, inventory
 from foehn.schema import MEASUREMENT_CSV_FIELDS, STATION_CSV_FIELDS
 
@@ -359,9 +361,50 @@ def q_new_files(spark, d):
 
 
 def q_load_history(spark, d):
-    ledger = A.tier_files(_tiers(spark, d))
-    since = A.ntz(str(A.AS_OF_TS)) - F.make_dt_interval(F.lit(0), F.lit(1))
-    return ledger.filter(F.col("loaded_at") >= since)
+    """Each tier's loads of the last hour."""
+    ledger = A.tier_files(_tiers(spark, d)).withColumnRenamed("loaded_at", "start_time")
+    recent = [bronze.load_history(ledger, tier, A.AS_OF_TS, hours=1) for tier in A.TIER_WINDOWS]
+    return reduce(DataFrame.unionByName, recent).withColumnRenamed("start_time", "loaded_at")
+
+
+def q_load_recent_files(spark, d):
+    """R2 on landed files: two overlapping batches upserted, table read back."""
+    return portable(Landed(spark, d).recent().read("recent"))
+
+
+def q_stream_recent_files(spark, d):
+    """The same two batches through the stream."""
+    return portable(Landed(spark, d).recent(stream=True).read("recent"))
+
+
+def q_load_now_files(spark, d):
+    """The newest landing run replaces the live table."""
+    return portable(Landed(spark, d).now().read("now"))
+
+
+def q_stream_now_files(spark, d):
+    """The live table replaced by the stream."""
+    return portable(Landed(spark, d).now(stream=True).read("now"))
+
+
+def q_load_historical_files(spark, d):
+    """A backfill in three loads; every file is loaded once."""
+    return portable(Landed(spark, d).historical().read("historical"))
+
+
+def q_load_stations_files(spark, d):
+    """Latin-1 station files."""
+    return portable(Landed(spark, d).stations().read("stations"))
+
+
+def q_load_ledger(spark, d):
+    """K7: the ledger rows of all loads, the backfill's three among them."""
+    return Landed(spark, d).stations().historical().recent().now().ledger_counts()
+
+
+def q_load_reject_summary(spark, d):
+    """K2: rows that the loads left out, by reason."""
+    return Landed(spark, d).stations().recent().now(stream=True).reject_summary()
 
 
 def q_asset_manifest(spark, d):
@@ -429,6 +472,14 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "source_dedup": q_source_dedup,
     "new_files": q_new_files,
     "load_history": q_load_history,
+    "load_recent_files": q_load_recent_files,
+    "stream_recent_files": q_stream_recent_files,
+    "load_now_files": q_load_now_files,
+    "stream_now_files": q_stream_now_files,
+    "load_historical_files": q_load_historical_files,
+    "load_stations_files": q_load_stations_files,
+    "load_ledger": q_load_ledger,
+    "load_reject_summary": q_load_reject_summary,
     "asset_manifest": q_asset_manifest,
     "asset_pick": q_asset_pick,
 }

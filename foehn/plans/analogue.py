@@ -196,8 +196,8 @@ def _ts_text(ts: Column) -> Column:
     )
 
 
-def raw_csv_lines(spark: SparkSession, sf_dir: str, tier: str | None = None) -> DataFrame:
-    """Every event (of ``tier``'s slice, if given) as one measurement CSV line (``line``) plus the file it
+def raw_csv_lines(spark: SparkSession, sf_dir: str, tier: str | None = None, where: Column | None = None) -> DataFrame:
+    """Every event (of ``tier``'s slice and ``where``, if given) as one measurement CSV line (``line``) plus the file it
     would come from (``file_name``).  Rules by ``event_id``:
 
     * %101 = 0: station code of 11 characters (row rejected)
@@ -211,6 +211,8 @@ def raw_csv_lines(spark: SparkSession, sf_dir: str, tier: str | None = None) ->
     e = fact_table(spark, sf_dir, "events")
     if tier is not None:
         e = _window(e, tier)
+    if where is not None:
+        e = e.filter(where)
     eid = F.col("event_id")
     m = measure_columns()
     station = station_of(F.col("user_id"))

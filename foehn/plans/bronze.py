@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import tables
-from ..operators.rejects import REASON, fail_on_rejects, split_rejects, staged
+from ..operators.rejects import REASON, fail_on_rejects, split_rejects, stage, staged
 from ..operators.upsert import SET_ASIDE, set_aside
 from ..schema import KEY_COLUMNS, TIER_SPECS
 from ..sources import csv as csv_src
@@ -93,10 +93,10 @@ def loaded_files(spark: SparkSession, ledger_root: str) -> DataFrame:
     return spark.read.schema(FILE_SCHEMA).parquet(root).join(done, "load_id", "left_semi")
 
 
-def pending_files(spark: SparkSession, landing_root: str, ledger_root: str | None) -> DataFrame:
+def pending_files(spark: SparkSession, landing_root: str, ledger_root: str | None, glob: str | None = None) -> DataFrame:
     """Landed historical files (name, size, modification time) that no
     successful load has read in this state."""
-    landed = list_files(spark, landing_root, TIER_SPECS["historical"].glob)
+    landed = list_files(spark, landing_root, glob or TIER_SPECS["historical"].glob)
     landed = landed.withColumn("file_name", csv_src.relative_path(F.col("file_path"), landing_root))
     if not ledger_root:
         return landed
@@ -111,7 +111,9 @@ def load_history(ledger: DataFrame, tier: str, as_of: dt.datetime, hours: int =
     return ledger.filter((F.col("data_tier") == tier) & (F.col("start_time") >= since))
 
 
-def _run(spark, procedure, tier, ledger_root, body: Callable[[dict], None]) -> DataFrame:
+def run_load(spark, procedure, tier, ledger_root, body: Callable[[dict], None], raise_: bool = False) -> DataFrame:
+    """One load and its ledger row.  With ``raise_`` a failure is also raised
+    (a stream must not commit a micro-batch that was not loaded)."""
     stats = {"procedure": procedure, "data_tier": tier, "start_time": _now(), "errors": [], "load_id": uuid.uuid4().hex}
     try:
         body(stats)
@@ -119,6 +121,10 @@ def _run(spark, procedure, tier, ledger_root, body: Callable[[dict], None]) -> D
     except Exception as e:  # noqa: BLE001 - reported in the ledger like the source system
         stats["status"] = "FAILED"
         stats["errors"].append(f"{type(e).__name__}: {e}")
+        if raise_:
+            stats["end_time"] = _now()
+            _ledger_row(spark, stats, ledger_root)
+            raise
     stats["end_time"] = _now()
     return _ledger_row(spark, stats, ledger_root)
 
@@ -185,7 +191,7 @@ def newest_run(spark: SparkSession, landing_root: str, glob: str) -> str:
 
 
 def load_now(spark, landing_root, table_root, loaded_at=None, ledger_root=None, allow_empty=False,
-             glob=None) -> DataFrame:
+             glob=None, raise_=False) -> DataFrame:
     """Live tier, tolerant parse, full replace by the files of the newest
     landing run.  ``glob`` overrides the tier's file-name pattern."""
 
@@ -199,7 +205,7 @@ def load_now(spark, landing_root, table_root, loaded_at=None, ledger_root=None,
             _keep_rejects(bad, REASON, stats["data_tier"], stats, ledger_root)
             stats["rows_loaded"] = tables.replace(good, table_root, allow_empty=allow_empty)
 
-    return _run(spark, "load_now", "now", ledger_root, body)
+    return run_load(spark, "load_now", "now", ledger_root, body, raise_)
 
 
 def load_stations(spark, landing_root, table_root, loaded_at=None, ledger_root=None, allow_empty=False,
@@ -217,48 +223,56 @@ def load_stations(spark, landing_root, table_root, loaded_at=None, ledger_root=N
             _keep_rejects(bad, REASON, stats["data_tier"], stats, ledger_root)
             stats["rows_loaded"] = tables.replace(good, table_root, allow_empty=allow_empty)
 
-    return _run(spark, "load_stations", "stations", ledger_root, body)
+    return run_load(spark, "load_stations", "stations", ledger_root, body)
 
 
 def with_partition(df: DataFrame) -> DataFrame:
     return df.withColumn(PARTITION_COLUMN, F.to_date("reference_timestamp"))
 
 
+def upsert_recent(typed: DataFrame, table_root: str, stats: dict, ledger_root: str | None) -> DataFrame:
+    """Upsert a typed batch into the day-partitioned recent table; rows left
+    out are kept and counted.  Returns the touched days."""
+    spark = typed.sparkSession
+    typed, obs = _observe_counts(typed, "recent")
+    with staged(typed, "recent-batch") as batch:  # parse once, read twice
+        m = obs.get
+        stats.update(rows_parsed=m["rows_parsed"], rows_rejected=m["rows_rejected"], files_loaded=_files(batch))
+        good, bad = split_rejects(batch)
+        _keep_rejects(bad, REASON, "recent", stats, ledger_root)
+        order = [F.col("loaded_at").desc_nulls_last(), F.col("file_name").asc_nulls_last()]
+        aside = set_aside(good, KEY_COLUMNS, order)
+        counted = {r[0]: r[1] for r in aside.groupBy(SET_ASIDE).count().collect()}  # two reasons
+        stats.update(rows_null_key=counted.get("null_key", 0), rows_duplicate_key=counted.get("duplicate_key", 0))
+        if counted:
+            _keep_rejects(aside, SET_ASIDE, "recent", stats, ledger_root)
+        good = with_partition(good)
+        counts = tables.upsert_partitions(good, table_root, KEY_COLUMNS, PARTITION_COLUMN, order)
+        days = stage(good.select(PARTITION_COLUMN).distinct(), "touched-days")
+    stats["rows_inserted"] = counts["rows_inserted"]
+    stats["rows_updated"] = counts["rows_updated"]
+    stats["rows_loaded"] = spark.read.parquet(table_root).count()
+    return days
+
+
 def load_recent(spark, landing_root, table_root, loaded_at=None, ledger_root=None, glob=None) -> DataFrame:
     """R2: recent tier, tolerant parse, keyed upsert of the touched days."""
 
     def body(stats):
-        typed, obs = _observe_counts(
-            _typed_batch(spark, landing_root, "recent", loaded_at, stats, glob=glob), "recent"
-        )
-        with staged(typed) as batch:
-            m = obs.get
-            stats.update(rows_parsed=m["rows_parsed"], rows_rejected=m["rows_rejected"], files_loaded=_files(batch))
-            good, bad = split_rejects(batch)
-            _keep_rejects(bad, REASON, "recent", stats, ledger_root)
-            order = [F.col("loaded_at").desc_nulls_last(), F.col("file_name").asc_nulls_last()]
-            aside = set_aside(good, KEY_COLUMNS, order)
-            counted = {r[0]: r[1] for r in aside.groupBy(SET_ASIDE).count().collect()}  # two reasons
-            stats.update(rows_null_key=counted.get("null_key", 0), rows_duplicate_key=counted.get("duplicate_key", 0))
-            if counted:
-                _keep_rejects(aside, SET_ASIDE, "recent", stats, ledger_root)
-            counts = tables.upsert_partitions(with_partition(good), table_root, KEY_COLUMNS, PARTITION_COLUMN, order)
-        stats["rows_inserted"] = counts["rows_inserted"]
-        stats["rows_updated"] = counts["rows_updated"]
-        stats["rows_loaded"] = spark.read.parquet(table_root).count()
-
-    return _run(spark, "load_recent", "recent", ledger_root, body)
-
-
-def load_historical(spark, landing_root, table_root, loaded_at=None, ledger_root=None) -> DataFrame:
+        upsert_recent(_typed_batch(spark, landing_root, "recent", loaded_at, stats, glob=glob), table_root, stats, ledger_root)
+
+    return run_load(spark, "load_recent", "recent", ledger_root, body)
+
+
+def load_historical(spark, landing_root, table_root, loaded_at=None, ledger_root=None, glob=None) -> DataFrame:
     """Backfill: strict parse (any bad row fails the batch), files already in
     the ledger are skipped, new rows are appended by day."""
 
     def body(stats):
         # file listing only (no content read); the loaded set comes from the ledger
-        landed = list_files(spark, landing_root, TIER_SPECS["historical"].glob)
+        landed = list_files(spark, landing_root, glob or TIER_SPECS["historical"].glob)
         stats["files_found"] = landed.count()
-        with staged(pending_files(spark, landing_root, ledger_root), "pending-files") as pending:
+        with staged(pending_files(spark, landing_root, ledger_root, glob), "pending-files") as pending:
             # file paths are listing metadata (the driver lists them for any scan)
             paths = [r["file_path"] for r in pending.select("file_path").collect()]
             stats["files_loaded"] = len(paths)
@@ -274,7 +288,7 @@ def load_historical(spark, landing_root, table_root, loaded_at=None, ledger_root
             m = obs.get
             stats.update(rows_parsed=m["rows_parsed"], rows_rejected=m["rows_rejected"], rows_loaded=rows)
 
-    return _run(spark, "load_historical", "historical", ledger_root, body)
+    return run_load(spark, "load_historical", "historical", ledger_root, body)
 
 
 def read_tier(spark: SparkSession, table_root: str, tier: str) -> DataFrame:

@@ -24,21 +24,22 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import tables
-from ..operators.rejects import split_rejects, staged
+from ..operators.rejects import split_rejects
+from ..plans.bronze import load_now, run_load, upsert_recent
 from ..schema import KEY_COLUMNS, MEASUREMENT_CSV_FIELDS, TIER_SPECS, raw_schema
-from ..plans.bronze import newest_run
-from ..sources.csv import CSV_OPTIONS, read_raw_csv, relative_file_name, typed_measurements
+from ..sources.csv import CSV_OPTIONS, relative_file_name, typed_measurements
 
 
-def stream_tier(spark: SparkSession, landing_root: str, tier: str, loaded_at=None) -> DataFrame:
-    """Typed rows (with ``reject_reason``) of files landing for ``tier``."""
+def stream_tier(spark: SparkSession, landing_root: str, tier: str, loaded_at=None, glob: str | None = None) -> DataFrame:
+    """Typed rows (with ``reject_reason``) of files landing for ``tier``;
+    ``glob`` overrides its file-name pattern."""
     spec = TIER_SPECS[tier]
     raw = (
         spark.readStream.schema(raw_schema(MEASUREMENT_CSV_FIELDS))
         .options(**CSV_OPTIONS)
         .option("encoding", spec.encoding)
         .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", spec.glob)
+        .option("pathGlobFilter", glob or spec.glob)
         .csv(landing_root)
     )
     raw = raw.select(
@@ -55,11 +56,13 @@ def _start(df: DataFrame, fn: Callable[[DataFrame, int], None], checkpoint: str,
 def start_now_ingest(
     spark: SparkSession, landing_root: str, table_root: str, checkpoint: str,
     trigger: dict | None = None, loaded_at=None, keep_versions: int = 2,
+    ledger_root: str | None = None, glob: str | None = None,
 ) -> StreamingQuery:
     """A micro-batch replaces the live table by all files of the newest
     landing run (see ``bronze.newest_run``), not only by its own, so files of
     one run may arrive in several micro-batches.  A run without good rows
-    leaves the table as it is.
+    leaves the table as it is, with a FAILED ledger row; any other failure
+    stops the stream, so its files are read again.
     Versions older than the newest ``keep_versions`` are dropped after each
     replace (readers still on the previous version keep it), so a stream
     that replaces every 10 minutes does not accumulate versions."""
@@ -67,18 +70,13 @@ def start_now_ingest(
     def batch(df: DataFrame, batch_id: int) -> None:
         if df.isEmpty():
             return
-        spec = TIER_SPECS["now"]
-        run = newest_run(spark, landing_root, spec.glob)
-        raw = read_raw_csv(spark, run, spec.glob, MEASUREMENT_CSV_FIELDS, encoding=spec.encoding)
-        with staged(typed_measurements(raw, loaded_at), "now-run") as typed:
-            good, _ = split_rejects(typed)
-            try:
-                tables.replace(good, table_root)
-            except tables.EmptyBatchError:
-                return
+        try:
+            load_now(spark, landing_root, table_root, loaded_at, ledger_root, glob=glob, raise_=True)
+        except tables.EmptyBatchError:
+            return
         tables.vacuum(spark, table_root, keep=keep_versions)
 
-    return _start(stream_tier(spark, landing_root, "now", loaded_at), batch, checkpoint,
+    return _start(stream_tier(spark, landing_root, "now", loaded_at, glob), batch, checkpoint,
                   trigger or {"availableNow": True})
 
 
@@ -86,22 +84,22 @@ def start_recent_ingest(
     spark: SparkSession, landing_root: str, table_root: str, checkpoint: str,
     silver_refresh: Callable[[DataFrame], None] | None = None,
     trigger: dict | None = None, loaded_at=None,
+    ledger_root: str | None = None, glob: str | None = None,
 ) -> StreamingQuery:
     """T2 + T4: upsert each micro-batch by key into the day-partitioned recent
     table, then hand the touched days to ``silver_refresh``.  Replaying a
-    batch gives the same table (keyed upsert)."""
-    from ..plans.bronze import PARTITION_COLUMN, with_partition
+    batch gives the same table (keyed upsert).  Each writes a ledger row and
+    keeps the rows it leaves out, as the batch load does."""
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        with staged(df, "recent-batch") as parsed:  # parse once, read twice
-            good, _ = split_rejects(parsed)
-            good = with_partition(good)
-            order = [F.col("loaded_at").desc_nulls_last(), F.col("file_name").asc_nulls_last()]
-            tables.upsert_partitions(good, table_root, KEY_COLUMNS, PARTITION_COLUMN, order)
+        def body(stats: dict) -> None:
+            days = upsert_recent(df, table_root, stats, ledger_root)
             if silver_refresh is not None:
-                silver_refresh(good.select(PARTITION_COLUMN).distinct())
+                silver_refresh(days)
+
+        run_load(spark, "stream_recent", "recent", ledger_root, body, raise_=True)
 
-    return _start(stream_tier(spark, landing_root, "recent", loaded_at), batch, checkpoint,
+    return _start(stream_tier(spark, landing_root, "recent", loaded_at, glob), batch, checkpoint,
                   trigger or {"availableNow": True})
 
 

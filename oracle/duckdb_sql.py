@@ -534,5 +534,66 @@ SELECT d.station_name, f.measurement_timestamp, {dbl('f.temperature_2m')} AS tem
 FROM fact f JOIN dim d ON f.station_key = d.station_key
 WHERE f.measurement_timestamp >= TIMESTAMP '{AS_OF_TS}' - INTERVAL 24 HOUR AND f.station_key IN ('1', '2', '3')"""
 
+# --- loads of landed files -----------------------------------------------------------
+
+_BATCH_WHERE = [
+    "ts >= TIMESTAMP '2024-01-10 00:00:00' AND ts < TIMESTAMP '2024-01-22 00:00:00'",
+    "ts >= TIMESTAMP '2024-01-18 00:00:00' AND ts < TIMESTAMP '2024-01-28 00:00:00'",
+]
+_BATCH_LOADED = ["2024-01-22 13:00:00", "2024-01-29 13:00:00"]
+_BATCHES = "WITH b AS (\n" + "\nUNION ALL\n".join(
+    f"SELECT * EXCLUDE (file_name) REPLACE (TIMESTAMP '{at}' AS loaded_at), {n} AS batch FROM ({_parsed(w)})"
+    for n, (w, at) in enumerate(zip(_BATCH_WHERE, _BATCH_LOADED, strict=True))
+) + f"""),
+k AS (SELECT *, row_number() OVER (PARTITION BY station_abbr, reference_timestamp, batch
+        ORDER BY {", ".join(f"{c} ASC NULLS LAST" for c in MEASURE_CODES)}) AS rn FROM b WHERE reference_timestamp IS NOT NULL)
+"""
+ORACLE["load_recent_files"] = _BATCHES + """
+SELECT * EXCLUDE (batch, rn) FROM k WHERE rn = 1
+QUALIFY row_number() OVER (PARTITION BY station_abbr, reference_timestamp ORDER BY batch DESC) = 1"""
+ORACLE["stream_recent_files"] = ORACLE["load_recent_files"]
+ORACLE["load_now_files"] = f"SELECT * EXCLUDE (file_name) FROM ({ORACLE['replace_now']})"
+ORACLE["stream_now_files"] = ORACLE["load_now_files"]
+ORACLE["load_historical_files"] = f"""
+SELECT * EXCLUDE (file_name) REPLACE (TIMESTAMP '2024-01-20 03:00:00' AS loaded_at) FROM ({_parsed(TIER_WHERE['historical'])})"""
+ORACLE["load_stations_files"] = f"""
+SELECT * EXCLUDE (file_name) REPLACE (replace(station_name, 'Customer', 'Kündin') AS station_name) FROM ({ORACLE['station_csv_parse']})"""
+
+_HISTORICAL_PARTS = ["ts < TIMESTAMP '2024-01-10 00:00:00'", "ts >= TIMESTAMP '2024-01-10 00:00:00'", "FALSE"]
+_NO_KEYS = ", ".join(f"CAST(NULL AS BIGINT) AS {c}" for c in ("rows_null_key", "rows_duplicate_key", "rows_inserted", "rows_updated"))
+_LEDGER = [
+    f"""SELECT 'load_stations' AS procedure, 'stations' AS data_tier, 'SUCCESS' AS status, COUNT(*) AS rows_parsed,
+  COUNT({_S_REJECT}) AS rows_rejected, {_NO_KEYS}, COUNT(*) - COUNT({_S_REJECT}) AS rows_loaded
+FROM customer JOIN nation ON c_nationkey = n_nationkey""",
+    f"""SELECT 'load_now', 'now', 'SUCCESS', COUNT(*), COUNT({_REJECT}), {_NO_KEYS}, COUNT(*) - COUNT({_REJECT})
+FROM events WHERE {TIER_WHERE['now']}""",
+]
+_LEDGER += [
+    f"""SELECT 'load_historical', 'historical', 'SUCCESS', COUNT(*), 0, {_NO_KEYS}, COUNT(*)
+FROM events WHERE {TIER_WHERE['historical']} AND {_REJECT} IS NULL AND {part}"""
+    for part in _HISTORICAL_PARTS
+]
+_KEYS_OF = ["(SELECT DISTINCT station_abbr, reference_timestamp FROM k WHERE batch = 0)", "(SELECT DISTINCT station_abbr, reference_timestamp FROM k WHERE batch = 1)"]
+_LEDGER += [
+    f"""SELECT 'load_recent', 'recent', 'SUCCESS', (SELECT COUNT(*) FROM events WHERE {w}), (SELECT COUNT({_REJECT}) FROM events WHERE {w}),
+  (SELECT COUNT(*) FROM b WHERE batch = {n} AND reference_timestamp IS NULL), (SELECT COUNT(*) FROM k WHERE batch = {n} AND rn > 1),
+  (SELECT COUNT(*) FROM {fresh}), (SELECT COUNT(*) FROM {again}), (SELECT COUNT(*) FROM {every})"""
+    for n, (w, fresh, again, every) in enumerate(
+        [
+            (_BATCH_WHERE[0], _KEYS_OF[0], "(SELECT 1 WHERE FALSE)", _KEYS_OF[0]),
+            (_BATCH_WHERE[1], f"({_KEYS_OF[1]} EXCEPT {_KEYS_OF[0]})", f"({_KEYS_OF[1]} INTERSECT {_KEYS_OF[0]})", f"({_KEYS_OF[0]} UNION {_KEYS_OF[1]})"),
+        ]
+    )
+]
+ORACLE["load_ledger"] = _BATCHES + "\nUNION ALL\n".join(_LEDGER)
+ORACLE["load_reject_summary"] = _BATCHES + f""", r AS (
+SELECT 'stations' AS data_tier, {_S_REJECT} AS reason, TIMESTAMP '2024-01-28 02:00:00' AS loaded_at FROM customer JOIN nation ON c_nationkey = n_nationkey
+UNION ALL SELECT 'now', {_REJECT}, TIMESTAMP '2024-01-30 11:30:00' FROM events WHERE {TIER_WHERE['now']}
+UNION ALL SELECT 'recent', {_REJECT}, TIMESTAMP '{_BATCH_LOADED[0]}' FROM events WHERE {_BATCH_WHERE[0]}
+UNION ALL SELECT 'recent', {_REJECT}, TIMESTAMP '{_BATCH_LOADED[1]}' FROM events WHERE {_BATCH_WHERE[1]}
+UNION ALL SELECT 'recent', 'null_key', loaded_at FROM b WHERE reference_timestamp IS NULL
+UNION ALL SELECT 'recent', 'duplicate_key', loaded_at FROM k WHERE rn > 1)
+SELECT data_tier, reason, loaded_at, COUNT(*) AS n_rows FROM r WHERE reason IS NOT NULL GROUP BY ALL"""
+
 # a refresh of touched days leaves what a full recompute gives
 ORACLE["silver_touched_refresh"] = ORACLE["tier_dedup"]
