@@ -21,7 +21,7 @@ from foehn.plans import analogue as A
 from foehn.plans import analytics, bronze, gold, quality, silver
 from foehn.plans.landed import Landed
 from foehn.sources import catalogue, csv, inventory
-from foehn.schema import MEASUREMENT_CSV_FIELDS, STATION_CSV_FIELDS
+from foehn.schema import KEY_COLUMNS, MEASUREMENT_CSV_FIELDS, STATION_CSV_FIELDS
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -99,15 +99,16 @@ def q_dim_station(spark, d):
 
 
 def q_station_coverage(spark, d):
-    return quality.station_coverage(_tiers(spark, d)["historical"])
+    return quality.station_coverage(silver.all_measurements(_tiers(spark, d)), by=["data_tier"])
 
 
 def q_fill_rates(spark, d):
-    return quality.fill_rates(_tiers(spark, d)["historical"])
+    return quality.fill_rates(silver.all_measurements(_tiers(spark, d)), by=["data_tier"])
 
 
 def q_duplicate_keys(spark, d):
-    return quality.duplicate_keys(_tiers(spark, d)["historical"])
+    """A4 inside each tier: keys that one tier holds more than once."""
+    return quality.duplicate_keys(silver.all_measurements(_tiers(spark, d)), ["data_tier", *KEY_COLUMNS])
 
 
 def q_silver_duplicates(spark, d):
@@ -272,19 +273,20 @@ def q_silver_station_series(spark, d):
 
 def q_sample_rows(spark, d):
     """An unordered sample of 100 bronze rows (which rows is undefined)."""
-    return portable(quality.sample(_tiers(spark, d)["historical"], 100))
+    return portable(quality.sample(silver.all_measurements(_tiers(spark, d)), 100))
 
 
 def q_stream_live_keys(spark, d):
     """T5 on a stream: the live tier read as a file stream from the events
-    table, de-duplicated within a 1-day watermark, written by an
-    availableNow trigger to a Parquet sink in the checkpoint folder."""
+    table, de-duplicated within a watermark of the month that the table
+    spans (so rows may come in any order), written by an availableNow trigger
+    to a Parquet sink in the checkpoint folder."""
     from foehn.session import scratch_path
     from foehn.streaming.ingest import dedup_within_watermark, run_available_now
 
     schema = A.table(spark, d, "events").schema
     events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(d)
-    live = dedup_within_watermark(A.bronze_tier(events, "now"))
+    live = dedup_within_watermark(A.bronze_tier(events, "now"), watermark="31 days")
     out, ck = scratch_path(spark, "live-out"), scratch_path(spark, "live-ck")
     run_available_now(live, out, ck)
     return spark.read.parquet(out).select("station_abbr", "reference_timestamp")

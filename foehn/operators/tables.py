@@ -19,8 +19,6 @@ from pyspark.sql import types as T
 
 from .upsert import ACTION, merge_upsert
 
-MAX_TOUCHED_PARTITIONS = 10_000
-
 _VERSION = re.compile(r"^v(\d+)$")
 
 
@@ -160,25 +158,20 @@ def upsert(
 def touched_partitions(spark: SparkSession, root: str, source: DataFrame, partition_col: str) -> DataFrame:
     """Rows of the partitions that ``source`` touches.
 
-    A batch touches few days: after checking that the set of partition
-    values is bounded, the values become a partition filter (``IN``), so
-    only the touched partitions are listed and read.  Above the bound a
-    semi join on the partition column gives the same rows."""
+    A semi join on the partition column, whatever the number of partitions:
+    the touched values are broadcast (at most as many as calendar days), and
+    dynamic pruning reads only their folders.  The comparison with the empty
+    text is true of every value; it tells the planner that the list is
+    selective.  A NULL value touches the NULL partition."""
     fs, p = _fs(spark, root)
     if not fs.exists(p):
         return spark.createDataFrame([], source.schema)
-    target = spark.read.parquet(root)
-    touched = source.select(partition_col).distinct()
-    # partition values only: at most MAX_TOUCHED_PARTITIONS + 1 days reach
-    # the driver, one job both bounds and fetches them
-    values = [r[0] for r in touched.limit(MAX_TOUCHED_PARTITIONS + 1).collect()]
-    if len(values) <= MAX_TOUCHED_PARTITIONS:
-        cond = F.col(partition_col).isin(*[v for v in values if v is not None])
-        if any(v is None for v in values):
-            cond = cond | F.col(partition_col).isNull()
-        out = target.filter(cond)
-    else:
-        out = target.join(touched, partition_col, "left_semi")
+    target = spark.read.schema(source.schema).parquet(root)
+    touched = source.select(F.col(partition_col).alias("__touched")).distinct()
+    known = touched.filter(F.col("__touched").cast("string") >= "")
+    out = target.join(F.broadcast(known), F.col(partition_col) == F.col("__touched"), "left_semi")
+    if not touched.filter(F.col("__touched").isNull()).isEmpty():
+        out = out.unionByName(target.filter(F.col(partition_col).isNull()))
     return out.select(*source.columns)
 
 

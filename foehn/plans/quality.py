@@ -22,27 +22,30 @@ def row_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("total_records"))
 
 
-def station_coverage(df: DataFrame, station: str = "station_abbr", ts: str = "reference_timestamp") -> DataFrame:
-    """A2: rows, first/last measurement and days covered per station."""
+def station_coverage(
+    df: DataFrame, station: str = "station_abbr", ts: str = "reference_timestamp", by: Sequence[str] = ()
+) -> DataFrame:
+    """A2: rows, first/last measurement and days covered per station (and per
+    ``by``, e.g. the tier)."""
     return (
-        df.groupBy(station)
+        df.groupBy(*by, station)
         .agg(
             F.count(F.lit(1)).alias("record_count"),
             F.min(ts).alias("earliest_measurement"),
             F.max(ts).alias("latest_measurement"),
         )
         .withColumn("days_of_data", F.datediff(F.to_date("latest_measurement"), F.to_date("earliest_measurement")))
-        .orderBy(station)
+        .orderBy(*by, station)
     )
 
 
-def fill_rates(df: DataFrame, columns: Sequence[str] = MEASURE_CODES) -> DataFrame:
-    """A3 for every measure: total rows, non-NULL count and fill % per column,
-    all in one pass."""
+def fill_rates(df: DataFrame, columns: Sequence[str] = MEASURE_CODES, by: Sequence[str] = ()) -> DataFrame:
+    """A3 for every measure: total rows, non-NULL count and fill % per column
+    (one row, or one per ``by``), all in one pass."""
     aggs = [F.count(F.lit(1)).alias("total_rows")]
     for c in columns:
         aggs += [F.count(c).alias(f"{c}_count"), fill_pct(c).alias(f"{c}_fill_pct")]
-    return df.agg(*aggs)
+    return df.groupBy(*by).agg(*aggs)
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str] = KEY_COLUMNS) -> DataFrame:

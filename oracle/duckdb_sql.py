@@ -227,18 +227,18 @@ _DIM_COLS = [
 DIM_SELECT = ", ".join(dbl(c) + f" AS {c}" if c in _DIM_DEC else c for c in _DIM_COLS)
 ORACLE["dim_station"] = with_(*DIM) + f"SELECT {DIM_SELECT} FROM dim"
 
-ORACLE["station_coverage"] = with_(BRONZE[0]) + """
-SELECT station_abbr, COUNT(*) AS record_count, MIN(reference_timestamp) AS earliest_measurement,
+ORACLE["station_coverage"] = with_(*BRONZE, union_cte()) + """
+SELECT data_tier, station_abbr, COUNT(*) AS record_count, MIN(reference_timestamp) AS earliest_measurement,
   MAX(reference_timestamp) AS latest_measurement,
   CAST(datediff('day', CAST(MIN(reference_timestamp) AS DATE), CAST(MAX(reference_timestamp) AS DATE)) AS INTEGER) AS days_of_data
-FROM b_historical GROUP BY station_abbr"""
+FROM all_m GROUP BY data_tier, station_abbr"""
 
 _fill = ",\n  ".join(f"COUNT({c}) AS {c}_count, {fill_sql(c)} AS {c}_fill_pct" for c in MEASURE_CODES)
-ORACLE["fill_rates"] = with_(BRONZE[0]) + f"SELECT COUNT(*) AS total_rows,\n  {_fill}\nFROM b_historical"
+ORACLE["fill_rates"] = with_(*BRONZE, union_cte()) + f"SELECT data_tier, COUNT(*) AS total_rows,\n  {_fill}\nFROM all_m GROUP BY data_tier"
 
-ORACLE["duplicate_keys"] = with_(BRONZE[0]) + """
-SELECT station_abbr, reference_timestamp, COUNT(*) AS duplicate_count
-FROM b_historical GROUP BY station_abbr, reference_timestamp HAVING COUNT(*) > 1"""
+ORACLE["duplicate_keys"] = with_(*BRONZE, union_cte()) + """
+SELECT data_tier, station_abbr, reference_timestamp, COUNT(*) AS duplicate_count
+FROM all_m GROUP BY data_tier, station_abbr, reference_timestamp HAVING COUNT(*) > 1"""
 
 ORACLE["silver_duplicates"] = with_(*SILVER) + """
 SELECT station_abbr, reference_timestamp, COUNT(*) AS duplicate_count
