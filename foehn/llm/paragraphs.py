@@ -99,25 +99,37 @@ def passages(docs: DataFrame, id_col: str, text: str) -> DataFrame:
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, id_col: str, text: str, least: int) -> DataFrame:
-    """Runs of parts that stand in more than one row of docs too."""
+    """Runs of parts that stand in more than one row of docs too, a row for
+    each piece of a run whose parts have the same head."""
     parts = stored(spark, passages(docs, id_col, text), "passages")
     heads = parts.groupBy("key").agg(F.min("id").alias("head"), F.min("uid").alias("low"), F.max("uid").alias("high")).where("low != high")
     heads = stored(spark, heads.select("key", "head"), "passage-heads")  # a table of its own, so that a hot key's side of the join can be split
     hits = stored(spark, parts.join(heads, "key"), "repeated-passages")
     in_text = Window.partitionBy("uid").orderBy("first")
     starts = F.coalesce(F.lag(F.col("first") + F.col("words")).over(in_text) < F.col("first"), F.lit(True))
-    hits = hits.withColumn("run", F.sum(starts.cast("int")).over(in_text))
-    away = F.when(F.col("head").eqNullSafe(F.col("id")), 0).otherwise(F.col("words"))
-    runs = hits.groupBy("uid", "run", "id").agg(
-        F.min("first").alias("position"), (F.sum("words") + 2).alias("n_words"), F.sum(away).alias("away"), F.min("head").alias("keeper"), F.min("key").alias("low"), F.collect_set("key").alias("keys")
+    turns = starts | ~F.lag("head").over(in_text).eqNullSafe(F.col("head"))
+    hits = hits.withColumns({"run": F.sum(starts.cast("int")).over(in_text), "piece": F.sum(turns.cast("int")).over(in_text)})
+    # a run counts as a whole, but is kept or removed piece by piece: neighbouring parts may have their heads in different rows
+    pieces = hits.groupBy("uid", "run", "piece", "id").agg(
+        F.min("first").alias("first"), F.sum("words").alias("words"), F.min("head").alias("keeper"), F.min("key").alias("low"), F.collect_set("key").alias("keys")
     )  # of one text
-    runs = stored(spark, runs.where(F.col("n_words") >= least), "passage-runs")
+    whole = Window.partitionBy("uid", "run")
+    in_run = whole.orderBy("first")
+    removed = ~F.col("keeper").eqNullSafe(F.col("id"))
+    # a part and the next share a 3-gram, which stays where one of them does
+    kept_to = F.max(F.when(~removed, F.col("first") + F.col("words") + 3)).over(in_run.rowsBetween(Window.unboundedPreceding, -1))
+    tail = F.when(F.lead("first").over(in_run).isNull(), 2).when(removed, 0).otherwise(3)
+    runs = pieces.select(
+        "id", "keeper", "keys", removed.alias("removed"), F.min("low").over(whole).alias("low"), (F.sum("words").over(whole) + 2).alias("run_words"),
+        F.when(removed, F.greatest("first", kept_to)).otherwise(F.col("first")).alias("position"), (F.col("first") + F.col("words") + tail).alias("end"),
+    )
+    runs = stored(spark, runs.where(F.col("run_words") >= least), "passage-runs")
     stars = runs.select(F.explode("keys").alias("u"), F.col("low").alias("v"))
     named = runs.join(connected_components(spark, stars).withColumnRenamed("node", "low"), "low", "left").withColumn("component", F.coalesce("component", "low"))
     least_id = named.groupBy("component").agg(F.min("keeper").alias("component_id"))
-    return named.join(least_id, "component").select(
-        F.col("id").alias(id_col), F.lit("passage").alias("unit"), F.col("position").cast("long").alias("position"), F.col("n_words").cast("long").alias("n_words"),
-        "component_id", F.col("keeper").alias("keeper_id"), (F.col("away") > 0).alias("removed"),
+    return named.join(least_id, "component").where("end > position").select(
+        F.col("id").alias(id_col), F.lit("passage").alias("unit"), F.col("position").cast("long").alias("position"), (F.col("end") - F.col("position")).cast("long").alias("n_words"),
+        "component_id", F.col("keeper").alias("keeper_id"), "removed",
     )
 
 
@@ -151,7 +163,9 @@ def repeated_text(
     """A row per repeated line or passage of at least ``least`` words: id_col,
     ``unit`` (line or passage), ``position`` (line number, or number of the
     first word), ``n_words``, ``component_id`` and ``keeper_id`` (smallest ids
-    of its cluster and of the rows that hold it) and ``removed``.
+    of its cluster and of the rows that hold it) and ``removed``. A passage
+    whose parts are kept in different rows has a row, which may be shorter, for
+    each piece.
 
     Case does not count. A row with the keeper's id keeps its copy; repeated
     rows of that id all do. Null and short texts have no rows; a null id keeps

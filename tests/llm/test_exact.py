@@ -139,6 +139,26 @@ def test_passage_inside_unlike_lines(spark):
     assert {r.doc_id for r in found if r.removed} == set(range(20, 40)) and all(r.keeper_id == r.doc_id % 20 for r in found)
 
 
+def test_adjacent_passages_keep_a_copy_each(spark):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choices("abcdefgh", k=12))
+    filler = lambda: [word() for _ in range(90)]
+    both = [word() for _ in range(240)]
+    held = {3: both[:140], 5: both, 9: both[100:], 11: both, 12: both[100:]}  # 3 holds P, 5 P and Q, 9 Q
+    texts = {i: [*filler(), *own, *filler()] for i, own in held.items()}
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()], "doc_id long, text string")
+    found = paragraphs.repeated_text(spark, docs).collect()
+    assert all(r.keeper_id != r.doc_id for r in found if r.removed) and {r.component_id for r in found} == {3}
+    left = {i: list(t) for i, t in texts.items()}
+    for r in found:
+        if r.removed:
+            left[r.doc_id][r.position : r.position + r.n_words] = [None] * r.n_words
+    # besides the ends that are cut differently, one copy of each word is left
+    for i in [*range(30, 100), *range(145, 210)]:
+        assert [j for j in left if both[i] in left[j]] == [3 if i < 140 else 5]
+    assert all(any(w in left[j] for j in left) for w in both)
+
+
 def test_similar_lines(spark):
     rng = random.Random(6)
     word = lambda: "".join(rng.choices("abcdefgh", k=6))
