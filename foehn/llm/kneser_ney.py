@@ -36,7 +36,7 @@ MOST_SHARDS = 1 << 16
 
 #: A word with more than this share of all tokens, or with a shard's worth of
 #: them, has its pairs spread over all shards; there are fewer such words than
-#: shards, or than 1 / HOT_SHARE.
+#: shards, or than 1 / HOT_SHARE. START, once in every text, is such a word too.
 HOT_SHARE = 0.001
 
 
@@ -142,7 +142,7 @@ def train(spark: SparkSession, docs: DataFrame, text: str = "text") -> Model:
     """Count all texts of docs and leave the model in the shared folder."""
     folder = scratch_path(spark, "kneser-ney")
     texts = docs.select(F.coalesce(F.col(text), F.lit("")).alias("text"))
-    n_bytes = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n_bytes, n_texts = (int(x or 0) for x in texts.agg(F.sum(F.octet_length("text")), F.count("*")).first())
     most = min(max(1, -(-n_bytes // SHARD_BYTES)), MOST_SHARDS)
 
     def count_words(batches):
@@ -166,7 +166,8 @@ def train(spark: SparkSession, docs: DataFrame, text: str = "text") -> Model:
                 yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(keys, np.int64)[np.frombuffer(counts, np.int64) > often])], names=["key"])
 
     hot = words.select("keys", "counts").mapInArrow(frequent, "key long").collect()  # fewer than shards, or than 1 / HOT_SHARE
-    hot = np.sort(np.array([r[0] for r in hot], np.int64).view(_U))
+    hot = np.array([r[0] for r in hot], np.int64).view(_U)
+    hot = np.sort(np.append(hot, START) if n_texts > often else hot)
 
     def count_pairs(batches):
         for tokens_, before in _tokens(batches):

@@ -93,6 +93,17 @@ def test_hot_words_are_spread(spark, monkeypatch):
     assert whole == pytest.approx(plain)
 
 
+def test_starts_of_texts_are_spread(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"x{i} the") for i in range(300)], "doc_id long, text string")
+    model = kneser_ney.train(spark, docs)
+    assert kneser_ney.START in model.hot and model.hot_stats[model.hot == kneser_ney.START].tolist() == [[300, 300, 0, 0]]
+    found = [r.score for r in kneser_ney.score(docs, model).orderBy("doc_id").collect()]
+    monkeypatch.setattr(kneser_ney, "HOT_SHARE", 0.9)
+    plain = kneser_ney.train(spark, docs)
+    assert kneser_ney.START not in plain.hot
+    assert found == pytest.approx([r.score for r in kneser_ney.score(docs, plain).orderBy("doc_id").collect()])
+
+
 def test_ngram_join_equals_all_pairs(spark, documents, texts):
     grams = {}
     for i, t in texts.items():
