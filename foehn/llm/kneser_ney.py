@@ -113,6 +113,11 @@ def _save(folder: str, name: str, shard: int, **arrays: np.ndarray) -> None:
             np.lib.format.write_array(out, np.ascontiguousarray(array), allow_pickle=False)
 
 
+def narrowed(counts: np.ndarray) -> np.ndarray:
+    """Counts in 32 bits where all of them fit, else in 64."""
+    return counts.astype(np.uint32) if not len(counts) or counts.max() < 1 << 32 else counts
+
+
 def _count_of_counts(counts: np.ndarray) -> list[int]:
     return [int((counts == k).sum()) for k in (1, 2, 3, 4)]
 
@@ -190,7 +195,7 @@ def train(spark: SparkSession, docs: DataFrame, text: str = "text") -> Model:
         context, number = np.unique(before, return_inverse=True)
         stats = np.stack([np.bincount(number, weights=w, minlength=len(context)).astype(np.int64) for w in (counts, counts == 1, counts == 2, counts > 2)], axis=1)
         is_hot = np.isin(context, hot)
-        _save(folder, "pair", shard, keys=keys, counts=counts.astype(np.uint32))
+        _save(folder, "pair", shard, keys=keys, counts=narrowed(counts))
         _save(folder, "context", shard, keys=context[~is_hot], stats=stats[~is_hot])
         words_, seen = np.unique(after, return_counts=True)
         blobs = _blobs(words_, [seen.astype(np.uint32)], shards)
@@ -214,14 +219,14 @@ def train(spark: SparkSession, docs: DataFrame, text: str = "text") -> Model:
     def spread(batches):
         for batch in batches:
             for keys, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                out = _blobs(np.frombuffer(keys, _U), [np.frombuffer(counts, np.int64).astype(np.uint32)], shards)
+                out = _blobs(np.frombuffer(keys, _U), [np.frombuffer(counts, np.int64)], shards)
                 yield out.append_column("kind", pa.array(np.zeros(out.num_rows, np.int32)))
 
     own = words.select("keys", "counts").mapInArrow(spread, "shard int, b0 binary, b1 binary, kind int")
 
     def merge_model(table: pa.Table) -> pa.Table:
         kind = table["kind"].to_numpy()
-        keys, counts = _summed(_joined(table.filter(kind == 0), "b0", _U), _joined(table.filter(kind == 0), "b1", np.uint32).astype(np.int64))
+        keys, counts = _summed(_joined(table.filter(kind == 0), "b0", _U), _joined(table.filter(kind == 0), "b1", np.int64))
         followers, seen = _summed(_joined(table.filter(kind == 1), "b0", _U), _joined(table.filter(kind == 1), "b1", np.uint32).astype(np.int64))
         after = np.zeros(len(keys), np.int64)
         after[np.searchsorted(keys, followers)] = seen

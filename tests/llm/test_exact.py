@@ -7,6 +7,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
@@ -104,6 +105,27 @@ def test_starts_of_texts_are_spread(spark, monkeypatch):
     assert found == pytest.approx([r.score for r in kneser_ney.score(docs, plain).orderBy("doc_id").collect()])
 
 
+def test_counts_beyond_32_bits(spark, monkeypatch, tmp_path):
+    many, plain = 5_000_000_000, kneser_ney.stored
+
+    def multiplied(spark, df, name):
+        def run(batches):
+            for batch in batches:
+                counts = [(np.frombuffer(x, np.int64) * many).tobytes() for x in batch["counts"].to_pylist()]
+                yield batch.set_column(batch.schema.get_field_index("counts"), "counts", pa.array(counts, pa.binary()))
+
+        return plain(spark, df.mapInArrow(run, df.schema) if name == "lm-words" else df, name)
+
+    monkeypatch.setattr(kneser_ney, "stored", multiplied)
+    model = kneser_ney.train(spark, spark.createDataFrame([("a b a",)], "text string"))
+    _, _, texts = next(slices(pa.array(["a b a"])))
+    words = np.unique(kneser_ney.sequence(texts)[0])
+    assert sorted(kneser_ney.Reader(model).find("word", words, ["counts"])[0].tolist()) == [many, many, 2 * many]
+    for counts, kind in (([1, many], np.int64), ([1, 2], np.uint32), ([], np.uint32)):
+        kept = kneser_ney.narrowed(np.array(counts, np.int64))
+        assert kept.tolist() == counts and kept.dtype == kind
+
+
 def test_ngram_join_equals_all_pairs(spark, documents, texts):
     grams = {}
     for i, t in texts.items():
