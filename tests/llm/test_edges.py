@@ -75,6 +75,20 @@ def test_mixing_targets_are_water_filled(spark):
     assert {x[:2] for x in got} == {(100, 60.0), (10, 30.0)}
 
 
+def test_taken_words_are_near_target(spark):
+    cells = {("a", 10): 1500, ("a", 37): 300, ("b", 10): 700, ("b", 3): 90, (None, 25): 600, (None, 8): 1100}
+    data = [(source, " ".join(["x"] * size)) for (source, size), n in cells.items() for _ in range(n)]
+    found = rows(mixing.mix_sources(spark, spark.createDataFrame([(i, t, s) for i, (s, t) in enumerate(data)], "doc_id long, text string, source string")))
+    assert len(found) == len(data)
+    for source in ("a", "b", None):
+        own = [r for r in found if data[r["doc_id"]][0] == source]
+        target = own[0]["target"]
+        # half a document is lost or won in each part of a ranked cell, and half a smallest one at the end
+        parts = sum(size * -(-n // mixing.RANKED) / 2 for (s, size), n in cells.items() if s == source and n > mixing.RANKED)
+        least = min(size for s, size in cells if s == source) / 2
+        assert target > 0 and abs(sum(r["taken"] for r in own) - target) <= parts + least + target * mixing.TOLERANCE
+
+
 def test_kneser_ney(spark, docs, none):
     model = kneser_ney.train(spark, docs)
     found = rows(kneser_ney.score(docs, model))
