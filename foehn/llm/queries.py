@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foehn.llm import bitsliced, ego_join, kneser_ney, mixing, ngram_join, packing, paragraphs, pii, toxicity, warc
+from foehn.llm import bitsliced, ego_join, filter_audit, kneser_ney, mixing, nb_svm, ngram_join, packing, paragraphs, pii, ptolemaic, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -66,6 +66,39 @@ def op10_ego_join(spark, d):
     return ego_join.cosine_self_join(spark, _table(spark, d, "embeddings"))
 
 
+def op11_nb_svm(spark, d):
+    return nb_svm.quality(spark, _table(spark, d, "documents"), _table(spark, d, "labels"))
+
+
+def op12_filter_audit(spark, d):
+    return filter_audit.interaction_audit(spark, _table(spark, d, "documents"), _table(spark, d, "labels"))
+
+
+def op13_ptolemaic(spark, d):
+    return ptolemaic.clustered(spark, _table(spark, d, "embeddings"))
+
+
+def _lloyd_sql(rounds: int = 3) -> str:
+    """Assignments and means of each round as CTEs a1, c1, a2, c2, ..."""
+    ctes = [
+        """v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings
+           WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)""",
+        """c0 AS (SELECT CAST(row_number() OVER (ORDER BY sha256('1:' || vec_id), q) - 1 AS INT) AS cluster, q AS c FROM v
+           ORDER BY sha256('1:' || vec_id), q LIMIT 16)""",
+    ]
+    for i in range(1, rounds + 2):
+        ctes.append(f"""a{i} AS (SELECT vec_id, q, cluster, distance FROM (
+            SELECT *, row_number() OVER (PARTITION BY n ORDER BY distance, cluster) AS place FROM (
+                SELECT v.*, cluster, list_sum(list_transform(list_zip(q, c), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS distance
+                FROM (SELECT *, row_number() OVER () AS n FROM v) v CROSS JOIN c{i - 1})) WHERE place = 1)""")
+        if i <= rounds:
+            ctes.append(f"""m{i} AS (SELECT cluster, list(mean ORDER BY place) AS c FROM (
+                SELECT cluster, place, CAST((sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*) AS BIGINT) AS mean
+                FROM (SELECT cluster, unnest(q) AS x, unnest(range(64)) AS place FROM a{i}) GROUP BY cluster, place) GROUP BY cluster)""")
+            ctes.append(f"c{i} AS (SELECT cluster, coalesce(m{i}.c, c{i - 1}.c) AS c FROM c{i - 1} LEFT JOIN m{i} USING (cluster))")
+    return "WITH " + ",\n".join(ctes)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_kneser_ney": op1_kneser_ney,
     "op2_entropy_mix": op2_entropy_mix,
@@ -77,6 +110,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_contextual_pii": op8_contextual_pii,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_ego_join": op10_ego_join,
+    "op11_nb_svm": op11_nb_svm,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_ptolemaic": op13_ptolemaic,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -124,4 +160,32 @@ ORACLE_SQL: dict[str, str] = {
         k AS (SELECT a AS vec_id, count(*) AS n_links FROM l GROUP BY a)
         SELECT t.vec_id, CAST(coalesce(k.n_links, 0) AS BIGINT) AS n_links, t.component_id, t.vec_id = t.component_id AS kept
         FROM t LEFT JOIN k USING (vec_id)""",
+    "op12_filter_audit": r"""
+        WITH w AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+                   regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+        f AS (SELECT doc_id, part, (CASE WHEN len(words) < 100 THEN 'A' ELSE '' END) || (CASE WHEN 100 * len(list_distinct(words)) < 80 * len(words) THEN 'B' ELSE '' END)
+                  || (CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t) THEN 'C' ELSE '' END)
+                  || (CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END)
+                  || (CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 'E' ELSE '' END) AS fails FROM w),
+        l AS (SELECT doc_id, max(CAST(quality = 1 AS INT)) AS good, max(CAST(toxic = 1 AS INT)) AS toxic FROM labels GROUP BY doc_id),
+        p AS (SELECT part, fails, count(*) AS n, coalesce(sum(good), 0) AS good, coalesce(sum(toxic), 0) AS toxic FROM f LEFT JOIN l USING (doc_id) GROUP BY part, fails),
+        k AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+        o AS (SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM k a, k b, k c, k d, k e
+              WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+        s AS (SELECT filter_order, CAST(unnest(range(1, 6)) AS INT) AS step FROM o),
+        x AS (SELECT part, filter_order, step, fails, n, good, toxic, contains(fails, substr(filter_order, step, 1)) AS hit,
+                  step > 1 AND length(translate(fails, substr(filter_order, 1, step - 1), '')) < length(fails) AS gone FROM p, s),
+        r AS (SELECT part, filter_order, step, sum(CASE WHEN NOT hit AND NOT gone THEN n ELSE 0 END) AS kept, sum(CASE WHEN hit AND NOT gone THEN n ELSE 0 END) AS removed,
+                  sum(CASE WHEN hit AND gone THEN n ELSE 0 END) AS redundant, sum(CASE WHEN hit AND length(fails) = 1 THEN n ELSE 0 END) AS unique_fails,
+                  sum(CASE WHEN hit AND NOT gone THEN good ELSE 0 END) AS good_lost, sum(CASE WHEN hit AND NOT gone THEN toxic ELSE 0 END) AS toxic_lost
+              FROM x GROUP BY part, filter_order, step),
+        h AS (SELECT part, substr(filter_order, step, 1) AS x, sum(removed) AS shapley FROM r GROUP BY 1, 2)
+        SELECT r.part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+               CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(shapley AS BIGINT) AS shapley
+        FROM r JOIN h ON h.part = r.part AND h.x = substr(filter_order, step, 1)""",
+    "op13_ptolemaic": _lloyd_sql()
+    + """
+        SELECT vec_id, cluster, CAST(distance AS BIGINT) AS distance, CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+               CAST(sum(distance) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+        FROM a4 JOIN c3 USING (cluster)""",
 }

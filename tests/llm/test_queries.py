@@ -21,7 +21,7 @@ def con():
 
 
 def test_all_are_registered():
-    assert {f"op{i}" for i in range(1, 11)} == {q.partition("_")[0] for q in QUERIES}
+    assert {f"op{i}" for i in range(1, 14)} == {q.partition("_")[0] for q in QUERIES}
     assert set(QUERIES) | {"pipeline"} <= set(E.queries()) and set(ORACLE_SQL) <= set(E.oracle_sql())
 
 
@@ -36,6 +36,7 @@ def test_equals_sql(spark, con, name):
         ("op1_kneser_ney", ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]),
         ("op2_entropy_mix", ["doc_id", "size", "source_size", "target", "taken"]),
         ("op6_toxicity", ["doc_id", "held_out", "score", "predicted"]),
+        ("op11_nb_svm", ["doc_id", "held_out", "score", "predicted"]),
         ("op8_contextual_pii", ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"]),
     ],
 )
