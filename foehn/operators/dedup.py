@@ -38,11 +38,6 @@ def keep_first(
     return _numbered(df, keys, order, deterministic).filter(F.col(_RN) == 1).drop(_RN)
 
 
-def keep_rest(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
-    """The rows that ``keep_first`` drops."""
-    return _numbered(df, keys, order, True).filter(F.col(_RN) > 1).drop(_RN)
-
-
 def _numbered(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], deterministic: bool) -> DataFrame:
     order_cols = [_order_col(c) for c in order]
     if deterministic:

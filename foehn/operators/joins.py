@@ -1,10 +1,10 @@
 """Star joins between measurements and the station dimension
 and the orphan check (fact rows without a dimension row).
 
-A dimension is broadcast only after its row count is checked against a
-bound; above the bound the join is left to the planner (sort-merge, with AQE
-free to switch to broadcast from the runtime size and to split skewed
-partitions).
+A dimension is broadcast only after its rows and bytes are measured and
+checked against bounds; above them the join is left to the planner
+(sort-merge, with AQE free to switch to broadcast from the runtime size and to
+split skewed partitions).
 """
 
 from __future__ import annotations
@@ -14,15 +14,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A dimension row is a few hundred bytes; 1M rows stay well below the
-# executor memory a broadcast may take.
-DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
-
+from .sizes import BROADCAST_BYTES, broadcast_if_small
 
-def bounded_rows(df: DataFrame, bound: int) -> bool:
-    """True when ``df`` has at most ``bound`` rows.  A plain count: every
-    partition sends one number (a limit would send its rows to one task)."""
-    return df.count() <= bound
+DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
 
 
 def join_dimension(
@@ -33,10 +27,11 @@ def join_dimension(
     left_on: str | None = None,
     right_on: str | None = None,
     max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS,
+    max_broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Fact-to-dimension equi-join with a size-checked broadcast of ``dim``."""
-    if max_broadcast_rows is not None and bounded_rows(dim, max_broadcast_rows):
-        dim = F.broadcast(dim)
+    if max_broadcast_rows is not None:
+        dim = broadcast_if_small(dim, max_broadcast_bytes, max_broadcast_rows)
     if on is not None:
         return fact.join(dim, on, how)
     return fact.join(dim, fact[left_on] == dim[right_on], how)

@@ -17,7 +17,8 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .upsert import ACTION, merge_upsert
+from .rejects import staged
+from .upsert import ACTION, merging, prepare_source
 
 _VERSION = re.compile(r"^v(\d+)$")
 
@@ -142,17 +143,22 @@ def upsert(
     the counters, taken while the version is written (no extra pass)."""
     spark = source.sparkSession
     target = read_table(spark, root, schema or source.schema)
-    merged = merge_upsert(target, source, keys, order)
-    obs = Observation("upsert")
-    a = F.col(ACTION)
-    merged = merged.observe(
+    with staged(prepare_source(source, keys, order), "upsert-source") as src, merging(target, src, keys) as merged:
+        counted, obs = _counted(merged, "rows_total")
+        write_version(counted, root)
+    return {k: int(v) for k, v in obs.get.items()}
+
+
+def _counted(merged: DataFrame, total: str) -> tuple[DataFrame, Observation]:
+    """The merged rows, their counters taken while they are written."""
+    obs, a = Observation("upsert"), F.col(ACTION)
+    out = merged.observe(
         obs,
         F.count_if(a == "inserted").alias("rows_inserted"),
         F.count_if(a == "updated").alias("rows_updated"),
-        F.count(F.lit(1)).alias("rows_total"),
+        F.count(F.lit(1)).alias(total),
     )
-    write_version(merged.drop(ACTION), root)
-    return {k: int(v) for k, v in obs.get.items()}
+    return out.drop(ACTION), obs
 
 
 def touched_partitions(spark: SparkSession, root: str, source: DataFrame, partition_col: str) -> DataFrame:
@@ -181,32 +187,23 @@ def upsert_partitions(
     keys: Sequence[str],
     partition_col: str,
     order: Sequence[Column | str] = (),
-    schema: T.StructType | None = None,
+    prepared: bool = False,
 ) -> dict[str, int]:
     """K4 for a day-partitioned table: only the partitions present in the
-    source are read (semi-join on the partition column, so Spark prunes the
-    others at run time), merged, staged as Parquet in the checkpoint folder
-    (the job reads the partitions it replaces, so the merge result must be
-    materialised before the overwrite) and written back with dynamic
-    partition overwrite.  Other days are never
-    touched.  ``partition_col`` must be derivable from the key, so a key
-    never spans two partitions."""
-    from .rejects import staged
-
-    spark = source.sparkSession
-    target = touched_partitions(spark, root, source, partition_col)
-    merged = merge_upsert(target, source, keys, order)
-    obs = Observation("upsert_partitions")
-    a = F.col(ACTION)
-    merged = merged.observe(
-        obs,
-        F.count_if(a == "inserted").alias("rows_inserted"),
-        F.count_if(a == "updated").alias("rows_updated"),
-        F.count(F.lit(1)).alias("rows_written"),
-    )
-    with staged(merged.drop(ACTION), "upsert-stage") as out:
+    source are read, once (semi-join on the partition column, so Spark prunes
+    the others at run time), merged through a staged copy (the job replaces
+    the partitions it read) and written back with dynamic partition overwrite.
+    Other days are never touched.  ``partition_col`` must be derivable from
+    the key, so a key never spans two partitions.  ``prepared`` tells that the
+    source is staged and has one row per key already."""
+    if not prepared:
+        with staged(prepare_source(source, keys, order), "upsert-source") as src:
+            return upsert_partitions(src, root, keys, partition_col, prepared=True)
+    target = touched_partitions(source.sparkSession, root, source, partition_col)
+    with merging(target, source, keys) as merged:
+        counted, obs = _counted(merged, "rows_written")
         (
-            out.write.mode("overwrite")
+            counted.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(partition_col)
             .parquet(root)

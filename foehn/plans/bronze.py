@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import tables
-from ..operators.rejects import REASON, fail_on_rejects, split_rejects, stage, staged
-from ..operators.upsert import SET_ASIDE, set_aside
+from ..operators.rejects import REASON, fail_on_rejects, split_rejects, staged
+from ..operators.upsert import prepare_source
 from ..schema import KEY_COLUMNS, TIER_SPECS
 from ..sources import csv as csv_src
 from ..sources.inventory import list_files
@@ -230,29 +230,40 @@ def with_partition(df: DataFrame) -> DataFrame:
     return df.withColumn(PARTITION_COLUMN, F.to_date("reference_timestamp"))
 
 
-def upsert_recent(typed: DataFrame, table_root: str, stats: dict, ledger_root: str | None) -> DataFrame:
+def upsert_recent(
+    typed: DataFrame, table_root: str, stats: dict, ledger_root: str | None,
+    then: Callable[[DataFrame], None] | None = None,
+) -> None:
     """Upsert a typed batch into the day-partitioned recent table; rows left
-    out are kept and counted.  Returns the touched days."""
+    out are kept and counted.  The batch is parsed once and numbered by key
+    once.  ``then`` gets the touched days."""
     spark = typed.sparkSession
-    typed, obs = _observe_counts(typed, "recent")
-    with staged(typed, "recent-batch") as batch:  # parse once, read twice
-        m = obs.get
-        stats.update(rows_parsed=m["rows_parsed"], rows_rejected=m["rows_rejected"], files_loaded=_files(batch))
-        good, bad = split_rejects(batch)
-        _keep_rejects(bad, REASON, "recent", stats, ledger_root)
-        order = [F.col("loaded_at").desc_nulls_last(), F.col("file_name").asc_nulls_last()]
-        aside = set_aside(good, KEY_COLUMNS, order)
-        counted = {r[0]: r[1] for r in aside.groupBy(SET_ASIDE).count().collect()}  # two reasons
-        stats.update(rows_null_key=counted.get("null_key", 0), rows_duplicate_key=counted.get("duplicate_key", 0))
-        if counted:
-            _keep_rejects(aside, SET_ASIDE, "recent", stats, ledger_root)
-        good = with_partition(good)
-        counts = tables.upsert_partitions(good, table_root, KEY_COLUMNS, PARTITION_COLUMN, order)
-        days = stage(good.select(PARTITION_COLUMN).distinct(), "touched-days")
+    obs, r = Observation("recent"), F.col(REASON)
+    no_key = F.col(KEY_COLUMNS[0]).isNull() | F.col(KEY_COLUMNS[1]).isNull()
+    typed = typed.observe(
+        obs, F.count(F.lit(1)).alias("rows_parsed"), F.count_if(r.isNotNull()).alias("rows_rejected"),
+        F.count_if(r.isNull() & no_key).alias("rows_null_key"),
+    )
+    order = [F.col("loaded_at").desc_nulls_last(), F.col("file_name").asc_nulls_last()]
+    with staged(typed, "recent-batch") as batch:
+        stats.update({k: int(v) for k, v in obs.get.items()}, files_loaded=_files(batch))
+        left_out = batch.withColumn(REASON, F.coalesce(REASON, F.when(no_key, F.lit("null_key"))))
+        good, bad = split_rejects(left_out)
+        firsts, seen = prepare_source(good, KEY_COLUMNS, order), Observation("firsts")
+        firsts = with_partition(firsts).observe(seen, F.count(F.lit(1)).alias("n"))
+        with staged(firsts, "recent-source") as src:
+            stats["rows_duplicate_key"] = stats["rows_parsed"] - stats["rows_rejected"] - stats["rows_null_key"] - seen.get["n"]
+            if stats["rows_parsed"] > seen.get["n"]:
+                # rows of a key after its first: the batch less the firsts, compared on the columns that are kept
+                kept = ["file_name", "station_abbr", "reference_timestamp", "loaded_at"]
+                rest = good.select(*kept).exceptAll(src.select(*kept)).withColumn(REASON, F.lit("duplicate_key"))
+                _keep_rejects(bad.select(*kept, REASON).unionByName(rest), REASON, "recent", stats, ledger_root)
+            counts = tables.upsert_partitions(src, table_root, KEY_COLUMNS, PARTITION_COLUMN, prepared=True)
+            if then is not None:
+                then(src.select(PARTITION_COLUMN).distinct())
     stats["rows_inserted"] = counts["rows_inserted"]
     stats["rows_updated"] = counts["rows_updated"]
     stats["rows_loaded"] = spark.read.parquet(table_root).count()
-    return days
 
 
 def load_recent(spark, landing_root, table_root, loaded_at=None, ledger_root=None, glob=None) -> DataFrame:

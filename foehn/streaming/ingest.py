@@ -93,9 +93,7 @@ def start_recent_ingest(
 
     def batch(df: DataFrame, batch_id: int) -> None:
         def body(stats: dict) -> None:
-            days = upsert_recent(df, table_root, stats, ledger_root)
-            if silver_refresh is not None:
-                silver_refresh(days)
+            upsert_recent(df, table_root, stats, ledger_root, silver_refresh)
 
         run_load(spark, "stream_recent", "recent", ledger_root, body, raise_=True)
 

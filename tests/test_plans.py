@@ -88,17 +88,39 @@ def test_spread_only_under_split_inputs(spark):
     assert spread(small, cores=1000, min_bytes=1 << 20) is small
 
 
-def test_no_broadcast_from_plan_estimates(spark):
-    """The upsert's joins grow with the data and carry no counted bound, so
-    the plan before execution sort-merge joins them (AQE may still switch to
-    a broadcast once it has measured a side)."""
+def test_upsert_scans_its_target_once(spark):
+    """The source is broadcast only by its measured size; beyond the bound the
+    target is sort-merge joined (AQE can split a hot key), again in one scan."""
+    from foehn.operators.upsert import _replaced, merge_upsert, prepare_source
+    from foehn.operators.rejects import stage
+
+    target, source = A.upsert_pair(spark, SF_SMALL)
+    src = stage(prepare_source(source, A.UPSERT_KEYS, A.upsert_order()))
+    by_size = {bound: plan(_replaced(target, src, A.UPSERT_KEYS, bound)) for bound in (0, 64 << 20)}
+    assert all(p.count("lineitem.parquet") == 1 for p in by_size.values())
+    assert "BroadcastHashJoin" not in by_size[0] and by_size[0].count("SortMergeJoin") == 1
+    assert "BroadcastHashJoin" in by_size[64 << 20] and "hashpartitioning" not in by_size[64 << 20]
+    p = plan(merge_upsert(target, source, A.UPSERT_KEYS, A.upsert_order()))
+    assert "lineitem.parquet" not in p and "BroadcastHashJoin" not in p
+
+
+def test_upsert_is_the_same_on_both_sides_of_the_bound(spark):
     from foehn.operators.upsert import merge_upsert
 
     target, source = A.upsert_pair(spark, SF_SMALL)
-    merged = merge_upsert(target, source, A.UPSERT_KEYS, A.upsert_order())
-    p = plan(merged)
-    assert "isFinalPlan=false" in p
-    assert "BroadcastHashJoin" not in p and p.count("SortMergeJoin") == 2
+    rows = [sorted(map(str, merge_upsert(target, source, A.UPSERT_KEYS, A.upsert_order(), max_broadcast_bytes=bound).collect())) for bound in (0, 64 << 20)]
+    assert rows[0] == rows[1]
+
+
+def test_dimension_broadcast_is_bounded_in_bytes(spark):
+    from foehn.operators.joins import join_dimension
+    from foehn.operators.sizes import measured_size
+
+    dim = spark.range(10).select(F.col("id").alias("k"), F.repeat(F.lit("x"), 10_000).alias("text"))
+    assert measured_size(dim)[0] == 10 and 100_000 < measured_size(dim)[1] < 110_000
+    fact = spark.range(100).select((F.col("id") % 10).alias("k"))
+    assert "BroadcastHashJoin" in plan(join_dimension(fact, dim, on="k"))
+    assert "BroadcastHashJoin" not in plan(join_dimension(fact, dim, on="k", max_broadcast_bytes=50_000))
 
 
 def test_stage_cuts_lineage_at_the_checkpoint_folder(spark):
