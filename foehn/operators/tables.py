@@ -20,9 +20,6 @@ from pyspark.sql import types as T
 from .rejects import staged
 from .upsert import ACTION, merging, prepare_source
 
-_VERSION = re.compile(r"^v(\d+)$")
-
-
 class EmptyBatchError(ValueError):
     """A replace was asked for with no rows; the current content stays."""
 
@@ -34,20 +31,24 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def versions(spark: SparkSession, root: str) -> list[int]:
-    """Committed versions, ascending."""
+def numbered_folders(spark: SparkSession, root: str, prefix: str) -> list[int]:
+    """Numbers of the committed folders ``<prefix><number>``, ascending."""
     fs, p = _fs(spark, root)
     if not fs.exists(p):
         return []
     out = []
     for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        m = _VERSION.match(name)
+        m = re.match(rf"^{prefix}(\d+)$", st.getPath().getName())
         if m and st.isDirectory() and fs.exists(st.getPath().suffix("/_SUCCESS")):
             out.append(int(m.group(1)))
     return sorted(out)
 
 
+def versions(spark: SparkSession, root: str) -> list[int]:
+    """Committed versions, ascending."""
+    return numbered_folders(spark, root, "v")
+
+
 def version_path(root: str, v: int) -> str:
     return f"{root.rstrip('/')}/v{v:06d}"
 

@@ -15,7 +15,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators import tables
+from ..operators import generations, tables
 from ..schema import BRONZE_COLUMNS, bronze_measurement_schema, bronze_station_schema
 from . import bronze, gold, silver
 
@@ -73,7 +73,8 @@ def refresh_all(
     ]
     silver.refresh_silver(spark, bronze_tables(spark, warehouse), p["silver"], silver_days)
     # keep the previous version of each replaced table for readers still on it
-    for name in ("silver", "now", "stations"):
+    generations.vacuum(spark, p["silver"], keep_versions)
+    for name in ("now", "stations"):
         tables.vacuum(spark, p[name], keep=keep_versions)
     out = runs[0]
     for r in runs[1:]:

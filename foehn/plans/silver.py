@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.time import ts_date_range
+from ..operators import generations
 from ..operators.dedup import dedup_tiers, drop_lower_tiers, union_tiers
 from ..schema import BRONZE_COLUMNS, STATION_COLUMNS
 
@@ -76,16 +77,6 @@ def restrict_to_days(tiers: dict[str, DataFrame], days: DataFrame, day_col: str
     return out
 
 
-def _days_of(tiers: dict[str, DataFrame]) -> DataFrame:
-    """The days with at least one row in any tier, a NULL for rows without a
-    time: exactly the days of which silver has rows."""
-    out = None
-    for df in tiers.values():
-        days = df.select(_day(df).alias(PARTITION_COLUMN)).distinct()
-        out = days if out is None else out.unionByName(days)
-    return out.distinct()
-
-
 def refresh_silver(
     spark: SparkSession,
     tiers: dict[str, DataFrame],
@@ -98,9 +89,10 @@ def refresh_silver(
     ``out_path`` holds versions (see ``operators.tables``).  A full refresh
     writes a new version, which readers see only once its job committed, so
     a failed or interrupted refresh leaves the previous silver readable.
-    With ``touched_dates`` only those days are recomputed and replaced inside
-    the current version (dynamic partition overwrite), and those of which no
-    tier has a row any more are removed; other days stay.
+    With ``touched_dates`` only those days are recomputed, written beside the
+    current version and published together by a pointer (see
+    ``operators.generations``): a reader sees all of them as they were or all
+    as they are now.  Days of which no tier has a row any more go.
     Files are rebalanced by day (AQE splits a heavy day, merges light ones)
     and sorted by station and time inside each file, which keeps the
     per-file min/max statistics tight for station and time predicates.
@@ -118,29 +110,21 @@ def refresh_silver(
     current = tables.current_path(spark, out_path)
     if touched_dates is None or current is None:
         return tables.write_version(out, out_path, [PARTITION_COLUMN])
-    (
-        out.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(PARTITION_COLUMN)
-        .parquet(current)
-    )
     if not isinstance(touched_dates, DataFrame):
         touched_dates = spark.createDataFrame([(d,) for d in set(touched_dates)], f"{PARTITION_COLUMN} date")
-    touched, there = touched_dates.select(F.col(PARTITION_COLUMN).alias("__day")).distinct(), _days_of(tiers)
-    gone = touched.join(there, F.col("__day").eqNullSafe(F.col(PARTITION_COLUMN)), "left_anti")
-    for row in gone.toLocalIterator():  # days only
-        name = "__HIVE_DEFAULT_PARTITION__" if row[0] is None else row[0].isoformat()
-        tables.remove_path(spark, f"{current}/{PARTITION_COLUMN}={name}")
+    generations.replace_partitions(out, touched_dates, out_path, PARTITION_COLUMN)
     return current
 
 
 def read_silver(spark: SparkSession, path: str, with_partition: bool = False) -> DataFrame:
-    """Current version of materialised silver.  With ``with_partition`` the
-    day column is kept, so day filters on the fact become partition filters."""
+    """Materialised silver as of its newest complete refresh.  With
+    ``with_partition`` the day column is kept, so day filters on the fact
+    become partition filters."""
     from ..operators import tables
 
     cols = SILVER_COLUMNS + ([PARTITION_COLUMN] if with_partition else [])
-    return spark.read.parquet(tables.current_path(spark, path) or path).select(*cols)
+    held = tables.versions(spark, path)
+    return (generations.read(spark, path, PARTITION_COLUMN) if held else spark.read.parquet(path)).select(*cols)
 
 
 def station_view(bronze_stations: DataFrame) -> DataFrame:
