@@ -7,8 +7,10 @@ raised).  The ledger row is also appended to ``ledger_root`` when given.
 
 Table layouts:
 
-* historical - day-partitioned, append-only; files already in the ledger are
-  skipped (FORCE=FALSE) and any bad row aborts the batch (ON_ERROR=ABORT).
+* historical - append-only, partitioned by load and day; files already in the
+  ledger are skipped (FORCE=FALSE) and any bad row aborts the batch
+  (ON_ERROR=ABORT).  Rows of a load become visible with its ledger row
+  (``read_historical``): data, file list and ledger are one commit.
 * recent - day-partitioned, keyed upsert that rewrites only touched days.
 * now, stations - versioned, fully replaced; an empty batch never replaces.
 """
@@ -26,11 +28,15 @@ from pyspark.sql import types as T
 from ..operators import tables
 from ..operators.rejects import REASON, fail_on_rejects, split_rejects, staged
 from ..operators.upsert import prepare_source
-from ..schema import KEY_COLUMNS, TIER_SPECS
+from ..operators.sizes import broadcast_if_small
+from ..schema import BRONZE_COLUMNS, KEY_COLUMNS, TIER_SPECS, bronze_measurement_schema, bronze_station_schema
 from ..sources import csv as csv_src
 from ..sources.inventory import list_files
 
 PARTITION_COLUMN = "measurement_date"
+LOAD_COLUMN = "load_id"
+#: Load of rows that were loaded without a ledger: always visible.
+UNLEDGERED = "unledgered"
 
 LEDGER_SCHEMA = T.StructType(
     [
@@ -50,6 +56,7 @@ LEDGER_SCHEMA = T.StructType(
         T.StructField("status", T.StringType()),
         T.StructField("errors", T.ArrayType(T.StringType())),
         T.StructField("load_id", T.StringType()),
+        T.StructField("batch", T.StringType()),
     ]
 )
 
@@ -89,7 +96,7 @@ def loaded_files(spark: SparkSession, ledger_root: str) -> DataFrame:
     root = files_root(ledger_root)
     if not tables.exists(spark, root):
         return spark.createDataFrame([], FILE_SCHEMA)
-    done = read_ledger(spark, ledger_root).filter("status = 'SUCCESS'").select("load_id")
+    done = broadcast_if_small(succeeded(spark, ledger_root).select("load_id"))
     return spark.read.schema(FILE_SCHEMA).parquet(root).join(done, "load_id", "left_semi")
 
 
@@ -111,10 +118,24 @@ def load_history(ledger: DataFrame, tier: str, as_of: dt.datetime, hours: int =
     return ledger.filter((F.col("data_tier") == tier) & (F.col("start_time") >= since))
 
 
-def run_load(spark, procedure, tier, ledger_root, body: Callable[[dict], None], raise_: bool = False) -> DataFrame:
+def succeeded(spark: SparkSession, ledger_root: str) -> DataFrame:
+    """Ledger rows of the loads that count."""
+    return read_ledger(spark, ledger_root).filter("status = 'SUCCESS'")
+
+
+def run_load(
+    spark, procedure, tier, ledger_root, body: Callable[[dict], None], raise_: bool = False, batch: str | None = None
+) -> DataFrame:
     """One load and its ledger row.  With ``raise_`` a failure is also raised
-    (a stream must not commit a micro-batch that was not loaded)."""
-    stats = {"procedure": procedure, "data_tier": tier, "start_time": _now(), "errors": [], "load_id": uuid.uuid4().hex}
+    (a stream must not commit a micro-batch that was not loaded).  ``batch``
+    names a micro-batch: one that already succeeded is not run again, and its
+    ledger row is returned."""
+    if batch is not None and ledger_root:
+        done = succeeded(spark, ledger_root).filter(F.col("batch") == batch).limit(1)
+        if not done.isEmpty():
+            return done
+    # the letter keeps an id of digits from being read as a number in a folder name
+    stats = {"procedure": procedure, "data_tier": tier, "start_time": _now(), "errors": [], "load_id": f"l{uuid.uuid4().hex}", "batch": batch}
     try:
         body(stats)
         stats["status"] = "SUCCESS"
@@ -176,6 +197,16 @@ def _keep_rejects(bad: DataFrame, reason: str, tier: str, stats: dict, ledger_ro
     rows.write.mode("append").parquet(rejects_root(ledger_root))
 
 
+def read_rejects(spark: SparkSession, ledger_root: str) -> DataFrame:
+    """Rows left out by the loads that count.  What an attempt without a
+    SUCCESS row left behind is not among them."""
+    schema = "load_id string, data_tier string, file_name string, station_abbr string, reference_timestamp timestamp_ntz, loaded_at timestamp_ntz, reason string"
+    if not tables.exists(spark, rejects_root(ledger_root)):
+        return spark.createDataFrame([], schema)
+    done = broadcast_if_small(succeeded(spark, ledger_root).select("load_id"))
+    return spark.read.schema(schema).parquet(rejects_root(ledger_root)).join(done, "load_id", "left_semi")
+
+
 def _files(batch: DataFrame) -> int:
     return batch.select("file_name").distinct().count()
 
@@ -191,21 +222,21 @@ def newest_run(spark: SparkSession, landing_root: str, glob: str) -> str:
 
 
 def load_now(spark, landing_root, table_root, loaded_at=None, ledger_root=None, allow_empty=False,
-             glob=None, raise_=False) -> DataFrame:
+             glob=None, raise_=False, batch=None) -> DataFrame:
     """Live tier, tolerant parse, full replace by the files of the newest
     landing run.  ``glob`` overrides the tier's file-name pattern."""
 
     def body(stats):
         run = newest_run(spark, landing_root, glob or TIER_SPECS["now"].glob)
         typed, obs = _observe_counts(_typed_batch(spark, run, "now", loaded_at, stats, glob=glob), "now")
-        with staged(typed) as batch:
+        with staged(typed) as rows:
             m = obs.get
-            stats.update(rows_parsed=m["rows_parsed"], rows_rejected=m["rows_rejected"], files_loaded=_files(batch))
-            good, bad = split_rejects(batch)
+            stats.update(rows_parsed=m["rows_parsed"], rows_rejected=m["rows_rejected"], files_loaded=_files(rows))
+            good, bad = split_rejects(rows)
             _keep_rejects(bad, REASON, stats["data_tier"], stats, ledger_root)
             stats["rows_loaded"] = tables.replace(good, table_root, allow_empty=allow_empty)
 
-    return run_load(spark, "load_now", "now", ledger_root, body, raise_)
+    return run_load(spark, "load_now", "now", ledger_root, body, raise_, batch)
 
 
 def load_stations(spark, landing_root, table_root, loaded_at=None, ledger_root=None, allow_empty=False,
@@ -295,19 +326,40 @@ def load_historical(spark, landing_root, table_root, loaded_at=None, ledger_root
                 # counts only once the ledger row says SUCCESS
                 files = pending.select("file_name", "size", "last_modified", F.lit(stats["load_id"]).alias("load_id"))
                 files.write.mode("append").parquet(files_root(ledger_root))
-            rows = tables.append(with_partition(fail_on_rejects(typed)), table_root, [PARTITION_COLUMN])
+            load = F.lit(stats["load_id"] if ledger_root else UNLEDGERED)
+            rows = with_partition(fail_on_rejects(typed)).withColumn(LOAD_COLUMN, load)
+            rows = tables.append(rows, table_root, [LOAD_COLUMN, PARTITION_COLUMN])
             m = obs.get
             stats.update(rows_parsed=m["rows_parsed"], rows_rejected=m["rows_rejected"], rows_loaded=rows)
 
     return run_load(spark, "load_historical", "historical", ledger_root, body)
 
 
-def read_tier(spark: SparkSession, table_root: str, tier: str) -> DataFrame:
-    """Bronze table of a tier in the bronze column layout."""
-    from ..schema import BRONZE_COLUMNS, bronze_measurement_schema, bronze_station_schema
+def read_historical(spark: SparkSession, table_root: str, ledger_root: str | None = None) -> DataFrame:
+    """Historical rows in bronze columns with their day, of the loads that
+    count: those with a SUCCESS row in the ledger, and rows loaded without a
+    ledger.  Only folders of these loads are listed and read.  Without a
+    ledger all rows count."""
+    schema = bronze_measurement_schema()
+    if not tables.exists(spark, table_root):
+        return spark.createDataFrame([], schema)
+    if not ledger_root:
+        return spark.read.schema(schema).parquet(table_root)
+    # one id per backfill load that added rows
+    done = succeeded(spark, ledger_root).filter((F.col("data_tier") == "historical") & (F.col("rows_loaded") > 0)).select("load_id")
+    folders = [f"{table_root.rstrip('/')}/{LOAD_COLUMN}={i}" for i in [UNLEDGERED, *(r[0] for r in done.collect())]]
+    folders = [f for f in folders if tables.exists(spark, f)]
+    if not folders:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", table_root).parquet(*folders)
 
+
+def read_tier(spark: SparkSession, table_root: str, tier: str, ledger_root: str | None = None) -> DataFrame:
+    """Bronze table of a tier in the bronze column layout."""
     if tier in ("now",):
         return tables.read_table(spark, table_root, bronze_measurement_schema()).select(*BRONZE_COLUMNS)
     if tier == "stations":
         return tables.read_table(spark, table_root, bronze_station_schema())
+    if tier == "historical":
+        return read_historical(spark, table_root, ledger_root)
     return tables.read_table_partitioned(spark, table_root, bronze_measurement_schema())

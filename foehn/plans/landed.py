@@ -112,7 +112,7 @@ class Landed:
         files are removed: the table holds what was loaded."""
         tables.remove_path(self.spark, f"{self.root}/landing")
         columns = [*STATION_COLUMNS, "loaded_at"] if tier == "stations" else [c for c in BRONZE_COLUMNS if c != "file_name"]
-        return bronze.read_tier(self.spark, self.table_of(tier), tier).select(*columns)
+        return bronze.read_tier(self.spark, self.table_of(tier), tier, self.ledger).select(*columns)
 
     def ledger_counts(self) -> DataFrame:
         tables.remove_path(self.spark, f"{self.root}/landing")
@@ -122,5 +122,5 @@ class Landed:
 
     def reject_summary(self) -> DataFrame:
         tables.remove_path(self.spark, f"{self.root}/landing")
-        rejects = self.spark.read.parquet(bronze.rejects_root(self.ledger))
+        rejects = bronze.read_rejects(self.spark, self.ledger)
         return rejects.groupBy("data_tier", "reason", "loaded_at").agg(F.count("*").alias("n_rows"))

@@ -43,7 +43,7 @@ def bronze_tables(spark: SparkSession, warehouse: str) -> dict[str, DataFrame]:
     p = paths(warehouse)
     schema = bronze_measurement_schema()
     return {
-        "historical": _with_day(tables.read_table_partitioned(spark, p["historical"], schema)),
+        "historical": _with_day(bronze.read_historical(spark, p["historical"], p["ledger"])),
         "recent": _with_day(tables.read_table_partitioned(spark, p["recent"], schema)),
         "now": tables.read_table(spark, p["now"], schema).select(*BRONZE_COLUMNS),
     }

@@ -71,7 +71,7 @@ def start_now_ingest(
         if df.isEmpty():
             return
         try:
-            load_now(spark, landing_root, table_root, loaded_at, ledger_root, glob=glob, raise_=True)
+            load_now(spark, landing_root, table_root, loaded_at, ledger_root, glob=glob, raise_=True, batch=f"{checkpoint}#{batch_id}")
         except tables.EmptyBatchError:
             return
         tables.vacuum(spark, table_root, keep=keep_versions)
@@ -87,15 +87,17 @@ def start_recent_ingest(
     ledger_root: str | None = None, glob: str | None = None,
 ) -> StreamingQuery:
     """T2 + T4: upsert each micro-batch by key into the day-partitioned recent
-    table, then hand the touched days to ``silver_refresh``.  Replaying a
-    batch gives the same table (keyed upsert).  Each writes a ledger row and
-    keeps the rows it leaves out, as the batch load does."""
+    table, then hand the touched days to ``silver_refresh``.  Each writes a
+    ledger row and keeps the rows it leaves out, as the batch load does.
+    Replaying a batch gives the same table (keyed upsert); with a ledger a
+    batch that has a SUCCESS row is not run again, and rows left out count
+    once, by the attempt that succeeded."""
 
     def batch(df: DataFrame, batch_id: int) -> None:
         def body(stats: dict) -> None:
             upsert_recent(df, table_root, stats, ledger_root, silver_refresh)
 
-        run_load(spark, "stream_recent", "recent", ledger_root, body, raise_=True)
+        run_load(spark, "stream_recent", "recent", ledger_root, body, raise_=True, batch=f"{checkpoint}#{batch_id}")
 
     return _start(stream_tier(spark, landing_root, "recent", loaded_at, glob), batch, checkpoint,
                   trigger or {"availableNow": True})
