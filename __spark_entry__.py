@@ -72,10 +72,65 @@ def _typed_lines(spark, d, tier=None):
     return stage(csv.typed_measurements(raw, loaded_at=A.CSV_LOADED_AT))
 
 
+# Silver as the reports read it, by session and input: the source system's
+# reports read the materialised table too. The first report refreshes it.
+_MATERIALISED: dict[tuple[str, str, str], str] = {}
+
+
+def _kept(spark, d, name, build):
+    """Path of a table that one session builds once per input."""
+    from foehn.operators import tables
+    from foehn.session import scratch_path
+
+    key = (name, spark.sparkContext.applicationId, d)
+    if key not in _MATERIALISED or not tables.versions(spark, _MATERIALISED[key]):
+        path = scratch_path(spark, name)
+        build(path)
+        _MATERIALISED[key] = path
+    return _MATERIALISED[key]
+
+
+def _silver_table(spark, d):
+    path = _kept(spark, d, "silver-of-reports", lambda p: silver.refresh_silver(spark, _tiers(spark, d), p))
+    return silver.read_silver(spark, path, with_partition=True)
+
+
+def _fact_table(spark, d):
+    return gold.fact_standard_from_silver(_silver_table(spark, d))
+
+
+def _fact_rt_table(spark, d):
+    return gold.fact_from_silver(_silver_table(spark, d))
+
+
+def _partials(spark, d):
+    """Daily partials brought up to date after a refresh of touched days: the
+    recent tier first holds other values and one day more, then what it has."""
+    from foehn.plans import rollups
+    from foehn.session import scratch_path
+
+    def build(path):
+        tiers = _tiers(spark, d)
+        time = F.col("reference_timestamp")
+        wrong = tiers["recent"].withColumn("tre200s0", F.lit(99).cast("decimal(38,10)"))
+        later = tiers["recent"].withColumn("reference_timestamp", time + F.make_dt_interval(F.lit(400)))
+        held = scratch_path(spark, "silver-of-partials")
+        before = {**tiers, "recent": wrong.unionByName(later)}
+        silver.refresh_silver(spark, before, held)
+        read = lambda: gold.fact_standard_from_silver(silver.read_silver(spark, held, with_partition=True))
+        rollups.refresh_partials(spark, read(), path)
+        touched = before["recent"].select(F.to_date("reference_timestamp").alias(silver.PARTITION_COLUMN)).distinct()
+        touched = stage(touched, "touched-days")
+        silver.refresh_silver(spark, tiers, held, touched)
+        rollups.refresh_partials(spark, read(), path, touched)
+
+    return rollups.read_partials(spark, _kept(spark, d, "partials", build))
+
+
 # --- queries ---------------------------------------------------------------------
 
 def q_canton_daily(spark, d):
-    return portable(analytics.canton_daily(_fact(spark, d), _dim(spark, d), A.AS_OF, days=30))
+    return portable(analytics.canton_daily(_fact_table(spark, d), _dim(spark, d), A.AS_OF, days=30))
 
 
 def q_tier_union(spark, d):
@@ -112,7 +167,7 @@ def q_duplicate_keys(spark, d):
 
 
 def q_silver_duplicates(spark, d):
-    return quality.duplicate_keys(_silver(spark, d))
+    return quality.duplicate_keys(_silver_table(spark, d))
 
 
 def q_tier_overlap(spark, d):
@@ -120,19 +175,19 @@ def q_tier_overlap(spark, d):
 
 
 def q_station_completeness(spark, d):
-    return quality.station_completeness(_silver(spark, d))
+    return quality.station_completeness(_silver_table(spark, d))
 
 
 def q_tier_counts(spark, d):
-    return quality.tier_counts(_silver(spark, d))
+    return quality.tier_counts(_silver_table(spark, d))
 
 
 def q_fact_tier_counts(spark, d):
-    return quality.tier_counts(_fact(spark, d), tier="source_tier", ts="measurement_timestamp")
+    return quality.tier_counts(_fact_table(spark, d), tier="source_tier", ts="measurement_timestamp")
 
 
 def q_row_count(spark, d):
-    return quality.row_count(_silver(spark, d))
+    return quality.row_count(_silver_table(spark, d))
 
 
 def q_stations_per_canton(spark, d):
@@ -168,71 +223,71 @@ def q_station_lookup(spark, d):
 
 
 def q_recent_measurements(spark, d):
-    return portable(analytics.recent_measurements(_fact(spark, d), A.AS_OF, days=7))
+    return portable(analytics.recent_measurements(_fact_table(spark, d), A.AS_OF, days=7))
 
 
 def q_daily_station(spark, d):
-    return portable(analytics.daily_station(_fact(spark, d), A.AS_OF, days=30))
+    return portable(analytics.daily_station(_fact_table(spark, d), A.AS_OF, days=30))
 
 
 def q_hourly_station(spark, d):
-    return portable(analytics.hourly_station(_fact(spark, d), _dim(spark, d), A.AS_OF, days=7))
+    return portable(analytics.hourly_station(_fact_table(spark, d), _dim(spark, d), A.AS_OF, days=7))
 
 
 def q_hourly_yesterday(spark, d):
-    return portable(analytics.hourly_station(_fact_rt(spark, d), _dim(spark, d), A.AS_OF, exact_day=True))
+    return portable(analytics.hourly_station(_fact_rt_table(spark, d), _dim(spark, d), A.AS_OF, exact_day=True))
 
 
 def q_canton_daily_realtime(spark, d):
-    return portable(analytics.canton_daily(_fact_rt(spark, d), _dim(spark, d), A.AS_OF, days=7))
+    return portable(analytics.canton_daily(_fact_rt_table(spark, d), _dim(spark, d), A.AS_OF, days=7))
 
 
 def q_monthly_station(spark, d):
-    return portable(analytics.monthly_station(_fact(spark, d), _dim(spark, d), A.AS_OF.year))
+    return portable(analytics.monthly_station(_fact_table(spark, d), _dim(spark, d), A.AS_OF.year))
 
 
 def q_extremes_30d(spark, d):
-    return portable(analytics.extremes(_fact(spark, d), _dim(spark, d), A.AS_OF, days=30))
+    return portable(analytics.extremes(_fact_table(spark, d), _dim(spark, d), A.AS_OF, days=30))
 
 
 def q_yearly_compare(spark, d):
-    return portable(analytics.yearly_compare(_fact(spark, d), _dim(spark, d), A.AS_OF, years=5))
+    return portable(analytics.yearly_compare(_fact_table(spark, d), _dim(spark, d), A.AS_OF, years=5))
 
 
 def q_measurements_per_day(spark, d):
-    return quality.measurements_per_day(_fact(spark, d), A.AS_OF, days=7)
+    return quality.measurements_per_day(_fact_table(spark, d), A.AS_OF, days=7)
 
 
 def q_completeness_per_day(spark, d):
-    return quality.completeness_per_day(_fact(spark, d), A.AS_OF, days=7)
+    return quality.completeness_per_day(_fact_table(spark, d), A.AS_OF, days=7)
 
 
 def q_series_in_list(spark, d):
-    return portable(analytics.series_in_list(_fact(spark, d), _dim(spark, d), A.AS_OF, SERIES_STATIONS, days=30))
+    return portable(analytics.series_in_list(_fact_table(spark, d), _dim(spark, d), A.AS_OF, SERIES_STATIONS, days=30))
 
 
 def q_canton_series(spark, d):
-    return portable(analytics.canton_series(_fact_rt(spark, d), _dim(spark, d), A.AS_OF, CANTON, days=7))
+    return portable(analytics.canton_series(_fact_rt_table(spark, d), _dim(spark, d), A.AS_OF, CANTON, days=7))
 
 
 def q_monthly_station_realtime(spark, d):
-    return portable(analytics.monthly_station(_fact_rt(spark, d), _dim(spark, d), A.AS_OF.year))
+    return portable(analytics.monthly_station(_fact_rt_table(spark, d), _dim(spark, d), A.AS_OF.year))
 
 
 def q_extremes_30d_realtime(spark, d):
-    return portable(analytics.extremes(_fact_rt(spark, d), _dim(spark, d), A.AS_OF, days=30))
+    return portable(analytics.extremes(_fact_rt_table(spark, d), _dim(spark, d), A.AS_OF, days=30))
 
 
 def q_series_24h_realtime(spark, d):
-    return portable(analytics.station_series_hours(_fact_rt(spark, d), _dim(spark, d), A.AS_OF_TS, SERIES_STATIONS, 24))
+    return portable(analytics.station_series_hours(_fact_rt_table(spark, d), _dim(spark, d), A.AS_OF_TS, SERIES_STATIONS, 24))
 
 
 def q_last_hour(spark, d):
-    return portable(analytics.last_hours(_fact_rt(spark, d), A.AS_OF_TS, hours=1))
+    return portable(analytics.last_hours(_fact_rt_table(spark, d), A.AS_OF_TS, hours=1))
 
 
 def q_orphan_measurements(spark, d):
-    return quality.orphan_measurements(_fact_rt(spark, d), _dim(spark, d))
+    return quality.orphan_measurements(_fact_rt_table(spark, d), _dim(spark, d))
 
 
 def q_csv_typed_parse(spark, d):
@@ -268,7 +323,7 @@ def q_station_csv_rejects(spark, d):
 
 
 def q_silver_station_series(spark, d):
-    return portable(analytics.silver_station_series(_silver(spark, d), _stations(spark, d), A.AS_OF, CANTON, days=7))
+    return portable(analytics.silver_station_series(_silver_table(spark, d), _stations(spark, d), A.AS_OF, CANTON, days=7))
 
 
 def q_sample_rows(spark, d):
@@ -409,6 +464,65 @@ def q_load_reject_summary(spark, d):
     return Landed(spark, d).stations().recent().now(stream=True).reject_summary()
 
 
+def q_rollup_daily_station(spark, d):
+    from foehn.plans import rollups
+
+    return portable(rollups.daily_station(_partials(spark, d), A.AS_OF))
+
+
+def q_rollup_canton_daily(spark, d):
+    from foehn.plans import rollups
+
+    return portable(rollups.canton_daily(_partials(spark, d), _dim(spark, d), A.AS_OF))
+
+
+def q_rollup_monthly_station(spark, d):
+    from foehn.plans import rollups
+
+    return portable(rollups.monthly_station(_partials(spark, d), _dim(spark, d), A.AS_OF.year))
+
+
+def q_rollup_extremes_30d(spark, d):
+    from foehn.plans import rollups
+
+    return portable(rollups.extremes(_partials(spark, d), _dim(spark, d), A.AS_OF))
+
+
+def q_rollup_yearly_compare(spark, d):
+    from foehn.plans import rollups
+
+    return portable(rollups.yearly_compare(_partials(spark, d), _dim(spark, d), A.AS_OF))
+
+
+def q_active_stations_monthly(spark, d):
+    """Distinct stations of months and of all cantons, from daily bitmaps."""
+    from foehn.plans import rollups
+
+    return rollups.active_stations_monthly(rollups.station_bitmaps(_fact_table(spark, d), _dim(spark, d)))
+
+
+def q_stream_tier_dedup(spark, d):
+    """T5 across tiers: the live tier arrives first, then the better ones,
+    late; the table equals W1 over all rows."""
+    from foehn.session import scratch_path
+    from foehn.streaming import ingest
+
+    tiers = _tiers(spark, d)
+    land, out, ck = (scratch_path(spark, f"best-{x}") for x in ("land", "out", "ck"))
+    schema = tiers["now"].schema
+    for arrives in ("now", "recent", "historical"):
+        for tier, rows in tiers.items():  # the others' folders exist, but are empty
+            rows = rows if tier == arrives else rows.limit(0)
+            rows.write.mode("append").parquet(f"{land}/{tier}")
+        streams = {t: spark.readStream.schema(schema).parquet(f"{land}/{t}") for t in tiers}
+        ingest.start_best_rows(streams, out, ck, watermark="400 days").awaitTermination()
+    return portable(spark.read.parquet(out).select(*silver.SILVER_COLUMNS))
+
+
+def q_page_chain(spark, d):
+    return catalogue.page_chain(A.paged_catalogues(spark, d), ["catalogue"])
+
+
 def q_asset_manifest(spark, d):
     return catalogue.flatten_pages(A.catalogue_pages(_tiers(spark, d)))
 
@@ -482,6 +596,14 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "load_stations_files": q_load_stations_files,
     "load_ledger": q_load_ledger,
     "load_reject_summary": q_load_reject_summary,
+    "rollup_daily_station": q_rollup_daily_station,
+    "rollup_canton_daily": q_rollup_canton_daily,
+    "rollup_monthly_station": q_rollup_monthly_station,
+    "rollup_extremes_30d": q_rollup_extremes_30d,
+    "rollup_yearly_compare": q_rollup_yearly_compare,
+    "active_stations_monthly": q_active_stations_monthly,
+    "stream_tier_dedup": q_stream_tier_dedup,
+    "page_chain": q_page_chain,
     "asset_manifest": q_asset_manifest,
     "asset_pick": q_asset_pick,
 }

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..schema import KEY_COLUMNS, TIER_PRIORITY
+from ..schema import FINGERPRINT, KEY_COLUMNS, TIER_PRIORITY
 
 _RN = "__rn"
 
@@ -70,22 +70,38 @@ def union_tiers(tiers: dict[str, DataFrame], columns: Sequence[str] | None = Non
     return out
 
 
+def row_fingerprint(columns: Sequence[str]) -> Column:
+    """60 bits of the MD5 of the columns' texts, in order; decides between
+    rows that tie in all else.  Loads store it (``FINGERPRINT``), so that
+    choosing a row reads and shuffles 8 bytes instead of all its values."""
+    text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in columns])
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("long")
+
+
 def dedup_tiers(
     tagged: DataFrame,
     keys: Sequence[str] = KEY_COLUMNS,
     keep_priority: bool = False,
 ) -> DataFrame:
     """Most trusted tier wins (historical > recent > now); inside one
-    tier the newest load wins, then the file name, then the row values."""
+    tier the newest load wins, then the file name, then the row fingerprint
+    (rows that tie in it too hold the same values).
+
+    The fingerprint is the stored one where the rows have it, else it is
+    computed before the shuffle.  The window orders by it and by nothing else
+    that a report doesn't ask for, so Catalyst prunes unused measures below
+    the window."""
     order: list[Column | str] = [
         F.col("tier_priority").asc(),
         F.col("loaded_at").desc_nulls_last(),
         F.col("file_name").asc_nulls_last(),
+        F.col(FINGERPRINT).asc_nulls_last(),
     ]
-    named = ["tier_priority", "loaded_at", "file_name", "data_tier"]
-    rest = [c for c in tagged.columns if c not in set(keys) and c not in named]
-    order += [F.col(c).asc_nulls_last() for c in rest]
-    out = keep_first(tagged, keys, order, deterministic=False)
+    if FINGERPRINT not in tagged.columns:
+        named = ["tier_priority", "loaded_at", "file_name", "data_tier"]
+        rest = [c for c in tagged.columns if c not in set(keys) and c not in named]
+        tagged = tagged.withColumn(FINGERPRINT, row_fingerprint(rest))
+    out = keep_first(tagged, keys, order, deterministic=False).drop(FINGERPRINT)
     return out if keep_priority else out.drop("tier_priority")
 
 

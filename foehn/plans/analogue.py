@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.time import floor_minutes
@@ -315,6 +315,27 @@ def catalogue_pages(tiers: dict[str, DataFrame]) -> DataFrame:
     return per_station.select(F.to_json(page).alias("json"))
 
 
+def paged_catalogues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One catalogue per nation, one page per customer in key order: page k
+    (from 0) was asked for with cursor ``c<k>`` (the first with none) and links
+    to the next.  Faults by nation number modulo 4:
+
+    * 1: page 5 has not landed; 2: page 7 links back to page 3; 3: page 4
+      landed twice."""
+    w = Window.partitionBy("c_nationkey").orderBy("c_custkey")
+    c = table(spark, sf_dir, "customer")
+    c = c.select("c_nationkey", "c_custkey", (F.row_number().over(w) - 1).alias("k"), F.lead("c_custkey").over(w).alias("later"))
+    fault = F.col("c_nationkey") % 4
+    c = c.filter(~((fault == 1) & (F.col("k") == 5)))
+    onward = F.when((fault == 2) & (F.col("k") == 7), F.lit("c3")).when(F.col("later").isNotNull(), F.concat(F.lit("c"), (F.col("k") + 1).cast("string")))
+    c = c.withColumn("copy", F.explode(F.when((fault == 3) & (F.col("k") == 4), F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))))
+    link = F.struct(F.lit("next").alias("rel"), F.struct(onward.alias("cursor")).alias("body"))
+    links = F.when(onward.isNotNull(), F.array(F.struct(F.lit("self").alias("rel"), F.struct(F.lit("x").alias("cursor")).alias("body")), link))
+    page = F.struct(F.array(F.struct(F.col("c_custkey").cast("string").alias("id"))).alias("features"), F.coalesce(links, F.array().cast("array<struct<rel:string,body:struct<cursor:string>>>")).alias("links"))
+    cursor = F.when(F.col("k") > 0, F.concat(F.lit("c"), F.col("k").cast("string")))
+    return c.select(F.col("c_nationkey").alias("catalogue"), cursor.alias("cursor"), F.to_json(page).alias("json"))
+
+
 def _date_text(d: Column) -> Column:
     return F.concat(_two(F.dayofmonth(d)), F.lit("."), _two(F.month(d)), F.lit("."), F.year(d).cast("string"))
 

@@ -26,10 +26,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import tables
+from ..operators.dedup import row_fingerprint
 from ..operators.rejects import REASON, fail_on_rejects, split_rejects, staged
 from ..operators.upsert import prepare_source
 from ..operators.sizes import broadcast_if_small
-from ..schema import BRONZE_COLUMNS, KEY_COLUMNS, TIER_SPECS, bronze_measurement_schema, bronze_station_schema
+from ..schema import BRONZE_COLUMNS, FINGERPRINT, KEY_COLUMNS, MEASURE_CODES, TIER_SPECS, bronze_measurement_schema, bronze_station_schema
 from ..sources import csv as csv_src
 from ..sources.inventory import list_files
 
@@ -234,7 +235,7 @@ def load_now(spark, landing_root, table_root, loaded_at=None, ledger_root=None,
             stats.update(rows_parsed=m["rows_parsed"], rows_rejected=m["rows_rejected"], files_loaded=_files(rows))
             good, bad = split_rejects(rows)
             _keep_rejects(bad, REASON, stats["data_tier"], stats, ledger_root)
-            stats["rows_loaded"] = tables.replace(good, table_root, allow_empty=allow_empty)
+            stats["rows_loaded"] = tables.replace(with_fingerprint(good), table_root, allow_empty=allow_empty)
 
     return run_load(spark, "load_now", "now", ledger_root, body, raise_, batch)
 
@@ -258,7 +259,12 @@ def load_stations(spark, landing_root, table_root, loaded_at=None, ledger_root=N
 
 
 def with_partition(df: DataFrame) -> DataFrame:
-    return df.withColumn(PARTITION_COLUMN, F.to_date("reference_timestamp"))
+    return with_fingerprint(df).withColumn(PARTITION_COLUMN, F.to_date("reference_timestamp"))
+
+
+def with_fingerprint(df: DataFrame) -> DataFrame:
+    """Measurement rows as the bronze tables store them."""
+    return df.withColumn(FINGERPRINT, row_fingerprint(MEASURE_CODES))
 
 
 def upsert_recent(
@@ -335,12 +341,12 @@ def load_historical(spark, landing_root, table_root, loaded_at=None, ledger_root
     return run_load(spark, "load_historical", "historical", ledger_root, body)
 
 
-def read_historical(spark: SparkSession, table_root: str, ledger_root: str | None = None) -> DataFrame:
+def read_historical(spark: SparkSession, table_root: str, ledger_root: str | None = None, fingerprint: bool = False) -> DataFrame:
     """Historical rows in bronze columns with their day, of the loads that
     count: those with a SUCCESS row in the ledger, and rows loaded without a
     ledger.  Only folders of these loads are listed and read.  Without a
     ledger all rows count."""
-    schema = bronze_measurement_schema()
+    schema = bronze_measurement_schema(fingerprint)
     if not tables.exists(spark, table_root):
         return spark.createDataFrame([], schema)
     if not ledger_root:

@@ -16,7 +16,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import generations, tables
-from ..schema import BRONZE_COLUMNS, bronze_measurement_schema, bronze_station_schema
+from ..schema import BRONZE_COLUMNS, FINGERPRINT, bronze_measurement_schema, bronze_station_schema
 from . import bronze, gold, silver
 
 
@@ -33,19 +33,20 @@ def paths(warehouse: str) -> dict[str, str]:
 
 
 def _with_day(df: DataFrame) -> DataFrame:
-    """Bronze columns and, where the table has partitions, the day they are
-    named for (a table without any has no such column)."""
+    """Bronze columns, the stored fingerprint and, where the table has
+    partitions, the day they are named for (a table without any has no such
+    column)."""
     day = [bronze.PARTITION_COLUMN] if bronze.PARTITION_COLUMN in df.columns else []
-    return df.select(*BRONZE_COLUMNS, *day)
+    return df.select(*BRONZE_COLUMNS, FINGERPRINT, *day)
 
 
 def bronze_tables(spark: SparkSession, warehouse: str) -> dict[str, DataFrame]:
     p = paths(warehouse)
-    schema = bronze_measurement_schema()
+    schema = bronze_measurement_schema(fingerprint=True)
     return {
-        "historical": _with_day(bronze.read_historical(spark, p["historical"], p["ledger"])),
+        "historical": _with_day(bronze.read_historical(spark, p["historical"], p["ledger"], fingerprint=True)),
         "recent": _with_day(tables.read_table_partitioned(spark, p["recent"], schema)),
-        "now": tables.read_table(spark, p["now"], schema).select(*BRONZE_COLUMNS),
+        "now": _with_day(tables.read_table(spark, p["now"], schema)),
     }
 
 

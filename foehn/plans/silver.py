@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.time import ts_date_range
 from ..operators import generations
 from ..operators.dedup import dedup_tiers, drop_lower_tiers, union_tiers
-from ..schema import BRONZE_COLUMNS, STATION_COLUMNS
+from ..schema import BRONZE_COLUMNS, FINGERPRINT, STATION_COLUMNS
 
 SILVER_COLUMNS = BRONZE_COLUMNS + ["data_tier"]
 PARTITION_COLUMN = "measurement_date"
@@ -32,7 +32,9 @@ def silver_measurements(tiers: dict[str, DataFrame], keep: Iterable[str] | None
     """
     if keep is not None:
         tiers = drop_lower_tiers(tiers, list(keep))
-    return dedup_tiers(all_measurements(tiers)).select(*SILVER_COLUMNS)
+    stored = all(FINGERPRINT in df.columns for df in tiers.values())
+    rows = union_tiers(tiers, [*BRONZE_COLUMNS, FINGERPRINT] if stored else BRONZE_COLUMNS)
+    return dedup_tiers(rows).select(*SILVER_COLUMNS)
 
 
 def _day(df: DataFrame) -> Column:

@@ -105,7 +105,12 @@ def raw_schema(n_fields: int, prefix: str = "c") -> T.StructType:
     )
 
 
-def bronze_measurement_schema() -> T.StructType:
+#: Column of the bronze tables that holds a row's fingerprint (see
+#: ``operators.dedup.row_fingerprint``), computed once, at load.
+FINGERPRINT = "row_fingerprint"
+
+
+def bronze_measurement_schema(fingerprint: bool = False) -> T.StructType:
     fields = [
         T.StructField("station_abbr", T.StringType(), True),
         T.StructField("reference_timestamp", T.TimestampNTZType(), True),
@@ -115,6 +120,8 @@ def bronze_measurement_schema() -> T.StructType:
         T.StructField("file_name", T.StringType(), True),
         T.StructField("loaded_at", T.TimestampNTZType(), True),
     ]
+    if fingerprint:
+        fields.append(T.StructField(FINGERPRINT, T.LongType(), True))
     return T.StructType(fields)
 
 

@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.rejects import stage
+
 ASSET = T.StructType([T.StructField("href", T.StringType(), True)])
 FEATURE = T.StructType(
     [
@@ -58,6 +60,57 @@ def next_cursors(pages: DataFrame, json_col: str = "json") -> DataFrame:
     )
 
 
+def page_chain(pages: DataFrame, by: list[str], cursor_col: str = "cursor", json_col: str = "json") -> DataFrame:
+    """Whether the landed pages of each catalogue are its whole chain.
+
+    ``pages``: one row per landed page, the columns ``by`` that name its
+    catalogue (not NULL), the cursor it was asked for with (NULL for the
+    first) and its JSON.  Output: ``by``, ``cursor``, ``position`` (from 0
+    along the ``next`` links; NULL if they don't lead there) and ``status``:
+
+    * ``missing`` - named by a landed page, or a catalogue's first, but not landed;
+    * ``repeated`` - landed more than once (the smallest ``next`` counts);
+    * ``unreachable`` - landed, but no chain from the first page leads there;
+    * ``cyclic`` - its ``next`` leads back to a page at or before it;
+    * ``ok``.
+
+    Positions come from pointer doubling: after k rounds the first 2**k pages
+    of every chain have theirs and every page knows the one 2**k ahead, so a
+    chain of n pages takes about log2(n) joins, whatever the cycles."""
+    key = [*by, "node"]
+    link = F.try_element_at(F.filter("p.links", lambda x: x["rel"] == "next"), F.lit(1))["body"]["cursor"]
+    # a cursor is marked, so that the first page's NULL is a node like others
+    node = lambda c: F.concat(F.lit("="), c)
+    read = pages.withColumn("p", F.from_json(F.col(json_col), PAGE))
+    read = read.select(*by, F.coalesce(node(F.col(cursor_col)), F.lit("")).alias("node"), node(link).alias("next"))
+    landed = read.groupBy(*key).agg(F.count(F.lit(1)).alias("copies"), F.min("next").alias("next"))
+    landed = stage(landed, "pages-landed")
+    jump = landed.filter(F.col("next").isNotNull()).select(*key, F.col("next").alias("ahead"))
+    firsts = landed.select(*by).distinct()
+    reached = stage(firsts.select(*by, F.lit("").alias("node"), F.lit(0).cast("long").alias("position")), "pages-reached")
+    step, most = 1, landed.count()
+    while step <= most:
+        onward = reached.join(jump, key).select(*by, F.col("ahead").alias("node"), (F.col("position") + step).alias("position"))
+        reached = stage(reached.unionByName(onward).groupBy(*key).agg(F.min("position").alias("position")), "pages-reached")
+        further = jump.select(*by, F.col("node").alias("__mid"), F.col("ahead").alias("__far"))
+        mid = jump.withColumnRenamed("ahead", "__mid")
+        jump = stage(mid.join(further, [*by, "__mid"]).select(*key, F.col("__far").alias("ahead")), "pages-jump")
+        step *= 2
+    named = landed.filter(F.col("next").isNotNull()).select(*by, F.col("next").alias("node")).distinct()
+    every = landed.select(*key).unionByName(named).unionByName(firsts.withColumn("node", F.lit(""))).distinct()
+    then = reached.select(*by, F.col("node").alias("next"), F.col("position").alias("__then"))
+    known = every.join(landed, key, "left").join(reached, key, "left").join(then, [*by, "next"], "left")
+    status = (
+        F.when(F.col("copies").isNull(), "missing")
+        .when(F.col("copies") > 1, "repeated")
+        .when(F.col("position").isNull(), "unreachable")
+        .when(F.col("__then") <= F.col("position"), "cyclic")
+        .otherwise("ok")
+    )
+    cursor = F.when(F.col("node") != "", F.substring("node", 2, 1 << 30))
+    return known.select(*by, cursor.alias("cursor"), "position", status.alias("status"))
+
+
 def pick_assets(manifest: DataFrame) -> DataFrame:
     """Per station the first ``*_t_now.csv`` and first ``*_t_recent.csv``
     (document order), and every historical CSV.  Assets without href are

@@ -12,21 +12,24 @@ files it already committed.
 * T2 recent tier: each micro-batch is upserted; T4 then refreshes the silver
   days the batch touched.
 * T5 live view: watermark on the reference time and de-duplication within
-  it, for a continuously updated live table without unbounded state.
+  it, for a continuously updated live table without unbounded state; over all
+  tiers, the better tier's row replaces a worse one whenever it arrives
+  (``start_best_rows``).
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import tables
-from ..operators.rejects import split_rejects
-from ..plans.bronze import load_now, run_load, upsert_recent
-from ..schema import KEY_COLUMNS, MEASUREMENT_CSV_FIELDS, TIER_SPECS, raw_schema
+from ..operators.dedup import row_fingerprint, union_tiers
+from ..operators.rejects import split_rejects, staged
+from ..plans.bronze import PARTITION_COLUMN, load_now, run_load, upsert_recent
+from ..schema import BRONZE_COLUMNS, FINGERPRINT, KEY_COLUMNS, MEASURE_CODES, MEASUREMENT_CSV_FIELDS, TIER_SPECS, raw_schema
 from ..sources.csv import CSV_OPTIONS, relative_file_name, typed_measurements
 
 
@@ -103,6 +106,48 @@ def start_recent_ingest(
                   trigger or {"availableNow": True})
 
 
+def _event_time(ts: Column) -> Column:
+    """Reference times are UTC wall-clock; watermarks need a zoned TIMESTAMP."""
+    return F.make_timestamp(F.year(ts), F.month(ts), F.dayofmonth(ts), F.hour(ts), F.minute(ts), F.second(ts), F.lit("UTC"))
+
+
+def best_rows(tiers: dict[str, DataFrame], watermark: str) -> DataFrame:
+    """T5 over all tiers: a streaming aggregate (output mode update) that
+    holds, per station and time, the row that wins by tier, load time, file
+    name and fingerprint - W1's order - among all that have arrived.  When a
+    row of a better tier arrives late, the key is emitted again.
+
+    ``tiers``: streams in bronze columns.  State of times older than
+    ``watermark`` before the newest time seen is dropped, and so are rows that
+    arrive after that; rows without a time are left to the batch refresh."""
+    keys = list(KEY_COLUMNS)
+    rows = union_tiers(tiers, BRONZE_COLUMNS).withColumn(FINGERPRINT, row_fingerprint(MEASURE_CODES))
+    rows = rows.filter(F.col(keys[1]).isNotNull()).withColumn("__event_time", _event_time(F.col(keys[1])))
+    age = F.timestamp_diff("MICROSECOND", F.col("loaded_at"), F.lit("2100-01-01 00:00:00").cast("timestamp_ntz"))
+    order = F.struct(
+        "tier_priority", F.col("loaded_at").isNull().alias("a"), age.alias("b"),
+        F.col("file_name").isNull().alias("c"), F.col("file_name").alias("d"), F.col(FINGERPRINT).alias("e"),
+    )
+    held = [c for c in [*BRONZE_COLUMNS, "data_tier"] if c not in keys]
+    best = F.min_by(F.struct(*held), order).alias("best")
+    grouped = rows.withWatermark("__event_time", watermark).groupBy("__event_time", *keys).agg(best)
+    return grouped.select(*keys, "best.*")
+
+
+def start_best_rows(tiers: dict[str, DataFrame], table_root: str, checkpoint: str, watermark: str, trigger: dict | None = None) -> StreamingQuery:
+    """Keep ``table_root`` (partitioned by day) equal to W1 over all rows that
+    the streams have brought: each micro-batch upserts the keys whose winner it
+    decided anew.  Replaying a batch gives the same table."""
+
+    def batch(df: DataFrame, batch_id: int) -> None:
+        with staged(df.withColumn(PARTITION_COLUMN, F.to_date("reference_timestamp")), "best-rows") as rows:
+            if not rows.isEmpty():
+                tables.upsert_partitions(rows, table_root, KEY_COLUMNS, PARTITION_COLUMN, prepared=True)
+
+    q = best_rows(tiers, watermark).writeStream.outputMode("update").foreachBatch(batch)
+    return q.option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
+
+
 def dedup_within_watermark(
     df: DataFrame, keys=KEY_COLUMNS, ts_col: str = "reference_timestamp", watermark: str = "1 day"
 ) -> DataFrame:
@@ -110,11 +155,7 @@ def dedup_within_watermark(
     newest time seen; state older than the watermark is dropped, so the
     state store stays bounded.  (Which duplicate survives is the first to
     arrive; the de-duplication by tier priority is the batch silver job.)"""
-    ts = F.col(ts_col)
-    # watermarks need a zoned TIMESTAMP; reference times are UTC wall-clock
-    event_time = F.make_timestamp(
-        F.year(ts), F.month(ts), F.dayofmonth(ts), F.hour(ts), F.minute(ts), F.second(ts), F.lit("UTC")
-    )
+    event_time = _event_time(F.col(ts_col))
     return (
         df.withColumn("__event_time", event_time)
         .withWatermark("__event_time", watermark)

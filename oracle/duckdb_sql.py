@@ -102,9 +102,10 @@ def union_cte(tiers=("historical", "recent", "now")) -> str:
     return "all_m AS (\n" + "\nUNION ALL\n".join(parts) + ")"
 
 
-DEDUP_ORDER = "tier_priority ASC, loaded_at DESC NULLS LAST, file_name ASC NULLS LAST, " + ", ".join(
-    f"{c} ASC NULLS LAST" for c in MEASURE_CODES
-)
+# the row fingerprint: 60 bits of the MD5 of all measures' texts
+_TEXTS = " || '|' || ".join(f"coalesce(CAST({c} AS VARCHAR), '~')" for c in MEASURE_CODES)
+FINGERPRINT_SQL = f"CAST('0x' || substr(md5({_TEXTS}), 1, 15) AS BIGINT)"
+DEDUP_ORDER = f"tier_priority ASC, loaded_at DESC NULLS LAST, file_name ASC NULLS LAST, {FINGERPRINT_SQL} ASC"
 SILVER_CTE = f"""silver AS (
 SELECT {BRONZE_COLS}, data_tier FROM all_m
 QUALIFY row_number() OVER (PARTITION BY station_abbr, reference_timestamp ORDER BY {DEDUP_ORDER}) = 1)"""
@@ -597,3 +598,31 @@ SELECT data_tier, reason, loaded_at, COUNT(*) AS n_rows FROM r WHERE reason IS N
 
 # a refresh of touched days leaves what a full recompute gives
 ORACLE["silver_touched_refresh"] = ORACLE["tier_dedup"]
+
+# partials, streams and bitmaps give what the plain reports give
+for _name in ("daily_station", "canton_daily", "monthly_station", "extremes_30d", "yearly_compare"):
+    ORACLE[f"rollup_{_name}"] = ORACLE[_name]
+ORACLE["stream_tier_dedup"] = ORACLE["tier_dedup"]
+ORACLE["active_stations_monthly"] = with_(*FACT, *DIM) + """
+SELECT d.station_canton, CAST(date_trunc('month', f.measurement_date) AS DATE) AS month, COUNT(DISTINCT f.station_key) AS active_stations
+FROM fact f JOIN dim d ON f.station_key = d.station_key
+GROUP BY GROUPING SETS ((1, 2), (2))"""
+
+ORACLE["page_chain"] = """
+WITH RECURSIVE numbered AS (
+  SELECT c_nationkey AS catalogue, row_number() OVER w - 1 AS k, lead(c_custkey) OVER w IS NOT NULL AS more
+  FROM customer WINDOW w AS (PARTITION BY c_nationkey ORDER BY c_custkey)),
+landed AS (
+  SELECT catalogue, k, CASE WHEN catalogue % 4 = 2 AND k = 7 THEN 3 WHEN more THEN k + 1 END AS next,
+    CASE WHEN catalogue % 4 = 3 AND k = 4 THEN 2 ELSE 1 END AS copies
+  FROM numbered WHERE NOT (catalogue % 4 = 1 AND k = 5)),
+walk(catalogue, k, position) AS (
+  SELECT DISTINCT catalogue, 0, 0 FROM landed
+  UNION ALL SELECT w.catalogue, l.next, w.position + 1 FROM walk w JOIN landed l ON l.catalogue = w.catalogue AND l.k = w.k
+  WHERE l.next > w.k),
+pages AS (SELECT catalogue, k FROM landed UNION SELECT catalogue, next FROM landed WHERE next IS NOT NULL)
+SELECT p.catalogue, CASE WHEN p.k > 0 THEN 'c' || CAST(p.k AS VARCHAR) END AS cursor, CAST(w.position AS BIGINT) AS position,
+  CASE WHEN l.k IS NULL THEN 'missing' WHEN l.copies > 1 THEN 'repeated' WHEN w.position IS NULL THEN 'unreachable'
+       WHEN v.position <= w.position THEN 'cyclic' ELSE 'ok' END AS status
+FROM pages p LEFT JOIN landed l ON l.catalogue = p.catalogue AND l.k = p.k
+LEFT JOIN walk w ON w.catalogue = p.catalogue AND w.k = p.k LEFT JOIN walk v ON v.catalogue = p.catalogue AND v.k = l.next"""

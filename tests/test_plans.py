@@ -161,3 +161,32 @@ def test_input_bytes_only_for_few_files(spark):
     events = A.table(spark, SF_SMALL, "events")
     assert input_bytes(events, max_files=1) == os.path.getsize(f"{SF_SMALL}/events.parquet")
     assert input_bytes(events, max_files=0) is None
+
+
+def test_winners_are_chosen_on_narrow_columns(spark, tmp_path):
+    """A report on loaded bronze tables reads the stored fingerprint and its
+    own measures, in the scan and in the window; the others are pruned."""
+    import re
+
+    from conftest import write_file
+    from foehn.plans import refresh
+    from foehn.schema import MEASURE_CODES
+
+    header = "station_abbr;reference_timestamp;" + ";".join(MEASURE_CODES) + "\n"
+    land, wh = tmp_path / "land", str(tmp_path / "wh")
+    write_file(land / "a_t_historical_2020.csv", header + "A;01.01.2024 00:00;1\nA;01.01.2024 00:00;2\nA;01.01.2024 00:10;3\n")
+    write_file(land / "a_t_recent.csv", header + "A;01.01.2024 00:10;5\nA;01.01.2024 00:20;6\n")
+    write_file(land / "a_t_now.csv", header + "A;01.01.2024 00:30;7\nA;01.01.2024 00:30;8\n")
+    write_file(land / "x_meta_stations.csv", "h\nA;a;B\n", encoding="latin-1")
+    refresh.refresh_all(spark, str(land), wh)
+    tiers = refresh.bronze_tables(spark, wh)
+    dim = gold.dim_stations(silver.station_view(refresh.station_table(spark, wh)))
+    report = analytics.canton_daily(gold.fact_standard(tiers), dim, dt.date(2024, 1, 5))
+    p = plan(report)
+    scans = re.findall(r"Project \[([^\]]*) AS tier_priority", p)
+    assert [x.count("#") for x in scans] == [8, 8], scans  # and the tier's constant
+    windows = [w for w in re.findall(r"WindowGroupLimit \[([^\]]*)\], \[([^\]]*)\]", p)]
+    assert windows and all("row_fingerprint" in order and "tre005s0" not in order for _, order in windows)
+    # the same rows win whether the fingerprint is stored or computed
+    plain = {t: df.drop("row_fingerprint") for t, df in tiers.items()}
+    assert sorted(map(str, silver.silver_measurements(tiers).collect())) == sorted(map(str, silver.silver_measurements(plain).collect()))
