@@ -22,7 +22,9 @@ WEIGHTS = (1.0, 2.0, 3.0)
 TOLERANCE = 1e-6
 MOST_STEPS = 60
 
-#: Documents of one cell that are ranked together for an extra copy.
+#: Documents of one cell that are ranked together for an extra copy; in a cell
+#: of n documents sqrt(n) at least, so that neither parts nor their number grow
+#: with n.
 RANKED = 512
 
 
@@ -63,14 +65,15 @@ def _rate() -> Column:
 
 def solve(spark: SparkSession, cells: DataFrame, targets: DataFrame) -> DataFrame:
     """targets with ``lam``, each source's dual solution. Newton steps stay
-    within the bracket found so far; where they would leave it, it is halved."""
+    within the bracket found so far; where they would leave it, it is halved.
+    A source that is not solved in MOST_STEPS steps is an error."""
     none = F.lit(None).cast("double")
     state = targets.withColumns({"lam": F.lit(0.0), "low": none, "high": none, "done": F.col("target") <= 0})
     for _ in range(MOST_STEPS):
         state = stored(spark, state, "dual")
         open_ = state.where(~F.col("done"))
         if open_.isEmpty():
-            break
+            return state
         joined = cells.join(open_, cells["source"].eqNullSafe(open_["source"])).select(open_["source"], "size", "n", "lam", "mean")
         words = F.col("n") * F.col("size") * _rate()
         slope = F.when(_rate() < CAP, words * F.col("size") / F.col("mean")).otherwise(0.0)
@@ -89,7 +92,7 @@ def solve(spark: SparkSession, cells: DataFrame, targets: DataFrame) -> DataFram
             "source", "source_size", "target", "mean",
             F.when(F.col("done") | near, F.col("lam")).when(inside, newton).otherwise(beside).alias("lam"), "low", "high", (F.col("done") | near).alias("done"),
         )
-    return state
+    raise RuntimeError(f"no solution of a source's dual in {MOST_STEPS} steps")
 
 
 def _copies(cells: pd.DataFrame) -> pd.DataFrame:
@@ -134,11 +137,21 @@ def mix_sources(
     joined = sized.join(plan, sized["source"].eqNullSafe(plan["source"]) & (sized["size"] == plan["size"])).select(
         "id", sized["source"], sized["size"], "pick", "n", "source_size", "target", "rate", "base", "extra"
     )
-    # a cell is ranked in parts of about RANKED documents, each with its share of the extra copies
-    joined = joined.withColumn("part", F.pmod(F.col("pick"), F.ceil(F.col("n") / RANKED)))
-    whole = Window.partitionBy("source", "size", "part")
-    share = F.floor(F.col("extra") / F.col("n") * F.count("*").over(whole) + 0.5)
-    copies = F.col("base") + F.when(F.row_number().over(whole.orderBy("pick", "id")) <= share, 1).otherwise(0)
+    # a cell is ranked in parts by hash; of the cell's extra copies a part gets those between the shares of
+    # the documents before it and with it, so that the parts' copies add up to the cell's
+    n_parts = F.ceil(F.col("n") / F.greatest(F.lit(float(RANKED)), F.sqrt("n")))
+    joined = stored(spark, joined.withColumn("part", F.pmod(F.col("pick"), n_parts)), "ranked")
+    counts = joined.where("extra > 0").groupBy("source", "size", "part", "n", "extra").agg(F.count("*").alias("here"))
+    upto = F.sum("here").over(Window.partitionBy("source", "size").orderBy("part"))
+    part_share = lambda c: F.floor(F.col("extra").cast("decimal(19,0)") * c / F.col("n"))
+    counts = counts.withColumn("upto", upto).select(
+        F.col("source").alias("of_source"), F.col("size").alias("of_size"), F.col("part").alias("of_part"),
+        (part_share(F.col("upto").cast("decimal(19,0)")) - part_share((F.col("upto") - F.col("here")).cast("decimal(19,0)"))).alias("share"),
+    )
+    same = joined["source"].eqNullSafe(counts["of_source"]) & (joined["size"] == counts["of_size"]) & (joined["part"] == counts["of_part"])
+    joined = joined.join(counts, same, "left")
+    nth = F.row_number().over(Window.partitionBy("source", "size", "part").orderBy("pick", "id"))
+    copies = F.col("base") + F.when(nth <= F.coalesce("share", F.lit(0)), 1).otherwise(0)
     return joined.withColumn("copies", copies).select(
         F.col("id").alias(id_col), "size", "source_size", "target", (F.col("copies") * F.col("size")).cast("long").alias("taken"), "rate", F.col("copies").cast("int").alias("copies")
     )
