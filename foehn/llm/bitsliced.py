@@ -23,18 +23,21 @@ SCALE = 256
 BLOCK = 16384
 CHUNK = 256
 
-#: Quantised components beyond this leave scores that a long can't hold.
-LARGEST = 2**31
+#: Quantised components from this size on are an error.
+LARGEST = float(2**62)
 
 _ALL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
 def quantised(vectors: DataFrame, id_col: str, vector: str, scale: int = SCALE) -> DataFrame:
     """(id, dim, ints) of the rows that take part: neither id nor vector null,
-    no component null, non-finite or too large to quantise."""
-    ints = F.transform(vector, lambda x: F.floor(F.lit(scale) * x.cast("double")))
-    fits = F.forall(vector, lambda x: F.coalesce(~F.isnan(x) & (F.abs(F.lit(scale) * x.cast("double")) < LARGEST), F.lit(False)))
-    rows = vectors.where(F.col(id_col).isNotNull() & F.col(vector).isNotNull() & (F.size(vector) > 0)).where(fits)
+    no component null or non-finite. A component too large for a long is an
+    error, and so is, in the search, a score that is."""
+    finite = F.forall(vector, lambda x: F.coalesce(F.abs(x.cast("double")) < float("inf"), F.lit(False)))
+    scaled = lambda x: F.floor(F.lit(scale) * x.cast("double"))
+    too_large = F.raise_error(F.lit("a quantised component is too large for 64-bit integers")).cast("long")
+    ints = F.transform(vector, lambda x: F.when(F.abs(F.lit(scale) * x.cast("double")) < LARGEST, scaled(x)).otherwise(too_large))
+    rows = vectors.where(F.col(id_col).isNotNull() & F.col(vector).isNotNull() & (F.size(vector) > 0)).where(finite)
     return rows.select(F.col(id_col).cast("long").alias("id"), F.size(vector).alias("dim"), ints.alias("ints"))
 
 
