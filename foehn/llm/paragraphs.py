@@ -135,16 +135,19 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, id_col: str, text: s
 
 def repeated_lines(spark: SparkSession, docs: DataFrame, id_col: str, text: str, least: int, n: int, threshold: float) -> DataFrame:
     """Lines that equal or resemble lines elsewhere."""
-    lines = docs.select(F.col(id_col).alias("id"), F.monotonically_increasing_id().alias("uid"), F.posexplode(F.split(text, "\n")).alias("position", "text"))
+    # a row is named by what it holds: the plans below read docs again, perhaps in another order
+    row = F.xxhash64(F.col(id_col), F.col(text)).alias("row")
+    lines = docs.select(F.col(id_col).alias("id"), row, F.posexplode(F.split(text, "\n")).alias("position", "text"))
     n_words = F.size(F.split(F.trim("text"), " +"))
     lines = lines.withColumn("n_words", n_words).where(F.col("n_words") >= least)
-    marked = stored(spark, lines.select("id", "uid", "position", "n_words", class_of("text")), "lines")
+    marked = stored(spark, lines.select("id", "row", "position", "n_words", class_of("text")), "lines")
     groups = stored(spark, candidate_groups(spark, stored(spark, signatures(lines, "text", n, BANDS, ROWS), "line-bands")), "line-groups")
     # weight 1: links between different lines only say that there is a cluster
-    heads = marked.groupBy("class").agg(F.min("id").alias("head"), F.min("uid").alias("low"), F.count("*").alias("copies"))
-    spots = marked.join(heads.select("class", "low"), "class").where("uid = low").groupBy("class", "uid").agg(F.min("position").alias("position"))
-    wanted = groups.join(spots, "class")
-    texts = lines.select(class_of("text"), "uid", "position", "text").join(wanted, ["class", "uid", "position"]).select("class", "grp", F.lit(1).cast("long").alias("weight"), "text")
+    heads = marked.groupBy("class").agg(F.min("id").alias("head"), F.min(F.struct("row", "position")).alias("spot"), F.count("*").alias("copies"))
+    wanted = groups.join(heads.select("class", "spot.row", "spot.position"), "class")
+    texts = lines.select(class_of("text"), "row", "position", "text").join(wanted, ["class", "row", "position"])
+    texts = texts.groupBy("class", "grp").agg(F.min("text").alias("text"))  # repeated rows hold a line's text each
+    texts = texts.select("class", "grp", F.lit(1).cast("long").alias("weight"), "text")
     sets = stored(spark, shingle_sets(texts, n, ["class", "grp", "weight"]), "line-sets").dropDuplicates(["class"])
     links, stars = verified_links(spark, sets, threshold)
     parts = connected_components(spark, stars).withColumnRenamed("node", "class")
