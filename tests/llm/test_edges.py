@@ -1,6 +1,8 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and extra
 columns with clashing names, for every operator and pipeline stage."""
 
+import math
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -83,10 +85,43 @@ def test_taken_words_are_near_target(spark):
     for source in ("a", "b", None):
         own = [r for r in found if data[r["doc_id"]][0] == source]
         target = own[0]["target"]
-        # half a document is lost or won in each part of a ranked cell, and half a smallest one at the end
-        parts = sum(size * -(-n // mixing.RANKED) / 2 for (s, size), n in cells.items() if s == source and n > mixing.RANKED)
+        # half a smallest document is lost or won at the end
         least = min(size for s, size in cells if s == source) / 2
-        assert target > 0 and abs(sum(r["taken"] for r in own) - target) <= parts + least + target * mixing.TOLERANCE
+        assert target > 0 and abs(sum(r["taken"] for r in own) - target) <= least + target * mixing.TOLERANCE
+
+
+def test_low_rates_in_a_large_cell_lose_no_copies(spark):
+    """Fewer extra copies than parts: the target is met within a document."""
+    docs = spark.range(33_000).select(F.col("id").alias("doc_id"), F.repeat(F.lit("x "), 10).alias("text"), F.lit("a").alias("source"))
+    rest = spark.createDataFrame([(-1, "y " * 110, "b")], "doc_id long, text string, source string")
+    found = mixing.mix_sources(spark, docs.unionByName(rest), weights=(0.001, 1.0)).where("source_size = 330000")
+    taken, target = found.agg(F.sum("taken"), F.max("target")).first()
+    assert abs(taken - target) <= 5 + target * mixing.TOLERANCE
+
+
+def test_an_unsolved_dual_is_an_error(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "MOST_STEPS", 1)
+    docs = spark.createDataFrame([(i, "x " * (i % 7 + 1), "ab"[i % 2]) for i in range(60)], "doc_id long, text string, source string")
+    with pytest.raises(RuntimeError, match="dual"):
+        mixing.mix_sources(spark, docs).count()
+
+
+def test_copies_meet_an_independent_dual(spark):
+    """Rates against a plain bisection of the dual of each source."""
+    data = [(i, "x " * (i * 7 % 23 + 1), "abc"[i * i % 3]) for i in range(400)]
+    found = rows(mixing.mix_sources(spark, spark.createDataFrame(data, "doc_id long, text string, source string")))
+    for source in "abc":
+        own = [r for r in found if data[r["doc_id"]][2] == source]
+        if not own:
+            continue
+        sizes, target = [r["size"] for r in own], own[0]["target"]
+        mean = sum(sizes) / len(sizes)
+        rate = lambda lam, size: min(3.0, math.exp(min(50.0, lam * size / mean)))
+        low, high = -100.0, 100.0
+        for _ in range(200):
+            middle = (low + high) / 2
+            low, high = (middle, high) if sum(rate(middle, s) * s for s in sizes) < target else (low, middle)
+        assert all(r["rate"] == pytest.approx(rate(low, r["size"]), rel=1e-3) for r in own)
 
 
 def test_kneser_ney(spark, docs, none):

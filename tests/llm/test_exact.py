@@ -12,6 +12,7 @@ import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from foehn.llm import bitsliced, ego_join, kneser_ney, ngram_join, packing, paragraphs, pii, toxicity
 from foehn.llm.textvec import ALNUM, SPACE, slices
@@ -345,3 +346,31 @@ def test_toxic_words_are_learned(spark):
     found = toxicity.toxicity(spark, data.select("doc_id", "text"), data.select("doc_id", "toxic")).where("held_out").collect()
     right = sum(r.predicted == int(r.doc_id % 5 == 0) for r in found)
     assert right / len(found) > 0.97
+
+
+def test_repeated_text_is_the_same_for_any_order_of_rows(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    plain = lambda df: sorted(map(str, paragraphs.repeated_text(spark, df).collect()))
+    want = plain(docs)
+    assert want == plain(docs.repartition(7)) == plain(docs.orderBy(F.rand(3)))
+
+
+def test_a_line_in_repeated_rows(spark):
+    line = " ".join(f"w{i}" for i in range(40))
+    rows = [(1, f"a\n{line}")] * 3 + [(2, line), (None, line), (None, line)]
+    found = paragraphs.repeated_text(spark, spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).where("unit = 'line'")
+    assert sorted((r.doc_id or 0, r.position, r.removed) for r in found.collect()) == [(0, 0, True)] * 2 + [(1, 1, False)] * 3 + [(2, 0, True)]
+
+
+def test_top_k_of_large_components(spark):
+    vectors = [(0, [9.0e6, 1.0]), (1, [9.0e6, 2.0]), (2, [-3.0, 4.0]), (3, [1.0e13, 0.0]), (50, [-1.0, 0.5])]
+    q = bitsliced.quantised(spark.createDataFrame(vectors, "vec_id long, embedding array<double>"), "vec_id", "embedding")
+    assert q.count() == 5
+    found = {(r.query_id, r.vec_id): r.score for r in bitsliced.top_k(spark, q, q.where("id = 50")).collect()}
+    ints = {i: [math.floor(256 * x) for x in v] for i, v in vectors}
+    assert found == {(50, i): sum(a * b for a, b in zip(ints[50], ints[i], strict=True)) for i in (0, 1, 2, 3)}
+    with pytest.raises(Exception):  # noqa: B017 - a score beyond a long is an error, not a missing row
+        bitsliced.top_k(spark, q, q.where("id = 3")).collect()
+    beyond = spark.createDataFrame([(0, [1.0e30])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="too large"):
+        bitsliced.quantised(beyond, "vec_id", "embedding").collect()
