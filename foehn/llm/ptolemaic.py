@@ -1,15 +1,16 @@
 """Centroid clustering with Ptolemaic pivots (operator 13).
 
-Lloyd rounds over integer vectors, exact in every distance and mean. Each
-vector keeps its distances to a few fixed pivots. For pivots p, s Ptolemy's
-inequality bounds the distance of a vector x to a centroid c from below:
+Lloyd rounds over integer vectors, exact in every distance and mean. After the
+first round the centroids become fixed pivots, one for each, and every vector
+keeps its distances to them. In later rounds Ptolemy's inequality bounds the
+distance of a vector x to a centroid c, which has moved on from pivot p, by
+the pair of p and the pivot s nearest to x:
 
     d(x, c) >= |d(x, p) d(c, s) - d(x, s) d(c, p)| / d(p, s)
 
-The largest bound over all pairs, rounded down by more than doubles can err,
-rules out centroids farther than the best one checked; the rest are checked
-exactly. A round reads the vectors once and shuffles one row per task and
-centroid.
+The bound, rounded down by more than doubles can err, rules out centroids
+farther than the best one checked; the rest are checked exactly. A round reads
+the vectors once and shuffles one row per task and centroid.
 """
 
 from __future__ import annotations
@@ -18,7 +19,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 from decimal import Decimal
 from hashlib import sha256
-from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -29,10 +29,6 @@ from foehn.llm.store import stored
 
 SCALE, DIMS, CENTROIDS, ROUNDS = 64, 64, 16, 3
 
-#: Pivots, and the rows (chosen by hash) among which far-apart ones are
-#: looked for. They only steer what is skipped; results are the same for any.
-PIVOTS, SAMPLE = 4, 1024
-
 #: Beyond this size of a component, distances are added up as Python integers.
 NARROW = 1 << 27
 
@@ -60,7 +56,7 @@ def exact(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Pivots:
-    """Fixed pivots with their pairs and the distances between them."""
+    """Fixed pivots, one for each centroid."""
 
     rows: np.ndarray
 
@@ -71,28 +67,31 @@ class Pivots:
             out[:, i] = np.sqrt(exact(q, p).astype(np.float64))
         return out
 
-    def pairs(self) -> list[tuple[int, int, float]]:
+    def bounds(self, to_pivots: np.ndarray, centroids: np.ndarray) -> np.ndarray:
+        """Lower bounds of the distances to the centroids, rows by centroids,
+        from the rows' distances to the pivots. A centroid whose pivot is the
+        row's nearest, or equals it, has no pair and the bound 0."""
+        moved = self.distances(centroids)  # centroids by pivots
         apart = self.distances(self.rows)
-        return [(a, b, apart[a, b]) for a, b in combinations(range(len(self.rows)), 2) if apart[a, b] > 0]
-
-    def bounds(self, to_rows: np.ndarray, to_centroids: np.ndarray) -> np.ndarray:
-        """Lower bounds of the distances, rows by centroids."""
-        best = np.zeros((len(to_rows), len(to_centroids)))
-        for a, b, apart in self.pairs():
-            left, right = np.outer(to_rows[:, a], to_centroids[:, b]), np.outer(to_rows[:, b], to_centroids[:, a])
-            np.maximum(best, (np.abs(left - right) - SLACK * (left + right)) / apart * (1 - SLACK), out=best)
-        return best
+        near = to_pivots.argmin(axis=1)
+        left = to_pivots * moved.T[near]
+        right = to_pivots[np.arange(len(near)), near][:, None] * np.diag(moved)
+        gap = apart[near]
+        low = np.abs(left - right) - SLACK * (left + right)
+        return np.maximum(np.divide(low, gap, out=np.zeros_like(low), where=gap > 0) * (1 - SLACK), 0)
 
 
-def nearest(q: np.ndarray, cached: np.ndarray, centroids: np.ndarray, pivots: Pivots) -> tuple[np.ndarray, np.ndarray, int]:
+def nearest(q: np.ndarray, centroids: np.ndarray, cached: np.ndarray | None = None, pivots: Pivots | None = None) -> tuple[np.ndarray, np.ndarray, int]:
     """(number of the nearest centroid, squared distance, exact checks made);
-    ties go to the smaller number."""
-    bound = pivots.bounds(cached, pivots.distances(centroids))
-    cluster = bound.argmin(axis=1)
-    best, checks = exact(q, centroids[cluster]), len(q)
-    least = bound * bound * (1 - SLACK)
+    ties go to the smaller number. Without pivots every distance is checked."""
+    if pivots is None:
+        first, least = np.zeros(len(q), np.int64), np.zeros((len(q), len(centroids)))
+    else:
+        first, bound = cached.argmin(axis=1), pivots.bounds(cached, centroids)
+        least = bound * bound * (1 - SLACK)
+    cluster, best, checks = first.copy(), exact(q, centroids[first]), len(q)
     for j, centroid in enumerate(centroids):
-        open_ = np.flatnonzero((least[:, j] <= best.astype(np.float64) * (1 + SLACK)) & (cluster != j))
+        open_ = np.flatnonzero((least[:, j] <= best.astype(np.float64) * (1 + SLACK)) & (first != j))
         if not len(open_):
             continue
         found, checks = exact(q[open_], centroid), checks + len(open_)
@@ -103,45 +102,42 @@ def nearest(q: np.ndarray, cached: np.ndarray, centroids: np.ndarray, pivots: Pi
     return cluster, best, checks
 
 
-def _read(batch: pa.RecordBatch, dims: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-    q = batch.column("q").flatten().to_numpy(zero_copy_only=False).reshape(-1, dims)
-    return q, batch.column("to_pivots").flatten().to_numpy(zero_copy_only=False).reshape(-1, k)
+def _read(batch: pa.RecordBatch, dims: int, pivots: Pivots | None) -> tuple[np.ndarray, np.ndarray | None]:
+    flat = lambda name, width: batch.column(name).flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+    return flat("q", dims), flat("to_pivots", len(pivots.rows)) if pivots else None
 
 
-def choose_pivots(vectors: DataFrame, vector: str, dims: int, scale: int) -> Pivots:
-    """Far-apart pivots among at most SAMPLE rows: each is the row farthest
-    from those before it."""
-    sample = [r[0] for r in vectors.select(vector).orderBy(F.xxhash64(vector), vector).limit(SAMPLE).collect()]
-    rows = quantise(np.array(sample, np.float64).reshape(-1), dims, scale)
-    chosen: list[int] = []
-    gap = exact(rows, rows[:1].repeat(len(rows), axis=0)).astype(np.float64) if len(rows) else np.zeros(0)
-    while len(chosen) < min(PIVOTS, len(rows)):
-        at = int(gap.argmax())
-        gap = np.minimum(gap, exact(rows, rows[at]).astype(np.float64)) if chosen else exact(rows, rows[at]).astype(np.float64)
-        chosen.append(at)
-    return Pivots(rows[chosen])
+def _lists(rows: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1, dtype=np.int32) * rows.shape[1]), pa.array(rows.ravel()))
 
 
-def prepared(spark: SparkSession, vectors: DataFrame, id_col: str, vector: str, dims: int, scale: int) -> tuple[DataFrame, Pivots]:
-    """Rows (id, q, to_pivots) of the vectors that are kept, in the shared
-    folder, and the pivots. Kept: exactly ``dims`` components, none null or
-    non-finite."""
+def prepared(spark: SparkSession, vectors: DataFrame, id_col: str, vector: str, dims: int, scale: int) -> DataFrame:
+    """Rows (id, q) of the vectors that are kept, in the shared folder. Kept:
+    exactly ``dims`` components, none null or non-finite."""
     finite = F.forall(vector, lambda x: F.coalesce(F.abs(x.cast("double")) < float("inf"), F.lit(False)))
     rows = vectors.where((F.size(vector) == dims) & finite).select(F.col(id_col).alias("id"), F.col(vector).alias("vector"))
-    pivots = choose_pivots(rows, "vector", dims, scale)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            q = quantise(batch.column(1).flatten().to_numpy(zero_copy_only=False), dims, scale)
-            places = pa.array(np.arange(len(q) + 1, dtype=np.int32) * dims)
-            width = len(pivots.rows)
-            to_pivots = pa.ListArray.from_arrays(pa.array(np.arange(len(q) + 1, dtype=np.int32) * width), pa.array(pivots.distances(q).ravel()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(places, pa.array(q.ravel())), to_pivots], names=["id", "q", "to_pivots"])
+            if batch.num_rows:
+                q = quantise(batch.column(1).flatten().to_numpy(zero_copy_only=False), dims, scale)
+                yield pa.RecordBatch.from_arrays([batch.column(0), _lists(q)], names=["id", "q"])
+
+    return stored(spark, rows.mapInArrow(run, f"id {dict(rows.dtypes)['id']}, q array<long>"), "quantised")
+
+
+def with_pivots(spark: SparkSession, rows: DataFrame, pivots: Pivots) -> DataFrame:
+    """Rows (id, q, to_pivots) with their distances to the pivots, in the
+    shared folder."""
+    dims = pivots.rows.shape[1]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                q, _ = _read(batch, dims, None)
+                yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("q"), _lists(pivots.distances(q))], names=["id", "q", "to_pivots"])
 
-    kind = dict(rows.dtypes)["id"]
-    return stored(spark, rows.mapInArrow(run, f"id {kind}, q array<long>, to_pivots array<double>"), "quantised"), pivots
+    return stored(spark, rows.mapInArrow(run, f"id {dict(rows.dtypes)['id']}, q array<long>, to_pivots array<double>"), "with-pivots")
 
 
 def first_centroids(rows: DataFrame, k: int) -> np.ndarray:
@@ -151,10 +147,10 @@ def first_centroids(rows: DataFrame, k: int) -> np.ndarray:
     return np.array([r[0] for r in rows.select("q", key.alias("key")).orderBy(F.asc_nulls_last("key"), "q").limit(k).collect()], np.int64)
 
 
-def moved(rows: DataFrame, centroids: np.ndarray, pivots: Pivots) -> tuple[np.ndarray, int]:
+def moved(rows: DataFrame, centroids: np.ndarray, pivots: Pivots | None = None) -> tuple[np.ndarray, int]:
     """Centroids after a round, each the floor of its vectors' exact mean
     (unchanged without vectors), and the exact checks that the round made."""
-    dims, k = centroids.shape[1], len(pivots.rows)
+    dims = centroids.shape[1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count, checked = [0] * len(centroids), 0
@@ -162,8 +158,8 @@ def moved(rows: DataFrame, centroids: np.ndarray, pivots: Pivots) -> tuple[np.nd
         for batch in batches:
             if not batch.num_rows:
                 continue
-            q, cached = _read(batch, dims, k)
-            cluster, _, checks = nearest(q, cached, centroids, pivots)
+            q, cached = _read(batch, dims, pivots)
+            cluster, _, checks = nearest(q, centroids, cached, pivots)
             checked += checks
             wide = int(np.abs(q).max()) * len(q) >= 2**62
             for j in np.unique(cluster):
@@ -190,13 +186,14 @@ def moved(rows: DataFrame, centroids: np.ndarray, pivots: Pivots) -> tuple[np.nd
 def assigned(rows: DataFrame, centroids: np.ndarray, pivots: Pivots) -> DataFrame:
     """(id, cluster, distance) of every row. A squared distance beyond a long
     is an error."""
-    dims, k = centroids.shape[1], len(pivots.rows)
+    dims = centroids.shape[1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            cluster, distance, _ = nearest(*_read(batch, dims, k), centroids, pivots)
+            q, cached = _read(batch, dims, pivots)
+            cluster, distance, _ = nearest(q, centroids, cached, pivots)
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(cluster.astype(np.int32)), pa.array(distance.tolist(), pa.int64())], names=["id", "cluster", "distance"])
 
     return rows.mapInArrow(run, f"id {dict(rows.dtypes)['id']}, cluster int, distance long")
@@ -205,7 +202,8 @@ def assigned(rows: DataFrame, centroids: np.ndarray, pivots: Pivots) -> DataFram
 @dataclass
 class Clustering:
     """Assigned rows (id, cluster, distance) in the shared folder, the final
-    centroids, vectors held, and per round the exact checks made."""
+    centroids, vectors held, and per round the exact checks made (the first
+    round, without pivots, makes all)."""
 
     rows: DataFrame
     centroids: np.ndarray
@@ -213,9 +211,9 @@ class Clustering:
     checks: list[int]
 
     def skipped(self) -> float:
-        """Share of the rounds' distances that bounds ruled out."""
-        every = self.vectors * len(self.centroids) * len(self.checks)
-        return 1 - sum(self.checks) / every if every else 0.0
+        """Share of the distances of rounds with pivots that bounds ruled out."""
+        every = self.vectors * len(self.centroids) * len(self.checks[1:])
+        return 1 - sum(self.checks[1:]) / every if every else 0.0
 
 
 def cluster_vectors(
@@ -224,13 +222,16 @@ def cluster_vectors(
     """Cluster the kept vectors (see ``prepared``) around k centroids, fewer
     where there are fewer vectors. Repeated rows count and are returned each
     time; rows of null id take part. Other columns are ignored."""
-    rows, pivots = prepared(spark, vectors, id_col, vector, dims, scale)
+    rows, pivots = prepared(spark, vectors, id_col, vector, dims, scale), None
     centroids, checks = first_centroids(rows, k), []
     if not len(centroids):
         return Clustering(rows.select("id", F.lit(0).alias("cluster"), F.lit(0).cast("long").alias("distance")), centroids, 0, checks)
     for _ in range(rounds):
         centroids, made = moved(rows, centroids, pivots)
         checks.append(made)
+        if pivots is None:
+            pivots = Pivots(centroids)
+            rows = with_pivots(spark, rows, pivots)
     found = stored(spark, assigned(rows, centroids, pivots), "clusters")
     return Clustering(found, centroids, found.count(), checks)
 

@@ -152,6 +152,7 @@ def test_clusters_equal_plain_lloyd(spark, spread, huge):
 def test_few_equal_or_no_vectors(spark):
     schema = "vec_id long, embedding array<float>"
     assert ptolemaic.clustered(spark, spark.createDataFrame([], schema)).count() == 0
+    assert ptolemaic.cluster_vectors(spark, spark.createDataFrame([(1, [0.5] * 64)], schema), rounds=0).checks == []
     for rows in ([(1, [0.5] * 64)], [(i, [0.25] * 64) for i in range(40)], [(i, [float(i % 3)] * 64) for i in range(9)]):
         assert found_clusters(ptolemaic.clustered(spark, spark.createDataFrame(rows, schema))) == plain_lloyd(rows)
 
@@ -168,10 +169,10 @@ def test_other_shapes_and_too_large_components(spark):
 @given(st.integers(0, 2**32 - 1), st.sampled_from([1, 1000, 2**40]))
 def test_bounds_never_exceed_distances(seed, size):
     rng = np.random.default_rng(seed)
-    q, c, p = (rng.integers(-size, size + 1, (n, 6)) for n in (20, 5, 4))
-    c[0], c[1] = q[0], p[0]
+    q, c, p = (rng.integers(-size, size + 1, (n, 6)) for n in (20, 5, 5))
+    c[0], c[1], c[2], p[4] = q[0], p[0], p[2], p[3]  # a row, another's pivot, its own pivot; equal pivots
     pivots = ptolemaic.Pivots(p)
-    bound = pivots.bounds(pivots.distances(q), pivots.distances(c))
+    bound = pivots.bounds(pivots.distances(q), c)
     for j, centroid in enumerate(c):
         exact = ptolemaic.exact(q, centroid)
         assert all(b * b * (1 - ptolemaic.SLACK) <= float(d) * (1 + ptolemaic.SLACK) for b, d in zip(bound[:, j], exact, strict=True))
