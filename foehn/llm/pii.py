@@ -1,27 +1,33 @@
 """Personal data by fixed formats and bootstrapped contexts (operator 8).
 
 Formats find emails, IP addresses, card and phone numbers. These seeds induce
-lexical patterns, the one and two words before them. Spark scores the graph of
-patterns and identifier-like strings in rounds: a pattern is as sure as the
-share of all its occurrences in the corpus that precede known identifiers, a
-string as its patterns together. Strings that end up sure are reported as kind
-``id``, wherever they stand after a sure pattern.
+lexical patterns: the one and two words before them, the one and two words
+after. A pattern is as sure as the share of all its occurrences in the corpus
+that stand at known identifiers. What stands at a sure pattern is a candidate,
+whatever its shape: a word less the punctuation around it, or a run of digits
+with blanks, brackets and joiners between. A candidate scores its patterns
+together, times the share of its own occurrences in the corpus that stand at
+sure patterns, so that words of the language stay what they are. Sure strings
+induce patterns in turn, until a round finds no new one. They are reported as
+kind ``id``, wherever they stand at a sure pattern.
 """
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import cached_property, reduce
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foehn.llm.store import numbered, stored
-from foehn.llm.textvec import SPACE, mix, slices
+from foehn.llm.textvec import SPACE, Texts, Words, mix, slices
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -31,17 +37,17 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-#: Identifier-like: a run of letters, digits and joiners with two digits or more.
-_IDENTIFIER = re.compile(r"[A-Za-z0-9][A-Za-z0-9._@#/+-]{4,62}[A-Za-z0-9]")
+#: Digits with the separators that the formats above allow between them.
+_DIGITS = re.compile(r"(?<!\w)[+(]{0,2}[0-9](?:[\x20().-]{0,2}[0-9])*+(?!\w)")
+_INNER = re.compile(r"[A-Za-z0-9\x80-\U0010ffff]")
+_AROUND = re.compile(r"^[^A-Za-z0-9\x80-\U0010ffff]+|[^A-Za-z0-9\x80-\U0010ffff]+$")
 
 #: Patterns count from this many different strings on; strings and patterns
-#: are sure from these scores on.
-SUPPORT, SURE, ROUNDS = 3, 0.5, 3
+#: are sure from this score on.
+SUPPORT, SURE = 3, 0.5
 
-#: Slots of the bitmap by which the counting pass passes over other words.
-SLOT_BITS = 20
-#: Pattern occurrences a counting task holds before it sends off their counts.
-HELD = 8_000_000
+#: Bits of the slots by which the passes over the texts leave out other words.
+SLOT_BITS = 22
 
 _U = np.uint64
 
@@ -85,36 +91,131 @@ def joined_spans(spans: list[list[tuple[int, int]]]) -> str:
     return ",".join(f"{kind}:{a}:{b}" for kind, own in zip(KINDS, spans, strict=True) for a, b in own)
 
 
-def _pattern_hashes(words) -> tuple[np.ndarray, np.ndarray]:
-    """For each word the patterns it ends: itself, and with the word before."""
-    one = words.hashes
-    two = np.zeros_like(one)
-    two[1:] = mix(one[:-1] * _U(0x9E3779B97F4A7C15) + one[1:])
-    first = words.first[:-1][np.diff(words.first) > 0]
-    two[first] = 0
-    return one, two
-
-
-_OCCURRENCE = pa.struct([("seed", pa.bool_()), ("start", pa.int32()), ("end", pa.int32()), ("string", pa.int64()), ("one", pa.int64()), ("two", pa.int64())])
-_FOUND = "uid long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, base string, occurrences array<struct<seed boolean, start int, end int, string long, one long, two long>>"
+def _pairs(words: Words, factor: int) -> np.ndarray:
+    """For each word the hash of it and the next one of its text; 0 at the last."""
+    two = np.zeros_like(words.hashes)
+    two[:-1] = mix(words.hashes[:-1] * _U(factor) + words.hashes[1:])
+    two[words.first[1:][words.counts() > 0] - 1] = 0
+    return two
+
+
+def _before(words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """For each word the patterns that end with it: itself, and with the word before."""
+    two = np.zeros_like(words.hashes)
+    two[1:] = _pairs(words, 0x9E3779B97F4A7C15)[:-1]
+    return words.hashes, two
+
+
+def _after(words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """For each word the patterns that begin with it: itself, and with the next word."""
+    return mix(words.hashes ^ _U(0xA4093822299F31D0)), _pairs(words, 0x082EFA98EC4E6C89)
+
+
+class Contexts:
+    """Patterns of a slice by word, 0 where nothing stands at them, in four
+    kinds: one and two words before, one and two words after."""
+
+    def __init__(self, texts: Texts):
+        self.texts, self.words = texts, texts.words(SPACE)
+        some = self.words.counts() > 0
+        self.before = [x.copy() for x in _before(self.words)]
+        self.after = list(_after(self.words))
+        for x in self.before:
+            x[self.words.first[1:][some] - 1] = 0
+        for x in self.after:
+            x[self.words.first[:-1][some]] = 0
+
+    @cached_property
+    def forms(self) -> tuple[np.ndarray, np.ndarray]:
+        """For each word what instances at it are counted by: the word less
+        the punctuation around it, or with the next one."""
+        inner = self.texts.inner(self.words)
+        return inner, _pairs(Words(inner, self.words.start, self.words.end, self.words.first), 0x9E3779B97F4A7C15)
+
+    def of(self, text: int, i: int, e: int) -> list[int]:
+        """Patterns at words i to e of the text, by kind."""
+        first, end = self.words.first[text], self.words.first[text + 1]
+        left = [int(x[i - 1].view(np.int64)) if i > first else 0 for x in self.before]
+        return left + [int(x[e + 1].view(np.int64)) if e + 1 < end else 0 for x in self.after]
+
+
+class Places:
+    """Instances of one text: what stands at a word, by code points."""
+
+    def __init__(self, contexts: Contexts, text: int):
+        texts, words = contexts.texts, contexts.words
+        self.low, self.first = int(texts.limits[text]), int(words.first[text])
+        own = texts.buf[self.low : texts.limits[text + 1]]
+        self.string = own.tobytes().decode()
+        self.points = np.flatnonzero((own & 0xC0) != 0x80)
+        self.start = words.start[self.first : words.first[text + 1]] - self.low
+        self.end = words.end[self.first : words.first[text + 1]] - self.low
+        self.starts, self.ends, self.covered = {}, {}, set()
+        for m in _DIGITS.finditer(self.string):
+            i, e = self.word_at(m.start()), self.word_at(m.end() - 1)
+            around = self.string[self.limits(i)[0] : m.start()] + self.string[m.end() : self.limits(e)[1]]
+            if e > i and not _INNER.search(around):
+                self.starts.setdefault(i, (m.span(), e))
+                self.ends[e] = (m.span(), i)
+                self.covered.update(range(i, e + 1))
+
+    def word_at(self, point: int) -> int:
+        return int(np.searchsorted(self.start, self.points[point], side="right")) - 1 + self.first
+
+    def limits(self, i: int) -> tuple[int, int]:
+        return tuple(np.searchsorted(self.points, (self.start[i - self.first], self.end[i - self.first])).tolist())
+
+    def word(self, i: int) -> tuple[int, int] | None:
+        """Limits of the word less the punctuation around it, unless it is
+        part of a run of digits."""
+        if i in self.covered:
+            return None
+        a, b = self.limits(i)
+        inner = _AROUND.sub("", self.string[a:b])
+        if not inner:
+            return None
+        a += self.string[a:b].index(inner)
+        return a, a + len(inner)
+
+    def from_word(self, i: int) -> tuple[tuple[int, int] | None, int, int]:
+        """The instance that begins at word i, and its first and last word."""
+        span, e = self.starts.get(i, (None, i))
+        return span or self.word(i), i, e
+
+    def to_word(self, e: int) -> tuple[tuple[int, int] | None, int, int]:
+        """The instance that ends at word e, and its first and last word."""
+        span, i = self.ends.get(e, (None, e))
+        return span or self.word(e), i, e
+
+
+def _string(text: str) -> int:
+    return int.from_bytes(hashlib.blake2b(text.encode().lower(), digest_size=8).digest(), "little", signed=True)
+
+
+def _key(text: bytes) -> bytes:
+    """128 bits that stand for a text: rows of equal text have equal spans."""
+    return hashlib.blake2b(text, digest_size=16).digest()
+
+
+_SEED = pa.struct([("string", pa.int64()), ("patterns", pa.list_(pa.int64()))])
+_FOUND = "text_key binary, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, base string, seeds array<struct<string long, patterns array<long>>>"
 
 
 def find(docs: DataFrame, text: str, keep: list[str]) -> DataFrame:
-    """keep with the base spans of each row and all identifier-like strings
-    (base ones are seeds) with the patterns before them."""
+    """keep with the base spans of each row, which are seeds, and the patterns
+    they stand at."""
     kinds = dict(docs.dtypes)
     empty = hashlib.sha256(b"").hexdigest()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        uid = TaskContext.get().partitionId() << 33
         is_mark = np.array([48 <= b <= 57 or b == 64 for b in range(256)])
         for batch in batches:
             for row, to, texts in slices(batch.column(at)):
                 marks = np.concatenate(([0], np.cumsum(is_mark[texts.buf])))[texts.limits]
                 marked = np.flatnonzero(np.diff(marks))
-                rows = {c: [0] * len(texts) for c in ("n_email", "n_ip", "n_card", "n_phone")} | {"base_sha256": [empty] * len(texts), "base": [""] * len(texts), "occurrences": [[] for _ in range(len(texts))]}
-                words = texts.words(SPACE) if len(marked) else None
-                one, two = _pattern_hashes(words) if len(marked) else (None, None)
+                n = len(texts)
+                rows = {c: [0] * n for c in ("n_email", "n_ip", "n_card", "n_phone")} | {"base_sha256": [empty] * n, "base": [""] * n, "seeds": [[] for _ in range(n)]}
+                contexts = Contexts(texts) if len(marked) else None
                 for i in marked.tolist():
                     string = texts.buf[texts.limits[i] : texts.limits[i + 1]].tobytes().decode()
                     spans = base_spans(string)
@@ -122,28 +223,15 @@ def find(docs: DataFrame, text: str, keep: list[str]) -> DataFrame:
                         rows[f"n_{kind}"][i] = len(own)
                     rows["base"][i] = joined_spans(spans)
                     rows["base_sha256"][i] = hashlib.sha256(rows["base"][i].encode()).hexdigest()
-                    taken = sorted(x for own in spans for x in own)
-                    seen = [(True, a, b) for a, b in taken]
-                    next_ = 0
-                    for m in _IDENTIFIER.finditer(string):
-                        a, b = m.span()
-                        while next_ < len(taken) and taken[next_][1] <= a:
-                            next_ += 1
-                        if sum(c.isdigit() for c in m[0]) >= 2 and not (next_ < len(taken) and taken[next_][0] < b):
-                            seen.append((False, a, b))
-                    occurrences, ascii_ = rows["occurrences"][i], string.isascii()
-                    for seed, a, b in seen:
-                        byte = int(texts.limits[i]) + (a if ascii_ else len(string[:a].encode()))
-                        before = int(np.searchsorted(words.start, byte, side="right")) - 2
-                        if before >= words.first[i]:
-                            key = int.from_bytes(hashlib.blake2b(string[a:b].lower().encode(), digest_size=8).digest(), "little", signed=True)
-                            occurrences.append({"seed": seed, "start": a, "end": b, "string": key, "one": int(one[before].view(np.int64)), "two": int(two[before].view(np.int64))})
+                    if rows["base"][i]:
+                        place = Places(contexts, i)
+                        for a, b in (x for own in spans for x in own):
+                            rows["seeds"][i].append({"string": _string(string[a:b]), "patterns": contexts.of(i, place.word_at(a), place.word_at(b - 1))})
+                keys = [_key(texts.buf[a:b].tobytes()) for a, b in zip(texts.limits[:-1], texts.limits[1:], strict=True)]
                 part = batch.slice(row, to - row)
-                uids = pa.array(np.arange(uid, uid + len(texts)))
-                uid += len(texts)
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns[: len(keep)], uids, *(pa.array(rows[f"n_{k}"], pa.int64()) for k in KINDS), pa.array(rows["base_sha256"]), pa.array(rows["base"]), pa.array(rows["occurrences"], pa.list_(_OCCURRENCE))],
-                    names=[*keep, "uid", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "base", "occurrences"],
+                    [*part.columns[: len(keep)], pa.array(keys, pa.binary()), *(pa.array(rows[f"n_{k}"], pa.int64()) for k in KINDS), pa.array(rows["base_sha256"]), pa.array(rows["base"]), pa.array(rows["seeds"], pa.list_(_SEED))],
+                    names=[*keep, "text_key", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "base", "seeds"],
                 )
 
     at = keep.index(text) if text in keep else len(keep)
@@ -151,57 +239,153 @@ def find(docs: DataFrame, text: str, keep: list[str]) -> DataFrame:
     return rows.mapInArrow(run, ", ".join([*(f"`{k}` {kinds[k]}" for k in keep), _FOUND]))
 
 
-def _counted(patterns: np.ndarray) -> pa.RecordBatch:
-    keys, n = np.unique(patterns, return_counts=True)
-    return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n)], names=["pattern", "n"])
+def _slots(df: DataFrame, column: str) -> np.ndarray:
+    """A bitmap of the column's leading bits, 2 ** SLOT_BITS of them at most."""
+    found = df.select(F.shiftrightunsigned(column, 64 - SLOT_BITS).alias("slot")).distinct()
+    marked = np.zeros(1 << SLOT_BITS, bool)
+    for r in found.toLocalIterator():
+        marked[r[0]] = True
+    return np.packbits(marked)
+
+
+def _hit(hashes: np.ndarray, marked: np.ndarray) -> np.ndarray:
+    return marked[(hashes >> _U(64 - SLOT_BITS)).astype(np.int64)] & (hashes != 0)
+
+
+def _counted(hashes: np.ndarray) -> pa.RecordBatch:
+    keys, n = np.unique(hashes, return_counts=True)
+    return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n)], names=["hash", "n"])
 
 
-def pattern_counts(docs: DataFrame, text: str, slots: np.ndarray) -> DataFrame:
-    """(pattern, n): occurrences in all texts of the patterns whose slot is
-    marked; others may be among them."""
+def _over(docs: DataFrame, text: str, slots: np.ndarray, one: Callable, schema: str) -> DataFrame:
+    """one(contexts, marked) over all slices of all texts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        marked = np.zeros(1 << SLOT_BITS, bool)
-        marked[slots] = True
-        held = [np.zeros(0, _U)]
+        marked = np.unpackbits(slots).astype(bool)
         for batch in batches:
             for _, _, texts in slices(batch.column(0)):
-                both = np.concatenate(_pattern_hashes(texts.words(SPACE)))
-                held.append(both[marked[(both >> _U(64 - SLOT_BITS)).astype(np.int64)]])
-                if sum(map(len, held)) > HELD:
-                    yield _counted(np.concatenate(held))
-                    held = [np.zeros(0, _U)]
-        yield _counted(np.concatenate(held))
-
-    return docs.select(F.coalesce(F.col(text), F.lit("")).alias("text")).mapInArrow(run, "pattern long, n long").groupBy("pattern").agg(F.sum("n").alias("n"))
-
-
-def sure_occurrences(spark: SparkSession, docs: DataFrame, text: str, found: DataFrame) -> DataFrame:
-    """(uid, start, end) of the strings that the patterns make sure."""
-    seen = found.select("uid", F.explode("occurrences").alias("o")).select("uid", "o.*")
-    edges = seen.select("seed", "string", F.explode(F.array_distinct(F.array("one", "two"))).alias("pattern")).where("pattern != 0")
-    edges = edges.groupBy("pattern", "string").agg(F.max("seed").alias("seed"), F.count("*").alias("times"))
-    edges = stored(spark, edges, "pattern-edges")
-    # a pattern must follow several strings, a seed among them or after a round a sure string
-    wide = edges.groupBy("pattern").agg(F.count("*").alias("strings")).where(F.col("strings") >= SUPPORT).select("pattern")
-    slot = F.shiftrightunsigned("pattern", 64 - SLOT_BITS)
-    slots = np.array([r[0] for r in wide.select(slot.alias("slot")).distinct().toLocalIterator()], np.int64)  # at most 2 ** SLOT_BITS
-    counted = pattern_counts(docs, text, slots).join(wide, "pattern")
-    edges = stored(spark, edges.join(counted, "pattern"), "scored-edges")
-    scores = edges.where("seed").select("string", F.lit(1.0).alias("score")).distinct()
-    for _ in range(ROUNDS):
-        known = edges.join(scores, "string", "left").withColumn("score", F.coalesce("score", F.lit(0.0)))
-        sure = known.groupBy("pattern").agg(F.sum(F.col("score") * F.col("times")).alias("hits"), F.count(F.when(F.col("score") >= SURE, 1)).alias("support"), F.max("n").alias("n"))
-        sure = sure.where(F.col("support") >= SUPPORT).select("pattern", F.least(F.lit(1.0), F.col("hits") / F.col("n")).alias("sure"))
-        sure = stored(spark, sure.where(F.col("sure") >= SURE), "sure-patterns")
-        joint = 1 - F.exp(F.sum(F.log(1 - F.least("sure", F.lit(0.999)))))
-        scores = edges.join(sure, "pattern").groupBy("string").agg(F.max("seed").alias("seed"), joint.alias("joint"))
-        scores = scores.select("string", F.when(F.col("seed"), 1.0).otherwise(F.col("joint")).alias("score"))
-        seeds = edges.where("seed").select("string", F.lit(1.0).alias("score")).distinct()
-        scores = stored(spark, scores.unionByName(seeds).groupBy("string").agg(F.max("score").alias("score")), "string-scores")
-    strings = scores.where(F.col("score") >= SURE).select("string")
-    hits = seen.where("not seed").join(strings, "string", "left_semi")
-    hits = hits.select("uid", "start", "end", F.explode(F.array_distinct(F.array("one", "two"))).alias("pattern")).join(sure.select("pattern"), "pattern", "left_semi")
-    return hits.select("uid", "start", "end").distinct()
+                yield from one(Contexts(texts), marked)
+
+    return docs.select(F.coalesce(F.col(text), F.lit("")).alias("text")).mapInArrow(run, schema)
+
+
+def corpus_counts(docs: DataFrame, text: str, slots: np.ndarray, of_patterns: bool) -> DataFrame:
+    """(hash, n): occurrences in all texts of the patterns, or else of the
+    forms, whose slot is marked; others may be among them."""
+    def one(contexts: Contexts, marked: np.ndarray):
+        hashes = np.concatenate([*contexts.before, *contexts.after] if of_patterns else contexts.forms)
+        yield _counted(hashes[_hit(hashes, marked)])
+
+    return _over(docs, text, slots, one, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n"))
+
+
+def instances(docs: DataFrame, text: str, slots: np.ndarray) -> DataFrame:
+    """What stands at the patterns whose slot is marked, base spans aside."""
+    def one(contexts: Contexts, marked: np.ndarray):
+        found = {c: [] for c in ("text_key", "start", "end", "string", "form", "kind", "pattern")}
+        at = [np.flatnonzero(_hit(x, marked)) for x in (*contexts.before, *contexts.after)]
+        hits = np.concatenate(at)
+        kinds = np.repeat(np.arange(4), [len(x) for x in at])
+        order = np.argsort(hits, kind="stable")
+        text_of = np.searchsorted(contexts.words.first, hits, side="right") - 1
+        now, place, taken, key = -1, None, [], b""
+        for k in order.tolist():
+            j, kind = int(hits[k]), int(kinds[k])
+            if text_of[k] != now:
+                now = int(text_of[k])
+                place = Places(contexts, now)
+                taken = _merged(base_spans(place.string))
+                key = _key(place.string.encode())
+            span, i, e = place.from_word(j + 1) if kind < 2 else place.to_word(j - 1)
+            if span and not _overlaps(taken, *span):
+                pattern = ((*contexts.before, *contexts.after)[kind])[j].view(np.int64)
+                for c, v in zip(found, (key, *span, _string(place.string[slice(*span)]), int(contexts.forms[e > i][i].view(np.int64)), kind, int(pattern)), strict=True):
+                    found[c].append(v)
+        types = [pa.binary(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
+        yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(found.values(), types, strict=True)], names=list(found))
+
+    return _over(docs, text, slots, one, "text_key binary, start int, end int, string long, form long, kind int, pattern long")
+
+
+def _merged(spans: list[list[tuple[int, int]]]) -> list[tuple[int, int]]:
+    """All spans in order, overlapping ones as one."""
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(x for own in spans for x in own):
+        if out and a < out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
+    return out
+
+
+def _overlaps(taken: list[tuple[int, int]], a: int, b: int) -> bool:
+    at = bisect.bisect_left(taken, (b, 0))
+    return at > 0 and taken[at - 1][1] > a
+
+
+def contexts_of(docs: DataFrame, text: str, slots: np.ndarray) -> DataFrame:
+    """(string, pattern) of all instances whose form's slot is marked."""
+    def one(contexts: Contexts, marked: np.ndarray):
+        words = contexts.words
+        hits = np.flatnonzero(_hit(contexts.forms[0], marked) | _hit(contexts.forms[1], marked))
+        text_of = np.searchsorted(words.first, hits, side="right") - 1
+        strings, patterns, now, place = [], [], -1, None
+        for j, t in zip(hits.tolist(), text_of.tolist(), strict=True):
+            if t != now:
+                now, place = t, Places(contexts, t)
+            span, i, e = place.from_word(j)
+            if span:
+                own = [p for p in contexts.of(t, i, e) if p]
+                strings += [_string(place.string[slice(*span)])] * len(own)
+                patterns += own
+        yield pa.RecordBatch.from_arrays([pa.array(strings, pa.int64()), pa.array(patterns, pa.int64())], names=["string", "pattern"])
+
+    return _over(docs, text, slots, one, "string long, pattern long")
+
+
+def sure_instances(spark: SparkSession, docs: DataFrame, text: str, found: DataFrame) -> DataFrame | None:
+    """(text_key, start, end) of the strings that the patterns make sure, None
+    without any. Each round needs a new sure pattern, so the rounds end; they
+    read only what the patterns and strings that are new in them stand at."""
+    union = lambda tables: reduce(DataFrame.unionByName, tables)
+    edges = found.select(F.explode("seeds").alias("s")).select("s.string", F.explode("s.patterns").alias("pattern")).where("pattern != 0")
+    contexts = [stored(spark, edges.groupBy("pattern", "string").agg(F.count("*").alias("times")), "pattern-edges")]
+    known = [contexts[0].select("string").distinct()]
+    counted, patterns, seen, forms, sure = [], [], [], [], None
+    while True:
+        wide = union(contexts).groupBy("pattern").agg(F.count("*").alias("strings"), F.sum("times").alias("hits")).where(F.col("strings") >= SUPPORT)
+        new = wide.join(union(counted), "pattern", "left_anti") if counted else wide
+        new = stored(spark, new.select("pattern"), "wide-patterns")
+        if not new.isEmpty():
+            n = corpus_counts(docs, text, _slots(new, "pattern"), True).withColumnRenamed("hash", "pattern")
+            counted.append(stored(spark, n.join(new, "pattern"), "pattern-counts"))
+        if not counted:
+            return None
+        scores = wide.join(union(counted), "pattern").select("pattern", F.least(F.lit(1.0), F.col("hits") / F.col("n")).alias("sure")).where(F.col("sure") >= SURE)
+        fresh = stored(spark, scores.join(union(patterns), "pattern", "left_anti") if patterns else scores, "sure-patterns")
+        if fresh.isEmpty():
+            break
+        patterns.append(fresh)
+        seen.append(stored(spark, instances(docs, text, _slots(fresh, "pattern")).join(fresh, "pattern"), "instances"))
+        at = union(seen)
+        new = at.select("form").distinct()
+        new = stored(spark, new.join(union(forms), "form", "left_anti") if forms else new, "forms")
+        n = corpus_counts(docs, text, _slots(new, "form"), False).withColumnRenamed("hash", "form")
+        forms.append(stored(spark, n.join(new, "form"), "form-counts"))
+        joint = at.groupBy("string", "pattern").agg(F.first("sure").alias("sure")).groupBy("string").agg((1 - F.exp(F.sum(F.log(1 - F.least("sure", F.lit(0.999)))))).alias("joint"))
+        hits = at.groupBy("string", "kind").agg(F.count("*").alias("hits")).groupBy("string").agg(F.max("hits").alias("hits"))
+        own = at.select("string", "form").distinct().join(union(forms), "form").groupBy("string").agg(F.sum("n").alias("n"))
+        score = F.col("joint") * F.least(F.lit(1.0), F.col("hits") / F.col("n"))
+        sure = stored(spark, joint.join(hits, "string").join(own, "string").where(score >= SURE).select("string"), "sure-strings")
+        new = stored(spark, sure.join(union(known).distinct(), "string", "left_anti"), "new-strings")
+        if new.isEmpty():
+            break
+        known.append(new)
+        slots = _slots(at.join(new, "string", "left_semi").select("form"), "form")
+        more = contexts_of(docs, text, slots).join(new, "string").groupBy("pattern", "string").agg(F.count("*").alias("times"))
+        contexts.append(stored(spark, more, "pattern-edges"))
+    if sure is None:
+        return None
+    return stored(spark, union(seen).join(union(known).distinct(), "string", "left_semi").select("text_key", "start", "end").distinct(), "sure-spans")
 
 
 def find_personal_data(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text: str = "text", keep: list[str] | None = None) -> DataFrame:
@@ -210,24 +394,38 @@ def find_personal_data(spark: SparkSession, docs: DataFrame, id_col: str = "doc_
     kind:start:end) and ``n_id``.
 
     Null texts are empty and hold nothing. Ids may be null or repeat; each row
-    is searched. Without seeds no pattern is sure."""
+    is searched, and rows of equal text get equal spans. Without seeds no
+    pattern is sure. An empty table gives an empty one."""
     keep = [id_col] if keep is None else keep
     found = stored(spark, find(docs, text, keep), "base-spans")
-    sure = sure_occurrences(spark, docs, text, found)
-    ids = sure.groupBy("uid").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("ids"))  # of one text
-    ids = ids.select(F.col("uid").alias("of"), F.size("ids").cast("long").alias("n_id"), F.array_join(F.transform("ids", lambda x: F.concat_ws(":", F.lit("id"), x["start"], x["end"])), ",").alias("more"))
-    # only rows with identifier-like strings that are no seeds can have more spans
-    open_ = F.exists("occurrences", lambda o: ~o["seed"])
-    joined = found.where(open_).join(ids, F.col("uid") == F.col("of"), "left").select(*found.columns, "n_id", "more")
-    joined = joined.unionByName(found.where(~open_), allowMissingColumns=True)
-    spans = F.concat_ws(",", F.when(F.col("base") != "", F.col("base")), F.col("more"))
-    return joined.select(*keep, "n_email", "n_ip", "n_card", "n_phone", "base_sha256", spans.alias("spans"), F.coalesce("n_id", F.lit(0).cast("long")).alias("n_id"))
+    columns = [*keep, "n_email", "n_ip", "n_card", "n_phone", "base_sha256"]
+    plain = [F.col("base").alias("spans"), F.lit(0).cast("long").alias("n_id")]
+    sure = sure_instances(spark, docs, text, found)
+    if sure is None:
+        return found.select(*columns, *plain)
+    ids = sure.groupBy("text_key").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("ids"))  # of one text
+    ids = ids.select(F.col("text_key").alias("of"), F.size("ids").cast("long").alias("more"), F.array_join(F.transform("ids", lambda x: F.concat_ws(":", F.lit("id"), x["start"], x["end"])), ",").alias("id_spans"))
+    # rows pass by the join unless their text's slot is one of a text with such spans
+    slot = F.xxhash64("text_key")
+    slots = _slots(sure.select(slot.alias("slot")), "slot")
+
+    @F.pandas_udf("boolean")
+    def open_(at: pd.Series) -> pd.Series:
+        marked = np.unpackbits(slots).astype(bool)
+        return pd.Series(marked[(at.to_numpy(np.int64).view(_U) >> _U(64 - SLOT_BITS)).astype(np.int64)])
+
+    found = found.withColumn("is_open", open_(slot))
+    joined = found.where("is_open").join(ids, F.col("text_key") == F.col("of"), "left")
+    spans = F.concat_ws(",", F.when(F.col("base") != "", F.col("base")), F.col("id_spans"))
+    joined = joined.select(*columns, spans.alias("spans"), F.coalesce("more", F.lit(0).cast("long")).alias("n_id"))
+    return joined.unionByName(found.where("not is_open").select(*columns, *plain))
 
 
 def redact(spark: SparkSession, docs: DataFrame, text: str = "text") -> DataFrame:
     """docs with every span replaced by its kind in angle brackets; where spans
     overlap, the first that starts, or else the longest, names all of it. A
-    column n_chars gets the new length; texts without spans stay as they are."""
+    column n_chars gets the new length; texts without spans stay as they are,
+    null ones null. Every row stays, repeated ones too."""
     rows, name = numbered(docs)
     found = find_personal_data(spark, rows, text=name[text], keep=rows.columns)
     clean = found.where("spans = ''").select(*rows.columns)

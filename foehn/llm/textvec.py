@@ -23,6 +23,8 @@ SLICE_BYTES = 1 << 20
 #: ALNUM: runs of ASCII letters, digits, underscore and all non-ASCII bytes.
 SPACE = np.array([not (b == 0x20 or 0x09 <= b <= 0x0D) for b in range(256)])
 ALNUM = np.array([b >= 0x80 or chr(b).isalnum() or b == 0x5F for b in range(256)])
+#: Letters, digits and all non-ASCII bytes.
+_INNER = np.array([b >= 0x80 or chr(b).isalnum() for b in range(256)])
 
 _powers: dict[str, np.ndarray] = {}
 
@@ -84,6 +86,23 @@ class Texts:
         hashes += (end - start).astype(_U)
         return Words(mix(hashes), start, end, np.searchsorted(start, limits))
 
+    def inner(self, words: Words) -> np.ndarray:
+        """Hashes of the words less the ASCII punctuation around them, 0 for
+        words of nothing else."""
+        buf, n = self.buf, len(self.buf)
+        if n == 0:
+            return words.hashes
+        good, at = _INNER[buf], np.arange(n)
+        start = np.minimum.accumulate(np.where(good, at, n)[::-1])[::-1][words.start]
+        end = np.maximum.accumulate(np.where(good, at, -1))[words.end - 1] + 1
+        some = start < words.end
+        start, end = start[some], end[some]
+        total = np.zeros(n + 1, _U)
+        np.cumsum(_BYTE_FOLDED[buf] * _power("up", n)[:n], out=total[1:], dtype=_U)
+        out = np.zeros(len(words), _U)
+        out[some] = mix((total[end] - total[start]) * _power("down", n)[start] + (end - start).astype(_U))
+        return out
+
 
 class Words:
     """Hashes and byte limits of all words of a slice; words of text i are
