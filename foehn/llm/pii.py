@@ -46,6 +46,8 @@ _AROUND = re.compile(r"^[^A-Za-z0-9\x80-\U0010ffff]+|[^A-Za-z0-9\x80-\U0010ffff]
 #: are sure from this score on.
 SUPPORT, SURE = 3, 0.5
 
+#: Occurrences a counting task holds before it sends off their counts.
+HELD = 8_000_000
 #: Bits of the slots by which the passes over the texts leave out other words.
 SLOT_BITS = 22
 
@@ -257,25 +259,33 @@ def _counted(hashes: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n)], names=["hash", "n"])
 
 
-def _over(docs: DataFrame, text: str, slots: np.ndarray, one: Callable, schema: str) -> DataFrame:
-    """one(contexts, marked) over all slices of all texts."""
+def _over(docs: DataFrame, text: str, slots: np.ndarray, each: Callable, schema: str) -> DataFrame:
+    """each(contexts, marked) over the contexts of all slices a task reads."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        marked = np.unpackbits(slots).astype(bool)
-        for batch in batches:
-            for _, _, texts in slices(batch.column(0)):
-                yield from one(Contexts(texts), marked)
+        read = (Contexts(texts) for batch in batches for _, _, texts in slices(batch.column(0)))
+        yield from each(read, np.unpackbits(slots).astype(bool))
 
     return docs.select(F.coalesce(F.col(text), F.lit("")).alias("text")).mapInArrow(run, schema)
 
 
+def each_of(one: Callable) -> Callable:
+    return lambda read, marked: (batch for contexts in read for batch in one(contexts, marked))
+
+
 def corpus_counts(docs: DataFrame, text: str, slots: np.ndarray, of_patterns: bool) -> DataFrame:
     """(hash, n): occurrences in all texts of the patterns, or else of the
     forms, whose slot is marked; others may be among them."""
-    def one(contexts: Contexts, marked: np.ndarray):
-        hashes = np.concatenate([*contexts.before, *contexts.after] if of_patterns else contexts.forms)
-        yield _counted(hashes[_hit(hashes, marked)])
+    def count(read: Iterator[Contexts], marked: np.ndarray):
+        held = [np.zeros(0, _U)]
+        for contexts in read:
+            hashes = np.concatenate([*contexts.before, *contexts.after] if of_patterns else contexts.forms)
+            held.append(hashes[_hit(hashes, marked)])
+            if sum(map(len, held)) > HELD:
+                yield _counted(np.concatenate(held))
+                held = [np.zeros(0, _U)]
+        yield _counted(np.concatenate(held))
 
-    return _over(docs, text, slots, one, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n"))
+    return _over(docs, text, slots, count, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n"))
 
 
 def instances(docs: DataFrame, text: str, slots: np.ndarray) -> DataFrame:
@@ -303,7 +313,7 @@ def instances(docs: DataFrame, text: str, slots: np.ndarray) -> DataFrame:
         types = [pa.binary(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
         yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(found.values(), types, strict=True)], names=list(found))
 
-    return _over(docs, text, slots, one, "text_key binary, start int, end int, string long, form long, kind int, pattern long")
+    return _over(docs, text, slots, each_of(one), "text_key binary, start int, end int, string long, form long, kind int, pattern long")
 
 
 def _merged(spans: list[list[tuple[int, int]]]) -> list[tuple[int, int]]:
@@ -339,7 +349,7 @@ def contexts_of(docs: DataFrame, text: str, slots: np.ndarray) -> DataFrame:
                 patterns += own
         yield pa.RecordBatch.from_arrays([pa.array(strings, pa.int64()), pa.array(patterns, pa.int64())], names=["string", "pattern"])
 
-    return _over(docs, text, slots, one, "string long, pattern long")
+    return _over(docs, text, slots, each_of(one), "string long, pattern long")
 
 
 def sure_instances(spark: SparkSession, docs: DataFrame, text: str, found: DataFrame) -> DataFrame | None:
