@@ -1,8 +1,9 @@
 """WARC archives as a chunked record table (operator 4).
 
 Writing: records become rows (record, chunk number, bytes) of at most
-``CHUNK`` bytes each; a task streams its rows into one gzip member per record
-and never holds a whole record. Reading: a task streams an archive and yields
+``CHUNK`` bytes each, and only such rows are shuffled and sorted; a task
+streams them into one gzip member per record, with the SHA-1 carried from chunk
+to chunk and compared with the header's, and never holds a whole record. Reading: a task streams an archive and yields
 the same kind of rows, each with the SHA-1 of the payload up to its end.
 """
 
@@ -42,13 +43,16 @@ def chunk_rows(pages: DataFrame, min_revisit_bytes: int = 0, chunk: int = CHUNK)
         "*", F.sha1("payload").alias("digest"), F.octet_length("payload").cast("long").alias("payload_bytes")
     )
     holders = pages.where(F.col("payload_bytes") >= min_revisit_bytes).groupBy("digest").agg(F.max("page_id").alias("holder"), F.count("*").alias("copies"))
-    rows = pages.join(holders.where("copies > 1").select("digest", "holder"), "digest", "left")
-    refers = F.when((F.col("payload_bytes") >= min_revisit_bytes) & ~F.col("page_id").eqNullSafe(F.col("holder")), F.col("holder"))
-    rows = rows.withColumn("refers_to", refers)
+    # chunk numbers first, so that no row but the input's holds more than a chunk
     n_chunks = F.greatest(F.lit(1), F.ceil(F.col("payload_bytes") / chunk)).cast("int")
-    pieces = F.transform(F.sequence(F.lit(0), n_chunks - 1), lambda i: F.substring(F.col("payload"), i * chunk + 1, F.lit(chunk)))
-    pieces = F.when(F.col("refers_to").isNull(), pieces).otherwise(F.array(F.lit(b"")))
-    return rows.select("page_id", "url", "digest", "payload_bytes", "refers_to", F.posexplode(pieces).alias("chunk_no", "data"))
+    rows = pages.withColumn("row_id", F.monotonically_increasing_id()).select("*", F.explode(F.sequence(F.lit(0), n_chunks - 1)).alias("chunk_no"))
+    rows = rows.select("page_id", "url", "digest", "payload_bytes", "row_id", "chunk_no", F.substring("payload", F.col("chunk_no") * chunk + 1, F.lit(chunk)).alias("data"))
+    rows = rows.join(holders.where("copies > 1").select("digest", "holder"), "digest", "left")
+    refers = F.when((F.col("payload_bytes") >= min_revisit_bytes) & ~F.col("page_id").eqNullSafe(F.col("holder")), F.col("holder"))
+    rows = rows.withColumn("refers_to", refers).where("refers_to IS NULL OR chunk_no = 0")
+    rows = rows.withColumn("data", F.when(F.col("refers_to").isNull(), F.col("data")).otherwise(F.lit(b"")))
+    # repeated rows differ in row_id, so the chunks of each stay together
+    return rows.sortWithinPartitions("digest", "page_id", "row_id", "chunk_no").select("page_id", "url", "digest", "payload_bytes", "refers_to", "chunk_no", "data")
 
 
 def _base32(hex_digest: str) -> str:
@@ -78,25 +82,32 @@ def write_archives(spark: SparkSession, rows: DataFrame, folder: str) -> DataFra
     """Write the chunk rows, one archive per partition, and return (path,
     records). Rows of a record must follow each other in chunk order, as
     chunk_rows gives them. Archives appear whole or not at all, and a repeated
-    task replaces its own."""
+    task replaces its own. A payload whose chunks don't add up to its digest
+    fails the job."""
+
+    def ended(member, row, sha) -> bytes:
+        if row["refers_to"] is None and sha.hexdigest() != row["digest"]:
+            raise ValueError(f"chunks of page {row['page_id']} do not have the digest {row['digest']}")
+        return member.compress(b"\r\n\r\n") + member.flush()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         path = f"{folder}/part-{TaskContext.get().partitionId():06d}.warc.gz"
         first = next((b for b in batches if b.num_rows), None)
         if first is None:
             return
-        records, member = 0, None
+        records, member, now, sha = 0, None, None, None
         with NewFile(path) as out:
             for batch in (b for part in ([first], batches) for b in part):
                 meta = batch.select(["page_id", "url", "digest", "payload_bytes", "refers_to", "chunk_no"]).to_pylist()
                 for row, data in zip(meta, batch.column("data"), strict=True):
                     if row.pop("chunk_no") == 0:
                         if member:
-                            out.write(member.compress(b"\r\n\r\n") + member.flush())
-                        member, records = zlib.compressobj(1, wbits=31), records + 1
+                            out.write(ended(member, now, sha))
+                        member, now, sha, records = zlib.compressobj(1, wbits=31), row, hashlib.sha1(), records + 1
                         out.write(member.compress(_head(**row)))
+                    sha.update(data.as_buffer())
                     out.write(member.compress(data.as_buffer()))
-            out.write(member.compress(b"\r\n\r\n") + member.flush())
+            out.write(ended(member, now, sha))
         yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array([records], pa.int64())], names=["path", "records"])
 
     return stored(spark, rows.mapInArrow(run, "path string, records long"), "warc-manifest")

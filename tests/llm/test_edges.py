@@ -2,6 +2,7 @@
 columns with clashing names, for every operator and pipeline stage."""
 
 import math
+import tempfile
 
 import pytest
 from pyspark.sql import functions as F
@@ -185,6 +186,28 @@ def test_warc(spark):
     assert rows(warc.warc_round_trip(spark, pages.limit(0))) == []
 
 
+def test_warc_of_several_hundred_chunks(spark):
+    big = "".join(chr(97 + i * i % 23) for i in range(400_000))
+    data = [(1, "a", big), (1, "a", big), (2, "b", big), (3, "c", big[:-1]), (None, "d", big + "é")]
+    pages = spark.createDataFrame(data, "page_id long, url string, html string").repartition(3)
+    chunks = warc.chunk_rows(pages, chunk=1000)
+    held = chunks.selectExpr("max(octet_length(data)) as m", "sum(octet_length(data)) as s", "count(*) as n").first()
+    assert tuple(held) == (1000, 400_000 + 399_999 + 400_002, 400 + 2 + 400 + 401)
+    archives = warc.write_archives(spark, chunks, tempfile.mkdtemp(prefix="foehn-test-warc-"))
+    back = rows(warc.read_archives(archives, chunk=777))
+    texts, ends = {}, []
+    for r in sorted(back, key=lambda r: (r["path"], r["record_no"], r["chunk_no"])):
+        texts[r["path"], r["record_no"]] = texts.get((r["path"], r["record_no"]), b"") + r["data"]
+        if r["last"]:
+            ends.append((r["page_id"], r["refers_to"], texts[r["path"], r["record_no"]].decode()))
+            assert r["refers_to"] or r["digest_so_far"] == r["header_digest"]
+    want = [(1, 2, ""), (1, 2, ""), (2, None, big), (3, None, big[:-1]), (None, None, big + "é")]
+    assert sorted(ends, key=str) == sorted(want, key=str)
+    bad = chunks.where("NOT (page_id = 3 AND chunk_no = 7)")
+    with pytest.raises(Exception, match="do not have the digest"):
+        warc.write_archives(spark, bad, tempfile.mkdtemp(prefix="foehn-test-warc-"))
+
+
 VECTORS = [
     (0, [1.0, 0.0], 1), (50, [1.0, 0.0], 1), (50, [1.0, 0.0], 1), (3, [0.99, 0.01], 1), (4, [0.0, 1.0], 1), (5, None, 1), (6, [float("nan"), 1.0], 1), (7, [None, 1.0], 1),
     (8, [0.0, 0.0], 1), (9, [1.0, 0.0], None), (10, [1.0, 0.0], 2), (11, [], 1), (12, [1.0, 0.0, 0.0], 1), (None, [2.0, 0.0], 1), (13, [float("inf"), 0.0], 1), (14, [1e-200, 0.0], 1),
