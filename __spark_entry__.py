@@ -424,6 +424,11 @@ def q_load_history(spark, d):
     return reduce(DataFrame.unionByName, recent).withColumnRenamed("start_time", "loaded_at")
 
 
+def q_landing_listing(spark, d):
+    """Landed files in path order, one folder per station and batch."""
+    return Landed(spark, d).listing()
+
+
 def q_load_recent_files(spark, d):
     """R2 on landed files: two overlapping batches upserted, table read back."""
     return portable(Landed(spark, d).recent().read("recent"))
@@ -588,6 +593,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "source_dedup": q_source_dedup,
     "new_files": q_new_files,
     "load_history": q_load_history,
+    "landing_listing": q_landing_listing,
     "load_recent_files": q_load_recent_files,
     "stream_recent_files": q_stream_recent_files,
     "load_now_files": q_load_now_files,

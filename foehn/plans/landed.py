@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..operators import tables
 from ..schema import BRONZE_COLUMNS, STATION_COLUMNS
 from ..session import scratch_path
+from ..sources.inventory import list_files
 from ..streaming import ingest
 from . import analogue as A
 from . import bronze
@@ -107,6 +108,16 @@ class Landed:
         self._done(bronze.load_stations(self.spark, land_, self.table_of("stations"), A.STATIONS_LOADED_AT, self.ledger, glob=GLOB), "stations")
         return self
 
+    def listing(self) -> DataFrame:
+        """The files of two landed batches, a folder per station, as a
+        user lists them before a load: in path order, without reading them."""
+        land_ = self.land_of("listing")
+        for n, window in enumerate(RECENT_BATCHES):
+            lines = A.raw_csv_lines(self.spark, self.sf_dir, where=_between(*window))
+            land(lines, f"{land_}/batch-{n}", F.element_at(F.split("file_name", "/"), 1))
+        folder = F.regexp_extract("file_path", "(batch-[0-9]+/run=[^/]+)/[^/]+$", 1)
+        return list_files(self.spark, land_, GLOB).select(folder.alias("folder"), (F.col("size") > 0).alias("has_lines"))
+
     def read(self, tier: str) -> DataFrame:
         """The tier's table without file names (Spark chose them).  The landed
         files are removed: the table holds what was loaded."""

@@ -549,6 +549,9 @@ _BATCHES = "WITH b AS (\n" + "\nUNION ALL\n".join(
 k AS (SELECT *, row_number() OVER (PARTITION BY station_abbr, reference_timestamp, batch
         ORDER BY {", ".join(f"{c} ASC NULLS LAST" for c in MEASURE_CODES)}) AS rn FROM b WHERE reference_timestamp IS NOT NULL)
 """
+ORACLE["landing_listing"] = "\nUNION ALL\n".join(
+    f"SELECT DISTINCT 'batch-{n}/run=' || CAST(user_id AS VARCHAR) AS folder, TRUE AS has_lines FROM events WHERE {w}" for n, w in enumerate(_BATCH_WHERE)
+) + "\nORDER BY folder"
 ORACLE["load_recent_files"] = _BATCHES + """
 SELECT * EXCLUDE (batch, rn) FROM k WHERE rn = 1
 QUALIFY row_number() OVER (PARTITION BY station_abbr, reference_timestamp ORDER BY batch DESC) = 1"""

@@ -31,6 +31,7 @@ SORTED = {
     "canton_series": "measurement_timestamp DESC, station_name",
     "silver_station_series": "reference_timestamp DESC, station_name",
     "series_in_list": "station_name, measurement_timestamp",
+    "landing_listing": "folder || '/'",
 }
 
 
