@@ -378,6 +378,31 @@ def q_canton_daily_materialized(spark, d):
     return portable(analytics.canton_daily(fact, _dim(spark, d), A.AS_OF, days=30))
 
 
+def _bucketed(spark, d):
+    """Fact and dimension as tables bucketed for their join."""
+    from foehn.operators import buckets
+    from foehn.session import scratch_path
+
+    path = scratch_path(spark, "bucketed")
+    name = path.rsplit("-", 1)[1]
+    fact, dim = _fact_table(spark, d), _dim(spark, d)
+    fact = buckets.write_fact(
+        fact, f"fact_{name}", f"{path}/fact", "station_key", "measurement_timestamp", 8, sort_by=["measurement_timestamp"], partition_by=["measurement_date"]
+    )
+    return fact, buckets.write_dimension(dim, f"dim_{name}", f"{path}/dim", "station_key", 8)
+
+
+def q_canton_daily_bucketed(spark, d):
+    """A14 with a dimension that is not broadcast: fact and dimension lie in
+    the same buckets, and the join moves neither."""
+    return portable(analytics.canton_daily(*_bucketed(spark, d), A.AS_OF, days=30))
+
+
+def q_hourly_station_bucketed(spark, d):
+    """A13 over bucketed tables."""
+    return portable(analytics.hourly_station(*_bucketed(spark, d), A.AS_OF))
+
+
 def q_silver_touched_refresh(spark, d):
     """K8/T4: silver written from a live tier that also holds later days and
     rows without a time, then, with the live tier as it is, only the touched
@@ -587,6 +612,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_live_keys": q_stream_live_keys,
     "canton_daily_sql": q_canton_daily_sql,
     "canton_daily_materialized": q_canton_daily_materialized,
+    "canton_daily_bucketed": q_canton_daily_bucketed,
+    "hourly_station_bucketed": q_hourly_station_bucketed,
     "silver_touched_refresh": q_silver_touched_refresh,
     "upsert_recent": q_upsert_recent,
     "upsert_stats": q_upsert_stats,

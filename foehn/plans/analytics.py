@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.metrics import avg_exact
 from ..functions.time import from_year, on_day_before, on_or_after_days_back, within_hours, year_range
+from ..operators.buckets import SLICE, is_sliced, join_sliced
 from ..operators.joins import join_dimension
 
 F_ = F.col
@@ -27,8 +28,10 @@ def _recent(fact: DataFrame, as_of: dt.date | None, days: int) -> DataFrame:
 
 
 def _join(fact: DataFrame, dim: DataFrame, dim_cols: Sequence[str]) -> DataFrame:
-    d = dim.select("station_key", *[c for c in dim_cols if c != "station_key"])
-    return join_dimension(fact, d, on="station_key")
+    kept = ["station_key", *[c for c in dim_cols if c != "station_key"]]
+    if is_sliced(fact) and is_sliced(dim):
+        return join_sliced(fact, dim.select(*kept, SLICE), "station_key")
+    return join_dimension(fact, dim.select(*kept), on="station_key")
 
 
 def recent_measurements(fact: DataFrame, as_of: dt.date | None, days: int = 7) -> DataFrame:

@@ -525,6 +525,8 @@ WHERE m.reference_timestamp >= {days_back(7)} AND s.station_canton = 'NATION_3'"
 ORACLE["stream_live_keys"] = with_(BRONZE[2]) + "SELECT DISTINCT station_abbr, reference_timestamp FROM b_now"
 ORACLE["canton_daily_sql"] = ORACLE["canton_daily"]
 ORACLE["canton_daily_materialized"] = ORACLE["canton_daily"]
+ORACLE["canton_daily_bucketed"] = ORACLE["canton_daily"]
+ORACLE["hourly_station_bucketed"] = ORACLE["hourly_station"]
 
 ORACLE["monthly_station_realtime"] = ORACLE["monthly_station"].replace(with_(*FACT, *DIM), with_(*FACT_RT, *DIM), 1)
 ORACLE["extremes_30d_realtime"] = ORACLE["extremes_30d"].replace(with_(*FACT, *DIM), with_(*FACT_RT, *DIM), 1)
