@@ -76,17 +76,18 @@ def read(spark: SparkSession, root: str, column: str, version: int | None = None
     return out.unionByName(newer.select(*base.columns))
 
 
-def replace_partitions(rows: DataFrame, touched: DataFrame, root: str, column: str) -> int:
+def replace_partitions(rows: DataFrame, touched: DataFrame, root: str, column: str, options: dict[str, str] | None = None) -> int:
     """Replace the ``touched`` partitions (a frame with ``column``, NULL for
     the NULL partition) of the current version by ``rows``, which hold rows of
     those partitions only; a touched partition without rows is gone.  All of
-    it becomes visible at once.  Returns the pointer's number."""
+    it becomes visible at once.  ``options`` go to the Parquet writer.  Returns
+    the pointer's number."""
     spark = rows.sparkSession
     version = tables.versions(spark, root)[-1]
     side, gen = _side(root, version), uuid.uuid4().hex
     gen = f"x{gen}"  # never read as a number
     path = f"{side}/gen={gen}"
-    rows.write.partitionBy(column).parquet(path)
+    rows.write.options(**(options or {})).partitionBy(column).parquet(path)
     kind = dict(rows.dtypes)[column]
     there = spark.read.schema(rows.schema).parquet(path).select(F.col(column).alias("part")).distinct().withColumn("gen", F.lit(gen))
     asked = touched.select(F.col(column).cast(kind).alias("asked")).distinct()

@@ -97,12 +97,13 @@ def remove_path(spark: SparkSession, path: str) -> None:
         fs.delete(p, True)
 
 
-def write_version(df: DataFrame, root: str, partition_by: Sequence[str] = ()) -> str:
-    """Write ``df`` as the next version and return its path."""
+def write_version(df: DataFrame, root: str, partition_by: Sequence[str] = (), options: dict[str, str] | None = None) -> str:
+    """Write ``df`` as the next version and return its path.  ``options`` go
+    to the Parquet writer."""
     spark = df.sparkSession
     vs = versions(spark, root)
     path = version_path(root, (vs[-1] if vs else 0) + 1)
-    w = df.write.mode("errorifexists")
+    w = df.write.mode("errorifexists").options(**(options or {}))
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)

@@ -17,6 +17,13 @@ from ..schema import BRONZE_COLUMNS, FINGERPRINT, STATION_COLUMNS
 SILVER_COLUMNS = BRONZE_COLUMNS + ["data_tier"]
 PARTITION_COLUMN = "measurement_date"
 
+#: Parquet writes the filter into row groups whose station dictionary outgrew
+#: its page; in the others the dictionary itself rules a station out.
+STATION_FILTER = {
+    "parquet.bloom.filter.enabled#station_abbr": "true",
+    "parquet.bloom.filter.expected.ndv#station_abbr": "10000",
+}
+
 
 def all_measurements(tiers: dict[str, DataFrame]) -> DataFrame:
     """The three bronze tiers stacked, tagged with tier and priority."""
@@ -84,6 +91,7 @@ def refresh_silver(
     tiers: dict[str, DataFrame],
     out_path: str,
     touched_dates: Iterable[dt.date] | DataFrame | None = None,
+    station_slots: int = 1,
 ) -> str:
     """K8/K9: materialise silver as Parquet partitioned by day; returns the
     path of the version written.
@@ -98,6 +106,11 @@ def refresh_silver(
     Files are rebalanced by day (AQE splits a heavy day, merges light ones)
     and sorted by station and time inside each file, which keeps the
     per-file min/max statistics tight for station and time predicates.
+    A day beyond one file's size is split by AQE into files that hold all
+    stations each; with ``station_slots`` (a day's bytes over a file's) it is
+    split by station instead, so that a station's rows of a day lie in one of
+    that many files, and a reader of one station skips the others by their
+    dictionaries or bloom filters.
     """
     from ..operators import tables
 
@@ -106,15 +119,16 @@ def refresh_silver(
     elif touched_dates is not None:
         tiers = restrict_dates(tiers, touched_dates)
     silver = silver_measurements(tiers).withColumn(PARTITION_COLUMN, F.to_date("reference_timestamp"))
-    out = silver.hint("rebalance", PARTITION_COLUMN).sortWithinPartitions(
-        PARTITION_COLUMN, "station_abbr", "reference_timestamp"
-    )
+    slot = F.pmod(F.xxhash64("station_abbr"), F.lit(station_slots))
+    together = [PARTITION_COLUMN, "station_slot"] if station_slots > 1 else [PARTITION_COLUMN]
+    out = silver.withColumn("station_slot", slot).hint("rebalance", *together)
+    out = out.sortWithinPartitions(PARTITION_COLUMN, "station_abbr", "reference_timestamp").drop("station_slot")
     current = tables.current_path(spark, out_path)
     if touched_dates is None or current is None:
-        return tables.write_version(out, out_path, [PARTITION_COLUMN])
+        return tables.write_version(out, out_path, [PARTITION_COLUMN], STATION_FILTER)
     if not isinstance(touched_dates, DataFrame):
         touched_dates = spark.createDataFrame([(d,) for d in set(touched_dates)], f"{PARTITION_COLUMN} date")
-    generations.replace_partitions(out, touched_dates, out_path, PARTITION_COLUMN)
+    generations.replace_partitions(out, touched_dates, out_path, PARTITION_COLUMN, STATION_FILTER)
     return current
 
 
