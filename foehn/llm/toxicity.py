@@ -150,7 +150,10 @@ def toxicity(spark: SparkSession, docs: DataFrame, labels: DataFrame, threshold:
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, **options) -> DataFrame:
-    """The rows of docs that score below threshold."""
+    """The rows of docs that score below threshold. Null texts score like
+    empty ones; null and repeated ids are ordinary, each row is judged by its
+    text. Without labels of both kinds all rows stay; no rows give none. Extra
+    columns are carried."""
     known = labels.where(~held_out("doc_id", 3)).select("doc_id", F.col("toxic").alias("label"))
     model = train(spark, docs.where(~held_out("doc_id", 3)), known, **options)
     rows, name = numbered(docs)
