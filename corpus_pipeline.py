@@ -15,27 +15,38 @@ from foehn.llm.store import stored
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that score as toxic go."""
+    """Documents that score as toxic go. Null and empty texts have the score of
+    no words; rows with null or repeated ids are judged by their text. Without
+    labels of both kinds nothing goes; no documents give none."""
     return toxicity.without_toxic(spark, docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate class stays."""
+    """One document of each near-duplicate class stays, that with the smallest
+    id; of repeated rows, one. Texts that are null or without words all stay;
+    no documents give none."""
     return ngram_join.keep_one(spark, docs)
 
 
 def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data is replaced by its kind."""
+    """Personal data is replaced by its kind, and n_chars follows. Every row
+    stays, repeated ones and those with null ids too; null and empty texts stay
+    as they are; no documents give none."""
     return pii.redact(spark, docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document stands as often as the mix of sources takes it."""
+    """Every document stands as often as the mix of sources takes it, up to three
+    times. A null source is a source of its own; null and empty texts stand
+    once; rows of equal id and size share their copies; no documents give
+    none."""
     return mixing.repeat_documents(spark, docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces with their places in fixed-length sequences."""
+    """Pieces with their places in fixed-length sequences. Every row is a
+    document, copies and null ids too; a null or empty text is one end id; no
+    documents give no pieces."""
     return packing.pack_documents(spark, docs, tokenizer_path())
 
 
@@ -47,9 +58,9 @@ STAGES = [
     ("best_fit_packing", pack),
 ]
 
-#: A trained classifier and a tokenizer have no SQL form. Tests hold the
-#: operators behind the stages against plain versions or held-out labels, and
-#: run() against columns, empty input and a count above 0, not row by row.
+#: A trained classifier and a tokenizer have no SQL form. A test holds every
+#: stage and run() against a plain version, row by row, on a small fixture
+#: (tests/llm/test_pipeline.py).
 ORACLE_SQL = None
 
 
