@@ -76,7 +76,9 @@ def page_chain(pages: DataFrame, by: list[str], cursor_col: str = "cursor", json
 
     Positions come from pointer doubling: after k rounds the first 2**k pages
     of every chain have theirs and every page knows the one 2**k ahead, so a
-    chain of n pages takes about log2(n) joins, whatever the cycles."""
+    chain of n pages takes about log2(n) joins, whatever the cycles.  All
+    sides are as many as the pages: they are joined by merging, so none of
+    them is collected by the driver to be broadcast, round after round."""
     key = [*by, "node"]
     link = F.try_element_at(F.filter("p.links", lambda x: x["rel"] == "next"), F.lit(1))["body"]["cursor"]
     # a cursor is marked, so that the first page's NULL is a node like others
@@ -90,16 +92,16 @@ def page_chain(pages: DataFrame, by: list[str], cursor_col: str = "cursor", json
     reached = stage(firsts.select(*by, F.lit("").alias("node"), F.lit(0).cast("long").alias("position")), "pages-reached")
     step, most = 1, landed.count()
     while step <= most:
-        onward = reached.join(jump, key).select(*by, F.col("ahead").alias("node"), (F.col("position") + step).alias("position"))
+        onward = reached.join(jump.hint("merge"), key).select(*by, F.col("ahead").alias("node"), (F.col("position") + step).alias("position"))
         reached = stage(reached.unionByName(onward).groupBy(*key).agg(F.min("position").alias("position")), "pages-reached")
         further = jump.select(*by, F.col("node").alias("__mid"), F.col("ahead").alias("__far"))
         mid = jump.withColumnRenamed("ahead", "__mid")
-        jump = stage(mid.join(further, [*by, "__mid"]).select(*key, F.col("__far").alias("ahead")), "pages-jump")
+        jump = stage(mid.join(further.hint("merge"), [*by, "__mid"]).select(*key, F.col("__far").alias("ahead")), "pages-jump")
         step *= 2
     named = landed.filter(F.col("next").isNotNull()).select(*by, F.col("next").alias("node")).distinct()
     every = landed.select(*key).unionByName(named).unionByName(firsts.withColumn("node", F.lit(""))).distinct()
     then = reached.select(*by, F.col("node").alias("next"), F.col("position").alias("__then"))
-    known = every.join(landed, key, "left").join(reached, key, "left").join(then, [*by, "next"], "left")
+    known = every.join(landed.hint("merge"), key, "left").join(reached.hint("merge"), key, "left").join(then.hint("merge"), [*by, "next"], "left")
     status = (
         F.when(F.col("copies").isNull(), "missing")
         .when(F.col("copies") > 1, "repeated")
