@@ -9,6 +9,8 @@ key wins depends on their values alone.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,6 +46,60 @@ def land(lines: DataFrame, root: str, folder: Column, encoding: str = "UTF-8") -
     )
 
 
+#: Spark's folder of a partition value that is NULL or empty, and the
+#: characters that its folder names escape.
+NO_FOLDER = "__HIVE_DEFAULT_PARTITION__"
+ESCAPED = {chr(c) for c in range(1, 32)} | set("\x7f\"#%'*/:=?\\{[]^")
+
+
+def land_folders(lines: DataFrame, root: str, folder: Column) -> None:
+    """``land`` for a folder per station: one file in every folder.
+
+    Hadoop's local file system starts four processes for a file it creates
+    (modes of file and checksum), which is most of the time where files are
+    many and small.  There, tasks write the files themselves: a task has all
+    lines of its folders, in folder order, and holds one batch of them.  A file
+    gets its name when it is whole, and a task that runs again replaces it.
+    In any other store the files go through Spark's writer."""
+    fs, path = tables._fs(lines.sparkSession, root)
+    if fs.getUri().getScheme() != "file":
+        return land(lines, root, folder)
+    local, name, escaped, spare = path.toUri().getPath(), f"part-00000-{uuid.uuid4().hex}.csv", ESCAPED, NO_FOLDER
+
+    def write(batches):
+        from itertools import groupby
+
+        import pyarrow as pa
+        from pyarrow import fs as pafs
+
+        disk, attempt = pafs.LocalFileSystem(), uuid.uuid4().hex
+        files, current, place, out = 0, None, None, None
+
+        def close():
+            if out is not None:
+                out.close()
+                disk.move(f"{place}/.{attempt}", f"{place}/{name}")
+
+        for batch in batches:
+            rows = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
+            for run, group in groupby(rows, key=lambda r: r[0]):
+                if run != current:
+                    close()
+                    text = "".join(f"%{ord(c):02X}" if c in escaped else c for c in run)
+                    current, place = run, f"{local}/run={text}"
+                    disk.create_dir(place, recursive=True)
+                    out = disk.open_output_stream(f"{place}/.{attempt}")
+                    out.write(b"line\n")
+                    files += 1
+                out.write("".join(f"{line or ''}\n" for _, line in group).encode())
+        close()
+        yield pa.RecordBatch.from_pydict({"files": pa.array([files], pa.int64())})
+
+    run = F.coalesce(F.nullif(folder, F.lit("")), F.lit(spare))
+    rows = lines.select(run.alias("run"), "line").repartition("run").sortWithinPartitions("run")
+    rows.mapInArrow(write, "files long").agg(F.sum("files")).first()
+
+
 class Landed:
     """A fresh landing folder, table folders and a ledger in the shared
     scratch folder."""
@@ -114,7 +170,7 @@ class Landed:
         land_ = self.land_of("listing")
         for n, window in enumerate(RECENT_BATCHES):
             lines = A.raw_csv_lines(self.spark, self.sf_dir, where=_between(*window))
-            land(lines, f"{land_}/batch-{n}", F.element_at(F.split("file_name", "/"), 1))
+            land_folders(lines, f"{land_}/batch-{n}", F.element_at(F.split("file_name", "/"), 1))
         folder = F.regexp_extract("file_path", "(batch-[0-9]+/run=[^/]+)/[^/]+$", 1)
         return list_files(self.spark, land_, GLOB).select(folder.alias("folder"), (F.col("size") > 0).alias("has_lines"))
 
