@@ -386,10 +386,11 @@ def _bucketed(spark, d):
     path = scratch_path(spark, "bucketed")
     name = path.rsplit("-", 1)[1]
     fact, dim = _fact_table(spark, d), _dim(spark, d)
+    n = max(8, buckets.bucket_count_of_rows(max(fact.count(), dim.count() * buckets.SLICES)))
     fact = buckets.write_fact(
-        fact, f"fact_{name}", f"{path}/fact", "station_key", "measurement_timestamp", 8, sort_by=["measurement_timestamp"], partition_by=["measurement_date"]
+        fact, f"fact_{name}", f"{path}/fact", "station_key", "measurement_timestamp", n, sort_by=["measurement_timestamp"], partition_by=["measurement_date"]
     )
-    return fact, buckets.write_dimension(dim, f"dim_{name}", f"{path}/dim", "station_key", 8)
+    return fact, buckets.write_dimension(dim, f"dim_{name}", f"{path}/dim", "station_key", n)
 
 
 def q_canton_daily_bucketed(spark, d):

@@ -15,9 +15,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.splits import MAX_ROWS_PER_TASK
+
 SLICE = "key_slice"
 #: Slices of a key, and bytes of a bucket to aim at.
 SLICES, BUCKET_BYTES = 8, 128 << 20
+#: Rows of a bucket to aim at: one task sorts the rows that it writes into a
+#: bucket, of all partitions (days).
+BUCKET_ROWS = MAX_ROWS_PER_TASK
 
 
 def bucket_count(partition_bytes: int, bucket_bytes: int = BUCKET_BYTES) -> int:
@@ -25,6 +30,11 @@ def bucket_count(partition_bytes: int, bucket_bytes: int = BUCKET_BYTES) -> int:
     return max(1, -(-partition_bytes // bucket_bytes))
 
 
+def bucket_count_of_rows(rows: int, bucket_rows: int = BUCKET_ROWS) -> int:
+    """Buckets for a fact of so many rows."""
+    return max(1, -(-rows // bucket_rows))
+
+
 def _save(df: DataFrame, table: str, path: str, key: str, buckets: int, sort_by: Sequence[str], partition_by: Sequence[str]) -> None:
     # the exchange places rows as the buckets do, so a task writes one file per bucket and partition
     writer = df.repartition(buckets, key, SLICE).write.format("parquet").bucketBy(buckets, key, SLICE).sortBy(key, SLICE, *sort_by)
