@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foehn.llm.components import connected_components
-from foehn.llm.store import numbered, stored
+from foehn.llm.store import numbered, releasing, stored
 from foehn.llm.textvec import ALNUM, mix, slices
 
 N_WORDS = 5
@@ -86,7 +86,7 @@ def signatures(docs: DataFrame, text: str, n: int, bands: int, rows: int) -> Dat
                     names=["class", "bands"],
                 )
 
-    return docs.select(class_of(text), F.lower(F.col(text)).alias("text")).mapInArrow(run, "class long, bands array<long>")
+    return docs.select(class_of(text), F.lower(F.col(text)).alias("text")).mapInArrow(releasing(run), "class long, bands array<long>")
 
 
 def class_of(text: str):
@@ -107,7 +107,7 @@ def shingle_sets(items: DataFrame, n: int, keep: list[str]) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column(k) for k in keep] + [pa.array(sets, pa.binary())], names=[*keep, "grams"])
 
     kinds = dict(items.dtypes)
-    return items.withColumn("text", F.lower("text")).mapInArrow(run, ", ".join(f"`{k}` {kinds[k]}" for k in keep) + ", grams binary")
+    return items.withColumn("text", F.lower("text")).mapInArrow(releasing(run), ", ".join(f"`{k}` {kinds[k]}" for k in keep) + ", grams binary")
 
 
 def similar_pairs(left: list[np.ndarray], right: list[np.ndarray], threshold: float) -> np.ndarray:

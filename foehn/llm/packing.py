@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from foehn.llm.store import stored
+from foehn.llm.store import releasing, stored
 from foehn.llm.textvec import SPACE, Texts, slices
 
 CAPACITY = 4096
@@ -123,7 +123,7 @@ def pieces(docs: DataFrame, id_col: str, text: str, tokenizer: str, capacity: in
                     names=["id", "piece", "start", "length", "ids_crc32", "part", "nth"],
                 )
 
-    return docs.select(id_col, text).mapInArrow(run, f"id {kind}, piece int, start long, length long, ids_crc32 long, part long, nth long")
+    return docs.select(id_col, text).mapInArrow(releasing(run), f"id {kind}, piece int, start long, length long, ids_crc32 long, part long, nth long")
 
 
 class _Lengths:
@@ -309,4 +309,4 @@ def pack_documents(
                 sequence, offset = place(plan, batch.column("length").to_numpy(), batch.column("rank").to_numpy())
                 yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(sequence), pa.array(offset)], names=[*batch.schema.names[:5], "sequence_id", "offset"])
 
-    return ranked.mapInArrow(run, f"`{id_col}` {dict(docs.dtypes)[id_col]}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
+    return ranked.mapInArrow(releasing(run), f"`{id_col}` {dict(docs.dtypes)[id_col]}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")

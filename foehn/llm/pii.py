@@ -21,12 +21,11 @@ from collections.abc import Callable, Iterator
 from functools import cached_property, reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foehn.llm.store import numbered, stored
+from foehn.llm.store import numbered, releasing, stored
 from foehn.llm.textvec import SPACE, Texts, Words, mix, slices
 
 KINDS = ("email", "ip", "card", "phone")
@@ -238,7 +237,7 @@ def find(docs: DataFrame, text: str, keep: list[str]) -> DataFrame:
 
     at = keep.index(text) if text in keep else len(keep)
     rows = docs.select(*keep, *([] if text in keep else [text]))
-    return rows.mapInArrow(run, ", ".join([*(f"`{k}` {kinds[k]}" for k in keep), _FOUND]))
+    return rows.mapInArrow(releasing(run), ", ".join([*(f"`{k}` {kinds[k]}" for k in keep), _FOUND]))
 
 
 def _slots(df: DataFrame, column: str) -> np.ndarray:
@@ -265,7 +264,7 @@ def _over(docs: DataFrame, text: str, slots: np.ndarray, each: Callable, schema:
         read = (Contexts(texts) for batch in batches for _, _, texts in slices(batch.column(0)))
         yield from each(read, np.unpackbits(slots).astype(bool))
 
-    return docs.select(F.coalesce(F.col(text), F.lit("")).alias("text")).mapInArrow(run, schema)
+    return docs.select(F.coalesce(F.col(text), F.lit("")).alias("text")).mapInArrow(releasing(run), schema)
 
 
 def each_of(one: Callable) -> Callable:
@@ -398,6 +397,19 @@ def sure_instances(spark: SparkSession, docs: DataFrame, text: str, found: DataF
     return stored(spark, union(seen).join(union(known).distinct(), "string", "left_semi").select("text_key", "start", "end").distinct(), "sure-spans")
 
 
+def _opened(found: DataFrame, sure: DataFrame) -> DataFrame:
+    """found with ``is_open``: whether the slot of a row's text is that of a
+    text with sure spans. Slots are bits of at most 2 ** (SLOT_BITS - 6) long
+    words, which are broadcast, so no Python worker is needed beside the one
+    that a task has for its texts."""
+    slot = F.shiftrightunsigned(F.xxhash64("text_key"), 64 - SLOT_BITS)
+    word, bit = F.shiftright(slot, 6), F.pmod(slot, F.lit(64)).cast("int")
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), bit)
+    words = sure.select(word.alias("slot_word"), one.alias("one")).groupBy("slot_word").agg(F.bit_or("one").alias("slot_bits"))
+    rows = found.withColumn("slot_word", word).join(F.broadcast(words), "slot_word", "left")
+    return rows.withColumn("is_open", F.coalesce(F.getbit("slot_bits", bit) == 1, F.lit(False)))
+
+
 def find_personal_data(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """id_col (and ``keep``) with n_email, n_ip, n_card, n_phone, base_sha256
     (of the base spans), ``spans`` (base spans, then those of kind ``id``, as
@@ -416,15 +428,7 @@ def find_personal_data(spark: SparkSession, docs: DataFrame, id_col: str = "doc_
     ids = sure.groupBy("text_key").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("ids"))  # of one text
     ids = ids.select(F.col("text_key").alias("of"), F.size("ids").cast("long").alias("more"), F.array_join(F.transform("ids", lambda x: F.concat_ws(":", F.lit("id"), x["start"], x["end"])), ",").alias("id_spans"))
     # rows pass by the join unless their text's slot is one of a text with such spans
-    slot = F.xxhash64("text_key")
-    slots = _slots(sure.select(slot.alias("slot")), "slot")
-
-    @F.pandas_udf("boolean")
-    def open_(at: pd.Series) -> pd.Series:
-        marked = np.unpackbits(slots).astype(bool)
-        return pd.Series(marked[(at.to_numpy(np.int64).view(_U) >> _U(64 - SLOT_BITS)).astype(np.int64)])
-
-    found = found.withColumn("is_open", open_(slot))
+    found = _opened(found, sure)
     joined = found.where("is_open").join(ids, F.col("text_key") == F.col("of"), "left")
     spans = F.concat_ws(",", F.when(F.col("base") != "", F.col("base")), F.col("id_spans"))
     joined = joined.select(*columns, spans.alias("spans"), F.coalesce("more", F.lit(0).cast("long")).alias("n_id"))
@@ -455,7 +459,7 @@ def redact(spark: SparkSession, docs: DataFrame, text: str = "text") -> DataFram
             columns[at] = pa.array(out, pa.string())
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:-1])
 
-    hidden = found.where("spans != ''").select(*rows.columns, "spans").mapInArrow(run, rows.schema)
+    hidden = found.where("spans != ''").select(*rows.columns, "spans").mapInArrow(releasing(run), rows.schema)
     if "n_chars" in docs.columns:
         hidden = hidden.withColumn(name["n_chars"], F.char_length(name[text]).cast(docs.schema["n_chars"].dataType))
     return clean.unionByName(hidden).toDF(*docs.columns)

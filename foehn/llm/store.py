@@ -6,8 +6,12 @@ tables cut the lineage, so a lost executor costs only the stage at hand.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,7 +20,8 @@ from foehn.session import scratch_path
 
 #: Bytes of an Arrow batch between executors and their Python workers; texts
 #: are long, so Spark's default would hold several times 64 MB in each task.
-BATCH_BYTES = 16 << 20
+#: Executor and worker hold a batch each, and workers keep what they held.
+BATCH_BYTES = 4 << 20
 
 
 def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
@@ -27,6 +32,27 @@ def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release() -> None:
+    """Give memory that is no longer in use back to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc's
+    if trim is not None:
+        trim(0)
+
+
+def releasing(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """run, for mapInArrow: a worker serves the tasks of all later stages, and
+    its allocators keep what a task has freed, so each task ends by giving it
+    back."""
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        release()
+
+    return whole
+
+
 def filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
     """File system and path in it, for a path with or without a scheme. Works
     on the driver and in tasks wherever the shared folder is reachable."""

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foehn.llm.store import numbered, stored
+from foehn.llm.store import numbered, releasing, stored
 from foehn.llm.textvec import ALNUM, Texts, mix, slices
 
 BITS = 20
@@ -99,7 +99,7 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, sample: int =
             w = ftrl(*own, epochs)
             yield pa.RecordBatch.from_arrays([pa.array(list(w), pa.int64()), pa.array(list(w.values()), pa.float64()), pa.array([len(own[1])] * len(w), pa.int64())], names=["index", "weight", "n"])
 
-    learned = stored(spark, rows.mapInArrow(run, "index long, weight double, n long"), "ftrl")
+    learned = stored(spark, rows.mapInArrow(releasing(run), "index long, weight double, n long"), "ftrl")
     total = learned.where(F.col("index") == INTERCEPT).agg(F.sum("n")).first()[0] or 0
     if not total:
         return np.zeros(0, np.int64), np.zeros(0)
@@ -129,7 +129,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], id_col: str = "
 
     kinds = dict(docs.dtypes)
     rows = docs.select(*keep, F.lower(F.col(text)).alias("_text"))
-    scored = rows.mapInArrow(run, ", ".join(f"`{k}` {kinds[k]}" for k in keep) + ", _score double")
+    scored = rows.mapInArrow(releasing(run), ", ".join(f"`{k}` {kinds[k]}" for k in keep) + ", _score double")
     return scored.withColumnRenamed("_score", "score")
 
 

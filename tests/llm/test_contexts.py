@@ -7,7 +7,7 @@ from collections import defaultdict
 
 import pytest
 
-from foehn.llm import pii
+from foehn.llm import pii, store
 
 DIGITS = re.compile(r"(?<!\w)[+(]{0,2}[0-9](?:[\x20().-]{0,2}[0-9])*+(?!\w)")
 
@@ -146,3 +146,16 @@ def test_hidden_text_of_contexts(spark, texts):
     hidden = {r.doc_id: r for r in pii.redact(spark, df).collect()}
     assert len(hidden) == len(texts) and all(len(r.text) == r.n_chars for r in hidden.values())
     assert "reach me: <ID>, today" in hidden[40].text and "(555)" not in hidden[42].text
+
+
+def test_hidden_text_takes_one_worker_a_task(spark, texts):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    plan = pii.redact(spark, df)._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "ArrowEvalPython" not in plan
+
+
+def test_a_task_gives_its_memory_back(monkeypatch):
+    done = []
+    monkeypatch.setattr(store, "release", lambda: done.append("released"))
+    assert list(store.releasing(lambda batches: (done.append(b) or b for b in batches))(iter([1, 2]))) == [1, 2]
+    assert done == [1, 2, "released"]
