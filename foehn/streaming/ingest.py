@@ -19,7 +19,8 @@ files it already committed.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -111,6 +112,34 @@ def _event_time(ts: Column) -> Column:
     return F.make_timestamp(F.year(ts), F.month(ts), F.dayofmonth(ts), F.hour(ts), F.minute(ts), F.second(ts), F.lit("UTC"))
 
 
+#: A stream that holds whole rows keeps them in RocksDB, on the executors'
+#: disks: Spark's default store has every key of the newest versions on the
+#: heap.  All stores of an executor share one bounded cache, and a micro-batch
+#: writes what it changed, not all that is held.
+STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
+@contextmanager
+def _state_on_disk(spark: SparkSession) -> Iterator[None]:
+    """A stream takes the session's settings as they are when it starts; after
+    that the session has its own again."""
+    before = {k: spark.conf.get(k, None) for k in STATE_CONF}
+    for k, v in STATE_CONF.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
 def best_rows(tiers: dict[str, DataFrame], watermark: str) -> DataFrame:
     """T5 over all tiers: a streaming aggregate (output mode update) that
     holds, per station and time, the row that wins by tier, load time, file
@@ -145,7 +174,8 @@ def start_best_rows(tiers: dict[str, DataFrame], table_root: str, checkpoint: st
                 tables.upsert_partitions(rows, table_root, KEY_COLUMNS, PARTITION_COLUMN, prepared=True)
 
     q = best_rows(tiers, watermark).writeStream.outputMode("update").foreachBatch(batch)
-    return q.option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
+    with _state_on_disk(next(iter(tiers.values())).sparkSession):
+        return q.option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
 
 
 def dedup_within_watermark(

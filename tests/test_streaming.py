@@ -63,3 +63,28 @@ def test_now_stream_keeps_only_recent_versions(spark, tmp_path):
         ingest.start_now_ingest(spark, str(land), table, ck, keep_versions=2).awaitTermination()
     assert tables.versions(spark, table) == [2, 3]
     assert [float(r["tre200s0"]) for r in tables.read_table(spark, table).collect()] == [3.0]
+
+
+def test_best_rows_state_is_not_on_the_heap(spark, tmp_path):
+    schema = "station_abbr string, reference_timestamp timestamp_ntz, " + ", ".join(f"{c} decimal(38,10)" for c in MEASURE_CODES)
+    schema += ", file_name string, loaded_at timestamp_ntz"
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(provider, None)
+    land, out, ck = f"{tmp_path}/land", f"{tmp_path}/out", f"{tmp_path}/ck"
+    got = []
+    for tier, value in (("now", 3.0), ("historical", 1.0), ("recent", 2.0)):
+        row = spark.sql("SELECT 'A' AS station_abbr, TIMESTAMP_NTZ'2024-01-01 00:10:00' AS reference_timestamp")
+        for c in MEASURE_CODES:
+            row = row.withColumn(c, F.lit(value).cast("decimal(38,10)"))
+        row = row.withColumn("file_name", F.lit("f")).withColumn("loaded_at", F.to_timestamp_ntz(F.lit("2024-01-02 00:00:00")))
+        for t in ("now", "recent", "historical"):
+            (row if t == tier else row.limit(0)).write.mode("append").parquet(f"{land}/{t}")
+        streams = {t: spark.readStream.schema(schema).parquet(f"{land}/{t}") for t in ("now", "recent", "historical")}
+        q = ingest.start_best_rows(streams, out, ck, "400 days")
+        q.awaitTermination()
+        held = [s for p in q.recentProgress for s in p["stateOperators"]]
+        assert held and all(any(m.startswith("rocksdb") for m in s["customMetrics"]) for s in held)
+        got.append([(r["data_tier"], float(r[MEASURE_CODES[0]])) for r in spark.read.parquet(out).collect()])
+    # the state goes over restarts: a better tier replaces, a worse one does not
+    assert got == [[("now", 3.0)], [("historical", 1.0)], [("historical", 1.0)]]
+    assert spark.conf.get(provider, None) == before
