@@ -35,13 +35,18 @@ def parse_timestamp(col: Column | str, fmt: str = TIMESTAMP_FORMAT) -> Column:
     t = F.trim(_c(col))
     if fmt != TIMESTAMP_FORMAT:
         return F.to_timestamp_ntz(t, F.lit(fmt))
-    # day.month.year hour:minute -> five numbers; anything else -> NULL
-    p = F.split(t, r"[.: ]")
+    # day.month.year hour:minute -> five numbers; anything else -> NULL.  Where
+    # the shape is right the separators cut it; a split by a pattern would
+    # compile that for every row and number
+    cut = F.substring_index
+    date, time = cut(t, " ", 1), cut(t, " ", -1)
+    day, month, year = cut(date, ".", 1), cut(cut(date, ".", 2), ".", -1), cut(date, ".", -1)
+    hour, minute = cut(time, ":", 1), cut(time, ":", -1)
     shape_ok = t.rlike(r"^\d{1,2}\.\d{1,2}\.\d{4} \d{1,2}:\d{2}$")
     return F.when(
         shape_ok,
         F.try_make_timestamp_ntz(
-            p[2].cast("int"), p[1].cast("int"), p[0].cast("int"), p[3].cast("int"), p[4].cast("int"), F.lit(0)
+            year.cast("int"), month.cast("int"), day.cast("int"), hour.cast("int"), minute.cast("int"), F.lit(0)
         ),
     )
 

@@ -45,11 +45,18 @@ def _uri(path: str) -> str:
 
 
 def relative_path(path: Column, root: str) -> Column:
-    """``path`` (a full file URI) relative to the landing root."""
-    prefix = _uri(root).partition(":")[2].lstrip("/")  # without the scheme: file:/a and file:///a are one place
+    """``path`` (a full file URI) relative to the landing root.  A path that
+    begins with the root's own text, which is every one of a scan below it, is
+    cut without a pattern: this runs for every row."""
+    scheme, _, rest = _uri(root).partition(":")
+    prefix = rest.lstrip("/")  # without the scheme: file:/a and file:///a are one place
     inner = F.ltrim(F.regexp_replace(path, "^[a-zA-Z][a-zA-Z0-9+.-]*:", ""), F.lit("/"))
     rest = inner.substr(F.lit(len(prefix) + 2), F.char_length(inner))
-    return F.when(inner.startswith(prefix + "/"), rest).otherwise(path)
+    found = F.when(inner.startswith(prefix + "/"), rest).otherwise(path)
+    for slashes in ("/", "//", "///"):
+        start = f"{scheme}:{slashes}{prefix}/"
+        found = F.when(path.startswith(start), F.substring(path, len(start) + 1, 2**31 - 1)).otherwise(found)
+    return found
 
 
 def relative_file_name(root: str) -> Column:
@@ -59,8 +66,9 @@ def relative_file_name(root: str) -> Column:
 
 def decoded_path(uri: Column) -> Column:
     """The path as file listings give it: ``_metadata.file_path`` is a URI in
-    which blanks and non-ASCII characters are percent-encoded ("+" is not)."""
-    return F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))
+    which blanks and non-ASCII characters are percent-encoded ("+" is not).  A
+    URI without a percent sign is the path."""
+    return F.when(uri.contains("%"), F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))).otherwise(uri)
 
 
 def read_raw_csv(

@@ -110,3 +110,37 @@ def test_crlf_bom_and_quoted_separators(spark, landing):
     typed = csv_src.read_measurements(spark, str(landing), "*_t_now.csv", loaded_at=LOADED)
     assert typed.filter("reject_reason IS NOT NULL").count() == 0
     assert typed.filter("sre000z0 = 4").count() == 1
+
+
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_timestamps_and_file_names_need_no_pattern_per_row(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from foehn.functions.parsing import parse_timestamp
+    from foehn.sources.csv import read_raw_csv, relative_path
+
+    texts = ["01.02.2024 00:10", " 1.2.2024 3:05 ", "31.02.2024 00:00", "01.02.2024 00:35\n", "01.02.2024  00:35", "...  ::", "", None]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", parse_timestamp("t").alias("ts"))
+    assert "split(" not in _plan(rows)
+    day = dt.datetime(2024, 2, 1)
+    assert {r["t"]: r["ts"] for r in rows.collect() if r["ts"]} == {
+        "01.02.2024 00:10": day.replace(minute=10), " 1.2.2024 3:05 ": day.replace(hour=3, minute=5), "01.02.2024 00:35\n": day.replace(minute=35),
+    }
+
+    # a path below the root is cut before any pattern is tried
+    for n, name in enumerate(["x.csv", "ä b%+.csv", "c+d.csv"]):
+        (tmp_path / f"s{n}").mkdir()
+        (tmp_path / f"s{n}" / name).write_text("h\nv;w\n")
+    raw = read_raw_csv(spark, str(tmp_path), "*.csv", 2).select("file_name")
+    plan = _plan(raw)
+    assert plan.index("StartsWith(") < plan.index("regexp_replace(") and "Contains(" in plan
+    assert {r[0] for r in raw.collect()} == {"s0/x.csv", "s1/ä b%+.csv", "s2/c+d.csv"}
+
+    paths = ["file:/a/b/c.csv", "file:///a/b/c.csv", "hdfs://a/b/c.csv", "file:/a/bc/d.csv", "/a/b/c.csv", None]
+    got = spark.createDataFrame([(p,) for p in paths], "p string").select("p", relative_path(F.col("p"), "/a/b").alias("r")).collect()
+    assert {r["p"]: r["r"] for r in got} == {
+        "file:/a/b/c.csv": "c.csv", "file:///a/b/c.csv": "c.csv", "hdfs://a/b/c.csv": "c.csv", "file:/a/bc/d.csv": "file:/a/bc/d.csv", "/a/b/c.csv": "c.csv", None: None,
+    }
